@@ -1,0 +1,20 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a bounded probe proves it has at most
+``max_rows`` rows (``limit(max_rows + 1).count()`` stops early, so the probe
+never scans more than that many rows past the filters).  Above the bound the
+frame is returned as is and Spark plans a shuffle join; AQE may still turn it
+into a broadcast at run time from real shuffle statistics.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
