@@ -84,3 +84,119 @@ FROM c{last + 1}"""
 
 
 ORACLE["apply_rules_chain"] = _chain_sql()
+
+
+# ---- duplicates ------------------------------------------------------------------
+
+ORACLE["dedup_runs"] = RUNS + """
+SELECT run_id, raw_results_url FROM (
+  SELECT run_id, raw_results_url,
+         row_number() OVER (PARTITION BY raw_results_url ORDER BY run_id) AS rn
+  FROM runs) t
+WHERE coalesce(raw_results_url, '') = '' OR rn = 1"""
+
+ORACLE["duplicate_groups"] = RUNS + """
+SELECT raw_results_url, run_id, concat_ws('-', browser_name, browser_version) AS product,
+       concat_ws('-', os_name, os_version) AS os,
+       CASE WHEN rn = 1 THEN 'kept' ELSE 'deleted' END AS role
+FROM (SELECT *, row_number() OVER (PARTITION BY raw_results_url ORDER BY run_id) AS rn,
+             count(*) OVER (PARTITION BY raw_results_url) AS cnt
+      FROM runs WHERE coalesce(raw_results_url, '') <> '') t
+WHERE cnt > 1"""
+
+# ---- scans, filters, limits -------------------------------------------------------
+
+ORACLE["scan_runs_ordered"] = RUNS + """
+SELECT run_id, CAST(row_number() OVER (ORDER BY time_start DESC NULLS LAST, run_id) - 1 AS BIGINT) AS rank
+FROM runs"""
+
+ORACLE["scan_run_keys"] = RUNS + "SELECT run_id FROM runs"
+
+_FILTER_WHERE = (f"contains(browser_name, 'chrome') AND contains(os_name, 'in') "
+                 f"AND len(list_filter({LABELS0}, lambda x: contains(x, 'stab'))) > 0")
+
+ORACLE["filter_runs"] = RUNS + f"""
+SELECT run_id, browser_name, os_name, array_to_string(labels, ',') AS labels
+FROM runs WHERE {_FILTER_WHERE}"""
+
+ORACLE["filter_runs_limit"] = RUNS + f"""
+SELECT run_id, browser_name, os_name, CAST(created_at AS VARCHAR) AS created_at
+FROM runs WHERE {_FILTER_WHERE}
+ORDER BY created_at NULLS LAST, run_id LIMIT 25"""
+
+# ---- revisions -------------------------------------------------------------------
+
+RUNS_REVS = with_ctes(RUNS_CTE, REVISIONS_CTE)
+# Unique-prefix resolution, written as a theta join (fine for the oracle).
+_PREFIXES = """
+prefixes AS (SELECT d.revision AS prefix, min(v.sha) AS hash
+  FROM (SELECT DISTINCT revision FROM runs) d JOIN revisions v ON starts_with(v.sha, d.revision)
+  WHERE length(d.revision) BETWEEN 4 AND 40
+  GROUP BY d.revision HAVING count(*) = 1)"""
+
+ORACLE["revision_keys"] = RUNS_REVS + """
+SELECT DISTINCT key FROM (
+  SELECT sha AS key FROM revisions WHERE length(sha) > 9
+  UNION ALL SELECT substr(sha, 1, 10) AS key FROM revisions WHERE length(sha) > 9) t"""
+
+ORACLE["resolve_revisions"] = RUNS_REVS + "," + _PREFIXES + """
+SELECT r.run_id, r.revision, p.hash AS resolved_hash
+FROM runs r LEFT JOIN prefixes p ON r.revision = p.prefix"""
+
+ORACLE["distinct_revisions"] = RUNS_REVS + "," + _PREFIXES + """
+SELECT d.revision, p.hash, p.hash IS NOT NULL AS resolved
+FROM (SELECT DISTINCT revision FROM runs) d LEFT JOIN prefixes p ON d.revision = p.prefix"""
+
+ORACLE["backfill_full_hash"] = RUNS_REVS + "," + _PREFIXES + """
+SELECT run_id, CASE WHEN sel THEN hash ELSE full_revision_hash END AS full_revision_hash,
+       sel AS selected, sel AS changed
+FROM (SELECT r.*, p.hash,
+             coalesce(coalesce(r.raw_results_url, '') <> '' AND p.hash IS NOT NULL
+                      AND r.full_revision_hash IS DISTINCT FROM p.hash, false) AS sel
+      FROM runs r LEFT JOIN prefixes p ON r.revision = p.prefix) t"""
+
+_PRODUCT = ("concat_ws('-', browser_name, browser_version, os_name, "
+            "CASE WHEN coalesce(os_version, '') NOT IN ('', '*') THEN os_version END)")
+
+ORACLE["report_locations"] = RUNS_REVS + "," + _PREFIXES + f"""
+SELECT run_id, product_id, report_path, 'https://storage.example/results/' || report_path AS report_url
+FROM (SELECT r.run_id, {_PRODUCT} AS product_id,
+             concat_ws('/', p.hash, {_PRODUCT}, 'report.json') AS report_path
+      FROM runs r JOIN prefixes p ON r.revision = p.prefix) t"""
+
+ORACLE["next_to_consolidate"] = RUNS_REVS + "," + _PREFIXES + """
+SELECT r.run_id, p.hash AS resolved_hash, CAST(r.created_at AS VARCHAR) AS created_at
+FROM runs r JOIN prefixes p ON r.revision = p.prefix
+WHERE coalesce(r.raw_results_url, '') = ''
+ORDER BY r.created_at DESC NULLS LAST, r.run_id LIMIT 10"""
+
+# ---- scalar functions ------------------------------------------------------------
+
+_PATH = ("CASE WHEN starts_with(raw_results_url, 'https://storage.example/results/') "
+         "THEN substr(raw_results_url, 33) ELSE raw_results_url END")
+
+ORACLE["scalar_functions"] = RUNS + f"""
+SELECT run_id,
+  CASE WHEN ends_with(browser_name, '-experimental') THEN substr(browser_name, 1, length(browser_name) - 13)
+       ELSE browser_name END AS f1_trimmed,
+  {_PATH} AS f2_path,
+  translate({_PATH}, '_* ', '-__') AS f3_new_path,
+  (starts_with(raw_results_url, 'https://') AND ends_with(raw_results_url, '.json')
+   AND contains(browser_version, ' ')) AS f4_tests,
+  trim(concat(' ' || chr(9), revision, chr(10) || chr(11)),
+       ' ' || chr(9) || chr(13) || chr(10) || chr(11)) AS f5_trimmed,
+  array_to_string(string_split({_PATH}, '/')[2:], '|') AS f6_pieces,
+  array_to_string(regexp_split_to_array(browser_version, '[ .]'), '|') AS f7_pieces,
+  substr(revision, 1, 10) AS f8_short,
+  CAST(length(revision) AS BIGINT) AS f8_len,
+  concat({_PRODUCT}, '@', full_revision_hash) AS f9_product,
+  strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') AS f10_rfc3339,
+  coalesce(time_end, {_ZERO}) > coalesce(time_start, {_ZERO}) + INTERVAL '10' MINUTE AS f11_long,
+  (time_start IS NULL OR time_start = {_ZERO}) AS f11_zero,
+  CASE WHEN regexp_full_match(trim(os_version), '[+-]?[0-9]+')
+       THEN CAST(TRY_CAST(trim(os_version) AS INTEGER) AS BIGINT) END AS f12_int,
+  list_contains({LABELS0}, 'stable') AS f13_has_stable,
+  CAST(len(list_append({LABELS0}, 'x')) AS BIGINT) AS f13_size,
+  len(list_filter({LABELS0}, lambda x: contains(x, 'ure'))) > 0 AS f13_exists,
+  to_json(struct_pack(browser_name := browser_name, os_name := os_name)) AS f14_json
+FROM runs"""

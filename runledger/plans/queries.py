@@ -100,3 +100,133 @@ def apply_rules_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FLAGSHIP = "apply_rules_chain"
+
+
+# ---- §2.7 / K2 duplicates ----------------------------------------------------
+
+from runledger.operators import dedup as D  # noqa: E402
+from runledger.operators import reports as RP  # noqa: E402
+from runledger.operators import run_filters as RF  # noqa: E402
+from runledger.sources import materialize as M  # noqa: E402
+from runledger.sources import text_lines as TL  # noqa: E402
+
+
+@query("dedup_runs")
+def dedup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept, _ = D.dedup(X.runs(spark, sf_dir))
+    return kept.select("run_id", "raw_results_url")
+
+
+@query("duplicate_groups")
+def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.duplicate_groups(X.runs(spark, sf_dir))
+
+
+# ---- §2.1 / §2.8 scans, filters, limits ----------------------------------------
+
+@query("scan_runs_ordered")
+def scan_runs_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = X.runs(spark, sf_dir).select("run_id", "time_start")
+    return RF.scan_ordered(runs, "start_desc", "rank").select("run_id", "rank")
+
+
+@query("scan_run_keys")
+def scan_run_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.runs(spark, sf_dir).select("run_id")
+
+
+FILTER_PARAMS = {"browser_name": "chrome", "os_name": "in", "labels": "stab"}
+
+
+@query("filter_runs")
+def filter_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = RF.filter_runs(X.runs(spark, sf_dir), FILTER_PARAMS)
+    return out.select("run_id", "browser_name", "os_name", _labels_text())
+
+
+@query("filter_runs_limit")
+def filter_runs_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = RF.filter_runs(X.runs(spark, sf_dir), {**FILTER_PARAMS, "limit": "25"})
+    return out.select("run_id", "browser_name", "os_name", _ts_text("created_at"))
+
+
+# ---- §2.5 revisions ----------------------------------------------------------
+
+def _revision_lines_path(spark: SparkSession, sf_dir: str) -> str:
+    """The mainline commit list as a text file, one sha per line."""
+    return M.materialize(spark, sf_dir, "revision_lines",
+                         lambda: X.revisions(spark, sf_dir).select("sha").coalesce(1), fmt="text")
+
+
+@query("revision_keys")
+def revision_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = TL.read_lines(spark, _revision_lines_path(spark, sf_dir))
+    return REV.revision_keys(lines)
+
+
+@query("resolve_revisions")
+def resolve_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = X.runs(spark, sf_dir).select("run_id", "revision")
+    return REV.resolve(runs, X.revisions(spark, sf_dir), how="left")
+
+
+@query("distinct_revisions")
+def distinct_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved, unresolved = REV.resolve_distinct(X.runs(spark, sf_dir), X.revisions(spark, sf_dir))
+    return (resolved.select("revision", "hash", F.lit(True).alias("resolved"))
+            .unionByName(unresolved.select("revision", F.lit(None).cast("string").alias("hash"),
+                                           F.lit(False).alias("resolved"))))
+
+
+@query("backfill_full_hash")
+def backfill_full_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = REV.resolve(X.runs(spark, sf_dir), X.revisions(spark, sf_dir), how="left")
+    rule = R.Rule(
+        "full_hash",
+        ~P.is_missing_str("raw_results_url") & F.col("resolved_hash").isNotNull()
+        & P.value_changed("full_revision_hash", "resolved_hash"),
+        {"full_revision_hash": F.col("resolved_hash")})
+    new, _ = R.rewrite(runs, rule)
+    return new.select("run_id", "full_revision_hash", "selected", "changed")
+
+
+@query("report_locations")
+def report_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = REV.resolve(X.runs(spark, sf_dir), X.revisions(spark, sf_dir))
+    return RP.report_locations(runs).select("run_id", "product_id", "report_path", "report_url")
+
+
+@query("next_to_consolidate")
+def next_to_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = RP.next_to_consolidate(X.runs(spark, sf_dir), X.revisions(spark, sf_dir), n=10)
+    return out.select("run_id", "resolved_hash", _ts_text("created_at"))
+
+
+# ---- §2.10 scalar functions ---------------------------------------------------
+
+@query("scalar_functions")
+def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = X.runs(spark, sf_dir)
+    path = RP.report_path()
+    return r.select(
+        "run_id",
+        P.trim_suffix("browser_name", P.EXPERIMENTAL_SUFFIX).alias("f1_trimmed"),
+        path.alias("f2_path"),
+        RP.new_report_path(path).alias("f3_new_path"),
+        (F.col("raw_results_url").startswith("https://") & F.col("raw_results_url").endswith(".json")
+         & F.col("browser_version").contains(" ")).alias("f4_tests"),
+        P.trim_chars(F.concat(F.lit(" \t"), F.col("revision"), F.lit("\n\u000b"))).alias("f5_trimmed"),
+        F.array_join(P.split_drop_first(path, "/"), "|").alias("f6_pieces"),
+        F.array_join(P.regex_split(F.col("browser_version"), "[ .]"), "|").alias("f7_pieces"),
+        P.first_chars("revision", 10).alias("f8_short"),
+        F.length("revision").cast("bigint").alias("f8_len"),
+        F.concat(RP.product_id(), F.lit("@"), F.col("full_revision_hash")).alias("f9_product"),
+        P.rfc3339_utc("created_at").alias("f10_rfc3339"),
+        P.lasted_longer_than("time_start", "time_end", 10).alias("f11_long"),
+        P.is_missing_time("time_start").alias("f11_zero"),
+        P.parse_int("os_version").cast("bigint").alias("f12_int"),
+        F.array_contains(P.labels_or_empty("labels"), "stable").alias("f13_has_stable"),
+        F.size(F.array_append(P.labels_or_empty("labels"), F.lit("x"))).cast("bigint").alias("f13_size"),
+        P.any_contains("labels", "ure").alias("f13_exists"),
+        F.to_json(F.struct("browser_name", "os_name")).alias("f14_json"),
+    )

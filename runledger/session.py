@@ -67,10 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (not created)."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "runledger", *parts)
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return "/".join([base, "runledger", *parts])
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
