@@ -143,3 +143,80 @@ def stamp_run_info(reports: DataFrame, runs: DataFrame, key: str = "run_id") ->
             v = P.trim_suffix(v, P.EXPERIMENTAL_SUFFIX)
         info = info.withField(c, v)
     return j.withColumn("run_info", info).drop(*[f"__run_{c}" for c in RUN_INFO_FIELDS])
+
+
+# ---- building reports ------------------------------------------------------------
+
+def run_info(trim_experimental: bool = False, hash_col: str = "full_revision_hash") -> Column:
+    """The run's product fields as a ``run_info`` struct."""
+    fields = []
+    for c in RUN_INFO_FIELDS:
+        src = hash_col if c == "full_revision_hash" else c
+        v = F.col(src)
+        if c == "browser_name" and trim_experimental:
+            v = P.trim_suffix(v, P.EXPERIMENTAL_SUFFIX)
+        fields.append(v.alias(c))
+    return F.struct(*fields)
+
+
+def results_from_cells(cells: DataFrame, key: str = "run_id") -> DataFrame:
+    """One result per (run, test): parent status from the row with the
+    highest position, subtests = non-NULL subtest rows in position order,
+    ``first_pos`` = the test's lowest position.  Groups are one test of one
+    run, so they stay small."""
+    sub = F.when(F.col("subtest").isNotNull(),
+                 F.struct(F.col("pos"), F.struct(F.col("subtest").alias("name"),
+                                                 F.col("sub_status").alias("status")).alias("s")))
+    g = (cells.groupBy(key, "test")
+         .agg(F.max_by("status", "pos").alias("status"),
+              F.min("pos").alias("first_pos"),
+              F.array_sort(F.collect_list(sub)).alias("__subs")))
+    return g.select(key, "test", "status", "first_pos",
+                    F.transform("__subs", lambda x: x["s"]).alias("subtests"))
+
+
+def assemble_reports(results: DataFrame, runs: DataFrame, key: str = "run_id",
+                     info: Column | None = None, how: str = "inner") -> DataFrame:
+    """Results of each run, ordered by ``first_pos``, as one report document
+    with the run's ``run_info``.  A group is one run's report - bounded by
+    the size of a single test run, which is what a report document is."""
+    res = F.struct("first_pos", "test", "status", "subtests")
+    per_run = (results.groupBy(key)
+               .agg(F.array_sort(F.collect_list(res)).alias("__r"))
+               .select(key, F.transform("__r", lambda x: F.struct(
+                   x["test"].alias("test"), x["status"].alias("status"),
+                   x["subtests"].alias("subtests"))).alias("results")))
+    r = runs.select(key, (info if info is not None else run_info()).alias("run_info"))
+    out = r.join(per_run, key, how)
+    return out.withColumn("results", F.coalesce(
+        "results", F.array().cast("array<struct<test:string,status:string,"
+                                  "subtests:array<struct<name:string,status:string>>>>")))
+
+
+def consolidate(shards: DataFrame, runs: DataFrame, revisions: DataFrame,
+                url_base: str = DEFAULT_URL_BASE, bucket: str = DEFAULT_BUCKET) -> DataFrame:
+    """S5 + A2 + R11: for every run not yet handled (no raw results URL) whose
+    revision resolves, gather its shard results into one report stamped with
+    the full hash and the browser name without ``-experimental``, and the
+    location it is written to.
+
+    ``shards`` has one row per shard result: ``run_id, test, status,
+    subtests, first_pos``.  Runs with no shard get an empty report."""
+    todo = REV.resolve(runs.where(P.is_missing_str("raw_results_url")), revisions)
+    todo = report_locations(todo)
+    info = run_info(trim_experimental=True, hash_col="resolved_hash")
+    reports = assemble_reports(shards, todo, info=info, how="left")
+    return reports.join(todo.select("run_id", "report_path", "report_url", "resolved_hash"), "run_id")
+
+
+def mark_consolidated(runs: DataFrame, consolidated: DataFrame) -> DataFrame:
+    """The run-table update after consolidation: new raw results URL and the
+    resolved full hash, where either differs (P17)."""
+    upd = consolidated.select("run_id", F.col("report_url").alias("__url"),
+                              F.col("resolved_hash").alias("__hash"))
+    j = runs.join(upd, "run_id", "left")
+    has = F.col("__url").isNotNull()
+    return (j.withColumn("raw_results_url", F.when(has, F.col("__url")).otherwise(F.col("raw_results_url")))
+            .withColumn("full_revision_hash",
+                        F.when(has, F.col("__hash")).otherwise(F.col("full_revision_hash")))
+            .drop("__url", "__hash"))

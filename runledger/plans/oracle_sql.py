@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from runledger.plans.oracle import (CELLS_CTE, EXPERIMENTAL_PRED, KNOWN, KNOWN_PRED, LABELS0,
+from runledger.plans.oracle import (CELLS_CTE, EXPERIMENTAL_PRED, KNOWN, KNOWN_PRED, LABELS0, RUNS_CELLS,
                                     OBJECTS_CTE, RESULTS_CTE, REVISIONS_CTE, RUNS, RUNS_CTE,
                                     with_ctes)
 
@@ -200,3 +200,197 @@ SELECT run_id,
   len(list_filter({LABELS0}, lambda x: contains(x, 'ure'))) > 0 AS f13_exists,
   to_json(struct_pack(browser_name := browser_name, os_name := os_name)) AS f14_json
 FROM runs"""
+
+
+# ---- matrix: reports -> cells, last write, dictionaries, pivots -----------------------
+
+RRC = with_ctes(RUNS_CTE, CELLS_CTE, RESULTS_CTE)
+_SUB_ROWS = """
+sub_rows AS (SELECT c.run_id, rp.result_pos, c.test, c.subtest, rp.status, c.sub_status,
+  CAST(row_number() OVER (PARTITION BY c.run_id, c.test ORDER BY c.pos) - 1 AS INTEGER) AS sub_pos
+  FROM cells c JOIN results_pos rp ON c.run_id = rp.run_id AND c.test = rp.test
+  WHERE c.subtest IS NOT NULL)"""
+
+ORACLE["explode_cells_matrix"] = RRC + "," + _SUB_ROWS + """
+SELECT run_id, result_pos, test, CAST(NULL AS VARCHAR) AS subtest, status,
+       CAST(NULL AS VARCHAR) AS sub_status, CAST(NULL AS INTEGER) AS sub_pos FROM results_pos
+UNION ALL
+SELECT run_id, result_pos, test, subtest, status, sub_status, sub_pos FROM sub_rows"""
+
+_WIDE_ROWS = """
+wide_rows AS (
+  SELECT run_id, result_pos, test AS qualifier, status AS value, 0 AS sub_pos FROM results_pos
+  WHERE n_subtests = 0
+  UNION ALL
+  SELECT run_id, result_pos, test || '#' || subtest AS qualifier,
+         status || '#' || coalesce(sub_status, '') AS value, sub_pos FROM sub_rows)"""
+
+ORACLE["explode_cells_wide"] = RRC + "," + _SUB_ROWS + "," + _WIDE_ROWS + """
+SELECT run_id, result_pos, qualifier, value, sub_pos FROM wide_rows"""
+
+_ROW_KEY = ("concat(coalesce(browser_name, ''), '-', coalesce(browser_version, ''), '-', "
+            "coalesce(os_name, ''), '-', coalesce(os_version, ''), '@', coalesce(full_revision_hash, ''), "
+            "'#', coalesce(strftime(created_at, '%Y-%m-%dT%H:%M:%SZ'), ''))")
+
+_WIDE = f"""
+wide AS (SELECT row_key, 'tests' AS family, qualifier, value FROM (
+  SELECT {_ROW_KEY} AS row_key, w.qualifier, w.value,
+         row_number() OVER (PARTITION BY {_ROW_KEY}, w.qualifier
+                            ORDER BY r.created_at DESC, r.run_id DESC, w.result_pos DESC, w.sub_pos DESC) AS rn
+  FROM wide_rows w JOIN runs r ON w.run_id = r.run_id) t WHERE rn = 1)"""
+
+WIDE_SQL = RRC + "," + _SUB_ROWS + "," + _WIDE_ROWS + "," + _WIDE
+
+ORACLE["wide_cells"] = WIDE_SQL + "SELECT row_key, qualifier, value FROM wide"
+
+ORACLE["last_write_cells"] = with_ctes(CELLS_CTE) + """
+SELECT run_id, test, subtest, status, sub_status FROM (
+  SELECT *, row_number() OVER (PARTITION BY run_id, test, subtest ORDER BY pos DESC) AS rn FROM cells) t
+WHERE rn = 1"""
+
+ORACLE["last_subtest_status"] = with_ctes(CELLS_CTE) + """
+SELECT run_id, test, status, sub_status FROM (
+  SELECT *, row_number() OVER (PARTITION BY run_id, test ORDER BY pos DESC) AS rn FROM cells) t
+WHERE rn = 1"""
+
+_TESTS = """
+first_seen AS (SELECT c.test, c.subtest, r.created_at, c.run_id, c.pos,
+  row_number() OVER (PARTITION BY c.test, c.subtest ORDER BY r.created_at, c.run_id, c.pos) AS rn
+  FROM cells c JOIN runs r ON c.run_id = r.run_id),
+tests AS (SELECT CAST(row_number() OVER (ORDER BY created_at, run_id, pos) - 1 AS BIGINT) AS id, test, subtest
+  FROM first_seen WHERE rn = 1),
+run_index AS (SELECT CAST(row_number() OVER (ORDER BY created_at, run_id) - 1 AS BIGINT) AS id, run_id, created_at
+  FROM runs)"""
+
+RUNS_CELLS_TESTS = with_ctes(RUNS_CTE, CELLS_CTE, _TESTS)
+
+ORACLE["test_dictionary"] = RUNS_CELLS_TESTS + "SELECT id, test, subtest FROM tests"
+ORACLE["run_dictionary"] = RUNS_CELLS_TESTS + \
+    "SELECT id, run_id, CAST(created_at AS VARCHAR) AS created_at FROM run_index"
+
+_NORM = ("CASE WHEN {c} IS NULL THEN NULL WHEN upper(trim({c})) IN ('OK','PASS','FAIL','ERROR','TIMEOUT',"
+         "'NOTRUN','CRASH','ASSERT','SKIP','PRECONDITION_FAILED') THEN upper(trim({c})) ELSE 'UNKNOWN' END")
+
+_ENCODED = f"""
+encoded AS (SELECT ri.id AS run_idx, t.id AS test_id, {_NORM.format(c='c.status')} AS status,
+  {_NORM.format(c='c.sub_status')} AS sub_status, c.pos
+  FROM cells c JOIN tests t ON c.test = t.test AND c.subtest IS NOT DISTINCT FROM t.subtest
+  JOIN run_index ri ON c.run_id = ri.run_id),
+matrix AS (SELECT run_idx, test_id, status, sub_status FROM (
+  SELECT *, row_number() OVER (PARTITION BY run_idx, test_id ORDER BY pos DESC) AS rn FROM encoded) t
+  WHERE rn = 1)"""
+
+ENCODED = RUNS_CELLS_TESTS + "," + _ENCODED
+
+ORACLE["encode_cells"] = ENCODED + "SELECT run_idx, test_id, status, sub_status, pos FROM encoded"
+ORACLE["pivot_by_run"] = ENCODED + "SELECT run_idx, test_id, status, sub_status FROM matrix"
+ORACLE["pivot_by_test"] = ORACLE["pivot_by_run"]
+ORACLE["count_runs_tests"] = RUNS_CELLS + """
+SELECT (SELECT count(*) FROM runs) AS n_runs,
+       (SELECT count(*) FROM (SELECT DISTINCT test, subtest FROM cells) d) AS n_tests"""
+
+# ---- reports read / migrate ------------------------------------------------------
+
+ORACLE["read_reports"] = RRC + """
+SELECT run_id, result_pos, test, status, CAST(n_subtests AS BIGINT) AS n_subtests FROM results_pos"""
+
+ORACLE["runs_without_cells"] = RUNS_CELLS + """
+SELECT run_id, CAST(0 AS BIGINT) AS n_results FROM runs
+WHERE run_id NOT IN (SELECT run_id FROM cells)"""
+
+_ELIGIBLE = """
+eligible AS (SELECT * FROM runs
+  WHERE starts_with(raw_results_url, 'https://storage.example/results/')
+    AND ends_with(raw_results_url, 'report.json')
+    AND (substr(raw_results_url, 1, length(raw_results_url) - 11) || 'migration.log') IN (SELECT path FROM objects))"""
+
+RUNS_OBJ = with_ctes(RUNS_CTE, OBJECTS_CTE, _ELIGIBLE)
+
+ORACLE["has_migration_log"] = RUNS_OBJ + "SELECT run_id, raw_results_url FROM eligible"
+
+_REWRITE = """
+rewritten AS (SELECT run_id, old_path, translate(old_path, '_* ', '-__') AS new_path FROM (
+  SELECT run_id, substr(raw_results_url, 33) AS old_path FROM eligible) t)"""
+
+ORACLE["rewrite_report_paths"] = RUNS_OBJ + "," + _REWRITE + """
+SELECT run_id, old_path, new_path, 'https://storage.example/results/' || new_path AS new_url,
+       old_path <> new_path AS path_changed FROM rewritten"""
+
+ORACLE["cleanup_paths"] = RUNS_OBJ + "," + _REWRITE + """
+SELECT DISTINCT substr(old_path, 1, length(old_path) - 11) AS dir FROM rewritten o
+WHERE old_path <> new_path
+  AND NOT EXISTS (SELECT 1 FROM rewritten n
+                  WHERE starts_with(n.new_path, substr(o.old_path, 1, length(o.old_path) - 11)))"""
+
+_STAMPED = """
+stamped AS (SELECT e.run_id,
+  CASE WHEN ends_with(e.browser_name, '-experimental') THEN substr(e.browser_name, 1, length(e.browser_name) - 13)
+       ELSE e.browser_name END AS browser_name,
+  e.browser_version, e.os_name, e.os_version, e.revision, e.full_revision_hash,
+  CAST(count(*) AS BIGINT) AS n_results
+  FROM eligible e JOIN results r ON e.run_id = r.run_id
+  GROUP BY ALL)"""
+
+RUNS_OBJ_RESULTS = with_ctes(RUNS_CTE, OBJECTS_CTE, _ELIGIBLE, CELLS_CTE, RESULTS_CTE, _STAMPED)
+
+ORACLE["stamp_run_info"] = RUNS_OBJ_RESULTS + """
+SELECT run_id, browser_name, browser_version, os_name, os_version, revision, full_revision_hash, n_results
+FROM stamped"""
+
+ORACLE["write_reports"] = RUNS_OBJ_RESULTS + "SELECT run_id, browser_name, n_results FROM stamped"
+
+ORACLE["gzip_lines"] = with_ctes(REVISIONS_CTE) + "SELECT sha AS value FROM revisions"
+
+# ---- consolidation ------------------------------------------------------------------
+
+_CONSOLIDATED = """
+todo AS (SELECT r.*, p.hash FROM runs r JOIN prefixes p ON r.revision = p.prefix
+  WHERE coalesce(r.raw_results_url, '') = ''),
+consolidated AS (SELECT t.run_id,
+  'https://storage.example/results/' || concat_ws('/', t.hash, concat_ws('-', t.browser_name, t.browser_version,
+     t.os_name, CASE WHEN coalesce(t.os_version, '') NOT IN ('', '*') THEN t.os_version END), 'report.json')
+     AS report_url,
+  t.hash AS full_revision_hash,
+  CASE WHEN ends_with(t.browser_name, '-experimental') THEN substr(t.browser_name, 1, length(t.browser_name) - 13)
+       ELSE t.browser_name END AS browser_name,
+  CAST(count(r.test) AS BIGINT) AS n_results,
+  CAST(coalesce(sum(r.n_subtests), 0) AS BIGINT) AS n_subtests
+  FROM todo t LEFT JOIN results r ON t.run_id = r.run_id
+  GROUP BY ALL)"""
+
+CONSOLIDATED = with_ctes(RUNS_CTE, REVISIONS_CTE, _PREFIXES, CELLS_CTE, RESULTS_CTE, _CONSOLIDATED)
+
+ORACLE["consolidate_reports"] = CONSOLIDATED + """
+SELECT run_id, report_url, full_revision_hash, browser_name, n_results, n_subtests FROM consolidated"""
+
+# ---- scans over the wide table and the dictionary -------------------------------------
+
+_PREFIX_HITS = """
+hits AS (SELECT * FROM wide WHERE starts_with(row_key, 'chrome-62.0-linux-') AND family = 'tests'
+  AND qualifier >= '/economy/' AND qualifier < '/economy0' AND value >= 'OK' AND value < 'PAST'),
+first_rows AS (SELECT DISTINCT row_key FROM hits ORDER BY row_key LIMIT 100)"""
+
+ORACLE["prefix_scan"] = WIDE_SQL + "," + _PREFIX_HITS + """
+SELECT row_key, qualifier, value FROM hits WHERE row_key IN (SELECT row_key FROM first_rows)"""
+
+ORACLE["prefix_scan_shape"] = WIDE_SQL + "," + _PREFIX_HITS + """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(arg_min(n, row_key) AS BIGINT) AS first_row_cells
+FROM (SELECT row_key, count(*) AS n FROM hits WHERE row_key IN (SELECT row_key FROM first_rows)
+      GROUP BY row_key) t"""
+
+ORACLE["regex_scan"] = WIDE_SQL + """,
+rhits AS (SELECT * FROM wide WHERE starts_with(row_key, 'chrome-62.0-linux-') AND family = 'tests'
+  AND regexp_full_match(qualifier, '/economy/.*') AND regexp_full_match(value, 'ERROR(#.*)?')),
+rrows AS (SELECT DISTINCT row_key FROM rhits ORDER BY row_key LIMIT 100)
+SELECT row_key, qualifier, value FROM rhits WHERE row_key IN (SELECT row_key FROM rrows)"""
+
+ORACLE["path_search"] = RUNS_CELLS_TESTS + """
+SELECT id, test, subtest FROM (
+  SELECT *, string_split(concat_ws(':', test, subtest), '/')[2:] AS seg FROM tests) t
+WHERE len(seg) >= 2 AND contains(seg[1], 'eco') AND contains(seg[2], 'l')"""
+
+ORACLE["name_search"] = RUNS_CELLS_TESTS + """
+SELECT id, test, subtest FROM tests WHERE contains(concat_ws(':', test, subtest), 'red/gear.html:s')"""
+
+ORACLE["snapshot_roundtrip"] = ORACLE["pivot_by_run"]
+ORACLE["stream_consolidate"] = ORACLE["consolidate_reports"]

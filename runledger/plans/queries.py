@@ -230,3 +230,259 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         P.any_contains("labels", "ure").alias("f13_exists"),
         F.to_json(F.struct("browser_name", "os_name")).alias("f14_json"),
     )
+
+
+# ---- derived tables (written once under the shared scratch folder) ---------------
+
+from runledger.operators import cells as C  # noqa: E402
+from runledger.operators import search as S  # noqa: E402
+from runledger.sources import reports_io as RIO  # noqa: E402
+from runledger.session import fresh_dir  # noqa: E402
+
+# Load timestamp stamped on every wide cell of the initial load.
+WIDE_LOAD_TS = "2020-01-01 00:00:00"
+
+
+def reports_path(spark: SparkSession, sf_dir: str) -> str:
+    """One report document per run with cells, as JSON lines (K3)."""
+    def build():
+        results = RP.results_from_cells(X.cells(spark, sf_dir))
+        return RP.assemble_reports(results, X.runs(spark, sf_dir))
+    return M.materialize(spark, sf_dir, "reports", build, fmt="json")
+
+
+def shards_path(spark: SparkSession, sf_dir: str) -> str:
+    """Sharded results: one JSON line per (run, test) result."""
+    return M.materialize(spark, sf_dir, "shards",
+                         lambda: RP.results_from_cells(X.cells(spark, sf_dir)), fmt="json")
+
+
+def load_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = RIO.read_reports(spark, reports_path(spark, sf_dir))
+    return good
+
+
+def wide_path(spark: SparkSession, sf_dir: str) -> str:
+    """K8: the merged wide-cell table, range-partitioned and sorted by
+    (row_key, qualifier) so Parquet row-group statistics prune prefix and
+    range scans."""
+    def build():
+        cells = C.wide_cells(load_reports(spark, sf_dir), X.runs(spark, sf_dir),
+                             load_ts=F.lit(WIDE_LOAD_TS).cast("timestamp"))
+        merged = C.merge_wide(cells)
+        n = max(1, spark.sparkContext.defaultParallelism)
+        return merged.repartitionByRange(n, "row_key", "qualifier").sortWithinPartitions("row_key", "qualifier")
+    return M.materialize(spark, sf_dir, "wide_cells", build)
+
+
+def load_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(wide_path(spark, sf_dir))
+
+
+# ---- §2.4 R14/R15, §2.6 A3-A8, §2.5 J6 ----------------------------------------------
+
+@query("explode_cells_matrix")
+def explode_cells_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.explode_matrix(load_reports(spark, sf_dir))
+
+
+@query("explode_cells_wide")
+def explode_cells_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.explode_wide(load_reports(spark, sf_dir))
+
+
+@query("wide_cells")
+def wide_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_wide(spark, sf_dir).select("row_key", "qualifier", "value")
+
+
+@query("last_write_cells")
+def last_write_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.last_write(X.cells(spark, sf_dir))
+
+
+@query("last_subtest_status")
+def last_subtest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.last_subtest_status(X.cells(spark, sf_dir))
+
+
+@query("test_dictionary")
+def test_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.test_dictionary(X.cells(spark, sf_dir), X.runs(spark, sf_dir))
+
+
+@query("run_dictionary")
+def run_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = X.runs(spark, sf_dir).select("run_id", "created_at")
+    return C.run_dictionary(runs).select("id", "run_id", _ts_text("created_at"))
+
+
+def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells, runs = X.cells(spark, sf_dir), X.runs(spark, sf_dir)
+    tests = C.test_dictionary(cells, runs)
+    run_index = C.run_dictionary(runs.select("run_id", "created_at"))
+    return C.encode_cells(cells, tests, run_index)
+
+
+@query("encode_cells")
+def encode_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _encoded(spark, sf_dir).select("run_idx", "test_id", "status", "sub_status", "pos")
+
+
+_PIVOT_READ = "{by} BIGINT, chunk BIGINT, entries MAP<STRING, STRUCT<status: STRING, sub_status: STRING>>"
+
+
+def _pivot_roundtrip(spark: SparkSession, sf_dir: str, by: str, other: str) -> DataFrame:
+    lw = C.last_write(_encoded(spark, sf_dir), ("run_idx", "test_id"), "pos")
+    path = C.write_pivot(C.pivot(lw, by, other), by, fresh_dir(spark, f"pivot_{by}"))
+    back = spark.read.schema(_PIVOT_READ.format(by=by)).json(path)
+    back = back.withColumn("entries", F.transform_keys("entries", lambda k, v: k.cast("bigint")))
+    return C.unpivot(back, by, other).select("run_idx", "test_id", "status", "sub_status")
+
+
+@query("pivot_by_run")
+def pivot_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pivot_roundtrip(spark, sf_dir, "run_idx", "test_id")
+
+
+@query("pivot_by_test")
+def pivot_by_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pivot_roundtrip(spark, sf_dir, "test_id", "run_idx")
+
+
+@query("count_runs_tests")
+def count_runs_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells, runs = X.cells(spark, sf_dir), X.runs(spark, sf_dir)
+    return S.counts(runs, cells.select("test", "subtest").distinct())
+
+
+# ---- §2.1 S3/S4, J5, R8, R9, K9, S7/J2 --------------------------------------------
+
+@query("read_reports")
+def read_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = RIO.join_reports(X.runs(spark, sf_dir).select("run_id"), load_reports(spark, sf_dir))
+    return j.select("run_id", F.posexplode("results").alias("result_pos", "r")).select(
+        "run_id", F.col("result_pos").cast("bigint").alias("result_pos"), F.col("r.test").alias("test"),
+        F.col("r.status").alias("status"),
+        F.size(F.coalesce("r.subtests", F.array())).cast("bigint").alias("n_subtests"))
+
+
+@query("runs_without_cells")
+def runs_without_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = RIO.join_reports(X.runs(spark, sf_dir).select("run_id"), load_reports(spark, sf_dir), how="left")
+    return j.select("run_id", F.coalesce(F.size("results"), F.lit(0)).cast("bigint").alias("n_results")) \
+        .where(F.col("n_results") == 0)
+
+
+@query("has_migration_log")
+def has_migration_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = X.runs(spark, sf_dir)
+    return RP.with_migration_log(runs, X.objects(spark, sf_dir, runs)).select("run_id", "raw_results_url")
+
+
+@query("rewrite_report_paths")
+def rewrite_report_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = X.runs(spark, sf_dir)
+    return RP.rewrite_report_paths(runs, X.objects(spark, sf_dir, runs)).select(
+        "run_id", "old_path", "new_path", "new_url", "path_changed")
+
+
+@query("cleanup_paths")
+def cleanup_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = X.runs(spark, sf_dir)
+    return RP.cleanup_paths(RP.rewrite_report_paths(runs, X.objects(spark, sf_dir, runs)))
+
+
+def _stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = X.runs(spark, sf_dir)
+    eligible = RP.with_migration_log(runs, X.objects(spark, sf_dir, runs))
+    reps = load_reports(spark, sf_dir).join(eligible.select("run_id"), "run_id", "left_semi")
+    return RP.stamp_run_info(reps.select("run_id", "run_info", "results"), eligible)
+
+
+@query("stamp_run_info")
+def stamp_run_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stamped(spark, sf_dir).select(
+        "run_id", "run_info.*", F.size("results").cast("bigint").alias("n_results"))
+
+
+@query("write_reports")
+def write_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3/K4: stamped reports written as gzip JSON lines, read back."""
+    path = RIO.write_reports(_stamped(spark, sf_dir), fresh_dir(spark, "reports_gz"), "gzip")
+    good, _ = RIO.read_reports(spark, path)
+    return good.select("run_id", F.col("run_info.browser_name").alias("browser_name"),
+                       F.size("results").cast("bigint").alias("n_results"))
+
+
+@query("gzip_lines")
+def gzip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TL.gzip_lines(spark, _revision_lines_path(spark, sf_dir), fresh_dir(spark, "lines_gz"))
+
+
+# ---- §2.6 A2, S5, K4: consolidation --------------------------------------------
+
+_SHARD_READ = ("run_id BIGINT, test STRING, status STRING, first_pos BIGINT, "
+               "subtests ARRAY<STRUCT<name: STRING, status: STRING>>")
+
+
+def consolidation_summary(reports: DataFrame) -> DataFrame:
+    return reports.select(
+        "run_id", "report_url", F.col("run_info.full_revision_hash").alias("full_revision_hash"),
+        F.col("run_info.browser_name").alias("browser_name"),
+        F.size("results").cast("bigint").alias("n_results"),
+        F.aggregate("results", F.lit(0).cast("bigint"),
+                    lambda acc, r: acc + F.size(F.coalesce(r["subtests"], F.array()))).alias("n_subtests"))
+
+
+@query("consolidate_reports")
+def consolidate_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = spark.read.schema(_SHARD_READ).json(shards_path(spark, sf_dir))
+    out = RP.consolidate(shards, X.runs(spark, sf_dir), X.revisions(spark, sf_dir))
+    path = RIO.write_reports(out, fresh_dir(spark, "consolidated"), "gzip")
+    back = spark.read.schema(
+        "run_id BIGINT, report_url STRING, run_info STRUCT<browser_name: STRING, "
+        "full_revision_hash: STRING>, results ARRAY<STRUCT<test: STRING, status: STRING, "
+        "subtests: ARRAY<STRUCT<name: STRING, status: STRING>>>>").json(path)
+    return consolidation_summary(back)
+
+
+# ---- §2.11 / P12-P16, L3, A9: prefix, range and path queries ---------------------
+
+PREFIX = "chrome-62.0-linux-"
+QUALIFIER_RANGE = ("/economy/", "/economy0")
+VALUE_RANGE = ("OK", "PAST")
+
+
+@query("prefix_scan")
+def prefix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.prefix_scan(load_wide(spark, sf_dir), PREFIX, C.DEFAULT_FAMILY, QUALIFIER_RANGE,
+                         VALUE_RANGE, 100).select("row_key", "qualifier", "value")
+
+
+@query("prefix_scan_shape")
+def prefix_scan_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = S.prefix_scan(load_wide(spark, sf_dir), PREFIX, C.DEFAULT_FAMILY, QUALIFIER_RANGE,
+                         VALUE_RANGE, 100)
+    return S.scan_shape(hits)
+
+
+@query("regex_scan")
+def regex_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.regex_scan(load_wide(spark, sf_dir), PREFIX, C.DEFAULT_FAMILY, "/economy/.*",
+                        "ERROR(#.*)?", 100).select("row_key", "qualifier", "value")
+
+
+PATH_QUERY = "/eco/l"
+
+
+@query("path_search")
+def path_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tests = C.test_dictionary(X.cells(spark, sf_dir), X.runs(spark, sf_dir))
+    return S.path_search(tests, PATH_QUERY)
+
+
+@query("name_search")
+def name_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tests = C.test_dictionary(X.cells(spark, sf_dir), X.runs(spark, sf_dir))
+    return S.name_search(tests, "red/gear.html:s")
