@@ -25,15 +25,22 @@ log = logging.getLogger(__name__)
 STRING_PROPS = ("browser_name", "browser_version", "os_name", "os_version")
 LIST_PROPS = ("labels",)
 
-# Named scan orders of the run table (ties broken by run_id).
-SCAN_ORDERS: dict[str, list[Column]] = {
-    "newest": [F.col("created_at").desc_nulls_last(), F.col("run_id").asc()],
-    "oldest": [F.col("created_at").asc_nulls_last(), F.col("run_id").asc()],
-    "start_desc": [F.col("time_start").desc_nulls_last(), F.col("run_id").asc()],
-    "url_desc": [F.col("raw_results_url").desc_nulls_last(), F.col("run_id").asc()],
+# Named scan orders of the run table: (column, descending); run_id breaks ties.
+SCAN_ORDERS: dict[str, tuple[str, bool]] = {
+    "newest": ("created_at", True),
+    "oldest": ("created_at", False),
+    "start_desc": ("time_start", True),
+    "url_desc": ("raw_results_url", True),
 }
 
 
+def scan_order(name: str) -> list[Column]:
+    """Sort columns of a named order; missing values sort last."""
+    c, desc = SCAN_ORDERS[name]
+    first = F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last()
+    return [first, F.col("run_id").asc()]
+
+
 def run_predicate(params: Mapping[str, str]) -> Column:
     """AND of one substring test per non-empty parameter.
 
@@ -68,11 +75,11 @@ def filter_runs(runs: DataFrame, params: Mapping[str, str], order: str = "oldest
     out = runs.where(run_predicate(params))
     n = parse_limit(params.get("limit"))
     if n is not None:
-        out = out.orderBy(*SCAN_ORDERS[order]).limit(max(n, 0))
+        out = out.orderBy(*scan_order(order)).limit(max(n, 0))
     return out
 
 
 def scan_ordered(runs: DataFrame, order: str = "newest", rank_col: str = "rank") -> DataFrame:
     """The whole table with its 0-based position in ``order``; rows
     whose sort column is missing are kept (NULLs last)."""
-    return dense_ids(runs, SCAN_ORDERS[order], rank_col)
+    return dense_ids(runs, scan_order(order), rank_col)

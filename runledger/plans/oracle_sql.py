@@ -394,3 +394,5 @@ SELECT id, test, subtest FROM tests WHERE contains(concat_ws(':', test, subtest)
 
 ORACLE["snapshot_roundtrip"] = ORACLE["pivot_by_run"]
 ORACLE["stream_consolidate"] = ORACLE["consolidate_reports"]
+
+ORACLE["apply_rewrite"] = "SELECT run_id, labels, time_start FROM (" + ORACLE["apply_rules_chain"] + ") z"

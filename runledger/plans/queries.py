@@ -486,3 +486,63 @@ def path_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def name_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     tests = C.test_dictionary(X.cells(spark, sf_dir), X.runs(spark, sf_dir))
     return S.name_search(tests, "red/gear.html:s")
+
+
+# ---- §2.1 S6/K6/M3, §2.2 K1, §2.12 X1 --------------------------------------------
+
+from runledger.sources import snapshot as SN  # noqa: E402
+from runledger.sources import versioned as V  # noqa: E402
+from runledger.streaming import consolidate as STREAM  # noqa: E402
+
+_SNAP_RUNS = "id BIGINT, run_id BIGINT, browser_name STRING, created_at TIMESTAMP_NTZ"
+
+
+@query("snapshot_roundtrip")
+def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write runs/tests/by-run maps, load them back, transpose on load
+    and return the by-test matrix as long cells."""
+    cells, runs = X.cells(spark, sf_dir), X.runs(spark, sf_dir)
+    tests = C.test_dictionary(cells, runs)
+    run_index = C.run_dictionary(runs.select("run_id", "browser_name", "created_at"))
+    lw = C.last_write(C.encode_cells(cells, tests, run_index), ("run_idx", "test_id"), "pos")
+    path = SN.write_snapshot(run_index.select("id", "run_id", "browser_name", "created_at"), tests,
+                             C.pivot(lw, "run_idx", "test_id"), fresh_dir(spark, "snapshot"))
+    snap = SN.load_snapshot(spark, path, _SNAP_RUNS)
+    return C.unpivot(snap.by_test(), "test_id", "run_idx").select(
+        "run_idx", "test_id", "status", "sub_status")
+
+
+@query("apply_rewrite")
+def apply_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: commit the run table, rewrite it with the rule chain, commit the
+    result as the next version, read the current version back."""
+    table = V.VersionedTable(spark, fresh_dir(spark, "runs_versions"))
+    table.commit(X.runs(spark, sf_dir))
+    runs = REV.flag_mainline(table.read(), _mainline_keys(spark, sf_dir))
+    chain = [R.experimental_rule(), R.stable_rule(), R.channel_rule(), R.browser_name_rule(),
+             R.mainline_rule(F.col("in_mainline")), R.time_start_rule()]
+    new, _ = R.rewrite(runs, chain)
+    table.commit(new.drop("selected", "changed", "in_mainline"))
+    return table.read().select("run_id", _labels_text(), _ts_text("time_start"))
+
+
+def _runs_stream_source(spark: SparkSession, sf_dir: str) -> str:
+    """Run records as they would arrive: several parquet files in a folder."""
+    return M.materialize(spark, sf_dir, "runs_arriving",
+                         lambda: X.runs(spark, sf_dir).repartition(4, "run_id"))
+
+
+@query("stream_consolidate")
+def stream_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _runs_stream_source(spark, sf_dir)
+    shards = spark.read.schema(_SHARD_READ).json(shards_path(spark, sf_dir))
+    out = fresh_dir(spark, "stream_out")
+    q = STREAM.consolidate_stream(spark, src, X.runs(spark, sf_dir).schema, shards,
+                                  X.revisions(spark, sf_dir), out, fresh_dir(spark, "stream_ckpt"),
+                                  max_files_per_trigger=2)
+    q.awaitTermination()
+    back = spark.read.schema(
+        "run_id BIGINT, report_url STRING, run_info STRUCT<browser_name: STRING, "
+        "full_revision_hash: STRING>, results ARRAY<STRUCT<test: STRING, status: STRING, "
+        "subtests: ARRAY<STRUCT<name: STRING, status: STRING>>>>").json(out)
+    return consolidation_summary(back)
