@@ -97,9 +97,15 @@ def rfc3339_utc(ts: str | Column) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+INT_TEXT = r"^[+-]?[0-9]+$"
+
+
 def parse_int(s: str | Column) -> Column:
-    """Text -> INT, NULL when not a number."""
-    return _c(s).try_cast("int")
+    """Strict integer text (optional sign, digits, nothing else) -> BIGINT,
+    else NULL.  The pattern test runs first, so the cast's error path is only
+    reached on overflow."""
+    c = _c(s)
+    return F.when(c.rlike(INT_TEXT), c.try_cast("bigint"))
 
 
 # ---- P1-P8: run predicates ---------------------------------------------------

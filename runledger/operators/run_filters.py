@@ -10,6 +10,7 @@ task), never a stateful counter.
 from __future__ import annotations
 
 import logging
+import re
 from typing import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -59,14 +60,14 @@ def run_predicate(params: Mapping[str, str]) -> Column:
 
 
 def parse_limit(value: str | None) -> int | None:
-    """Text limit -> int; invalid text is warned about and ignored (None)."""
+    """Text limit -> int (optional sign and digits only); invalid text is
+    warned about and ignored (None)."""
     if value in (None, ""):
         return None
-    try:
-        return int(str(value).strip())
-    except ValueError:
+    if not re.fullmatch(r"[+-]?[0-9]+", str(value)):
         log.warning("invalid limit: %r (ignored)", value)
         return None
+    return int(value)
 
 
 def filter_runs(runs: DataFrame, params: Mapping[str, str], order: str = "oldest") -> DataFrame:

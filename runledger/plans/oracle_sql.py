@@ -193,8 +193,8 @@ SELECT run_id,
   strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') AS f10_rfc3339,
   coalesce(time_end, {_ZERO}) > coalesce(time_start, {_ZERO}) + INTERVAL '10' MINUTE AS f11_long,
   (time_start IS NULL OR time_start = {_ZERO}) AS f11_zero,
-  CASE WHEN regexp_full_match(trim(os_version), '[+-]?[0-9]+')
-       THEN CAST(TRY_CAST(trim(os_version) AS INTEGER) AS BIGINT) END AS f12_int,
+  CASE WHEN regexp_full_match(os_version, '[+-]?[0-9]+')
+       THEN TRY_CAST(os_version AS BIGINT) END AS f12_int,
   list_contains({LABELS0}, 'stable') AS f13_has_stable,
   CAST(len(list_append({LABELS0}, 'x')) AS BIGINT) AS f13_size,
   len(list_filter({LABELS0}, lambda x: contains(x, 'ure'))) > 0 AS f13_exists,

@@ -2,9 +2,13 @@
 
 The test data holds no test runs, so ``runs``, ``cells``, ``revisions`` and
 ``objects`` are derived from ``orders``, ``lineitem`` and ``part`` (FIXTURES.md
-§2).  They are plain projections and one per-order window, so they scale with
-the base tables and keep Parquet column pruning: only the columns used below
-appear in each scan's ReadSchema.
+§2).  The derivations (``build_*``) are plain projections and one per-order
+window, so they scale with the base tables.
+
+Operators read them the way a deployment reads its entity tables: as stored
+Parquet (written once under the shared scratch folder by ``runs()`` etc.),
+so filters on stored columns reach the scan as pushed filters and the
+derivation is not recomputed inside every query.
 """
 
 from __future__ import annotations
@@ -44,7 +48,33 @@ URL_BASE = "https://storage.example/"
 RESULTS_BUCKET = "results"
 
 
+def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    from runledger.sources.materialize import materialize
+    return spark.read.parquet(materialize(spark, sf_dir, f"proxy_{name}", build))
+
+
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored run table."""
+    return _stored(spark, sf_dir, "runs", lambda: build_runs(spark, sf_dir))
+
+
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored cell table, sorted by (run_id, pos) within files."""
+    return _stored(spark, sf_dir, "cells",
+                   lambda: build_cells(spark, sf_dir).sortWithinPartitions("run_id", "pos"))
+
+
+def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored mainline revision table."""
+    return _stored(spark, sf_dir, "revisions", lambda: build_revisions(spark, sf_dir))
+
+
+def objects(spark: SparkSession, sf_dir: str, runs_df: DataFrame | None = None) -> DataFrame:
+    """The stored object listing (migration logs that exist)."""
+    return _stored(spark, sf_dir, "objects", lambda: build_objects(spark, sf_dir))
+
+
+def build_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per test run (FIXTURES.md §1 schema)."""
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
@@ -91,7 +121,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exploded results: run_id, test, subtest, status, sub_status, pos."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -117,7 +147,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mainline commit ids, one full sha per row."""
     o = read_table(spark, sf_dir, "orders").select("o_custkey")
     return (o.where((F.col("o_custkey") % 100) % 4 != 0)
@@ -125,9 +155,9 @@ def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
             .distinct())
 
 
-def objects(spark: SparkSession, sf_dir: str, runs_df: DataFrame | None = None) -> DataFrame:
+def build_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Object-store listing: the migration logs that exist."""
-    r = runs_df if runs_df is not None else runs(spark, sf_dir)
+    r = runs(spark, sf_dir)
     return (r.where(F.col("raw_results_url").like("%report.json") & (F.col("run_id") % 2 == 0))
             .select(F.replace("raw_results_url", F.lit("report.json"), F.lit("migration.log")).alias("path"))
             .distinct())
