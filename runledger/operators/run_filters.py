@@ -51,7 +51,10 @@ def run_predicate(params: Mapping[str, str]) -> Column:
         if name == "limit" or value in (None, ""):
             continue
         if name in STRING_PROPS:
-            preds.append(P.prop_contains(name, value))
+            # Bare ``contains`` (not coalesced): inside an AND-only filter a
+            # NULL already rejects the row, and this form is pushed to the
+            # scan as StringContains.
+            preds.append(F.col(name).contains(value))
         elif name in LIST_PROPS:
             preds.append(P.any_contains(name, value))
         else:
