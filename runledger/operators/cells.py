@@ -157,17 +157,33 @@ def last_subtest_status(cells: DataFrame) -> DataFrame:
 
 # ---- A3, A4, J6: dictionaries --------------------------------------------------
 
-def test_dictionary(cells: DataFrame, runs: DataFrame) -> DataFrame:
+POS_BITS = 32
+
+
+def first_seen_key(run_idx: Column, pos: Column) -> Column:
+    """(run order, in-report position) packed into one BIGINT: run_idx in the
+    high bits, pos in the low 32.  A single long keeps the first-seen
+    aggregate a codegen'd hash aggregate with map-side combine (a struct
+    minimum would fall back to a sort-based aggregate).  A position outside
+    [0, 2^32) fails the job rather than mis-order silently."""
+    limit = F.lit(1 << POS_BITS)
+    ok = (pos >= 0) & (pos < limit)
+    return F.when(ok, F.shiftleft(run_idx.cast("bigint"), POS_BITS) + pos) \
+        .otherwise(F.raise_error(F.lit("cell position out of range for first-seen ordering")))
+
+
+def test_dictionary(cells: DataFrame, runs: DataFrame | None = None,
+                    run_index: DataFrame | None = None) -> DataFrame:
     """A3: distinct (test, subtest) -> dense id in first-seen order: runs
-    oldest first (created_at, run_id), then position in the report."""
-    r = broadcast_if_small(runs.select("run_id", "created_at"))
-    seen = cells.select("run_id", "test", "subtest", "pos").join(r, "run_id")
+    oldest first (created_at, run_id) - i.e. by run dictionary id - then
+    position in the report.  Pass ``run_index`` (A4 output) to reuse it."""
+    if run_index is None:
+        run_index = run_dictionary(runs.select("run_id", "created_at"))
+    ri = broadcast_if_small(run_index.select(F.col("id").alias("__run_idx"), "run_id"))
+    seen = cells.select("run_id", "test", "subtest", "pos").join(ri, "run_id")
     first = (seen.groupBy("test", "subtest")
-             .agg(F.min(F.struct("created_at", "run_id", "pos")).alias("first")))
-    ordered = first.select("test", "subtest", F.col("first.created_at").alias("__c"),
-                           F.col("first.run_id").alias("__r"), F.col("first.pos").alias("__p"))
-    order = [F.col("__c").asc_nulls_first(), F.col("__r").asc(), F.col("__p").asc()]
-    return dense_ids(ordered, order, "id").select("id", "test", "subtest")
+             .agg(F.min(first_seen_key(F.col("__run_idx"), F.col("pos"))).alias("__first")))
+    return dense_ids(first, [F.col("__first").asc()], "id").select("id", "test", "subtest")
 
 
 def extend_dictionary(existing: DataFrame, cells: DataFrame, runs: DataFrame) -> DataFrame:

@@ -321,7 +321,7 @@ def stored_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The test dictionary (A3) as a stored table, built once per load."""
     return spark.read.parquet(M.materialize(
         spark, sf_dir, "tests_dictionary",
-        lambda: C.test_dictionary(X.cells(spark, sf_dir), X.runs(spark, sf_dir))))
+        lambda: C.test_dictionary(X.cells(spark, sf_dir), run_index=stored_run_index(spark, sf_dir))))
 
 
 def stored_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -248,3 +248,15 @@ def test_path_search_semantics(spark):
     assert ids("/") == [0, 1, 2, 3]
     assert ids("/eco/r/x/y") == []
     assert sorted(r.id for r in S.name_search(tests, "gear.html:s3").collect()) == [1]
+
+
+def test_extend_dictionary_keeps_ids(spark):
+    runs = runs_df(spark, [run(1), run(2, created_at=T0 + dt.timedelta(days=1))])
+    first = spark.createDataFrame([(1, "/a", None, "OK", None, 1), (1, "/a", "x", "OK", "PASS", 2)],
+                                  CELLS_SCHEMA)
+    d1 = C.test_dictionary(first, runs)
+    more = spark.createDataFrame([(2, "/b", None, "OK", None, 1), (2, "/a", None, "OK", None, 2),
+                                  (2, "/a", "y", "OK", "FAIL", 3)], CELLS_SCHEMA)
+    d2 = C.extend_dictionary(d1, more, runs).orderBy("id").collect()
+    assert [(r.id, r.test, r.subtest) for r in d2] == [
+        (0, "/a", None), (1, "/a", "x"), (2, "/b", None), (3, "/a", "y")]
