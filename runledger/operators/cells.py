@@ -47,14 +47,21 @@ def _subtests(r: Column) -> Column:
     return F.coalesce(r["subtests"], F.array().cast("array<struct<name:string,status:string>>"))
 
 
+def _part(reports: DataFrame) -> Column:
+    return F.coalesce(F.col("part"), F.lit(0).cast("bigint")) if "part" in reports.columns \
+        else F.lit(0).cast("bigint")
+
+
 def explode_matrix(reports: DataFrame, key: str = "run_id") -> DataFrame:
     """One cell for every result and one for each of its subtests; a
     subtest cell carries the parent status.  ``result_pos``/``sub_pos`` keep
-    the in-report order (``sub_pos`` NULL for the result's own cell).
+    the in-report order (``sub_pos`` NULL for the result's own cell) within
+    the report part ``part``.
 
     One generator over a per-result array (not a union of two explodes), so
     the reports are scanned once."""
-    res = reports.select(key, F.posexplode("results").alias("result_pos", "r"))
+    res = reports.select(key, _part(reports).alias("part"),
+                         F.posexplode("results").alias("result_pos", "r"))
     r = F.col("r")
     base = F.struct(r["test"].alias("test"), F.lit(None).cast("string").alias("subtest"),
                     r["status"].alias("status"), F.lit(None).cast("string").alias("sub_status"),
@@ -62,7 +69,7 @@ def explode_matrix(reports: DataFrame, key: str = "run_id") -> DataFrame:
     subs = F.transform(_subtests(r), lambda s, j: F.struct(
         r["test"].alias("test"), s["name"].alias("subtest"), r["status"].alias("status"),
         s["status"].alias("sub_status"), j.alias("sub_pos")))
-    return res.select(key, F.col("result_pos").cast("bigint").alias("result_pos"),
+    return res.select(key, "part", F.col("result_pos").cast("bigint").alias("result_pos"),
                       F.inline(F.concat(F.array(base), subs)))
 
 
@@ -80,7 +87,7 @@ def cell_value(status: Column, sub_status: Column | None) -> Column:
 def explode_wide(reports: DataFrame, key: str = "run_id") -> DataFrame:
     """Subtests if any, else the result itself -> (qualifier, value)."""
     res = reports.where(F.size(F.coalesce("results", F.array())) > 0) \
-        .select(key, F.posexplode("results").alias("result_pos", "r"))
+        .select(key, _part(reports).alias("part"), F.posexplode("results").alias("result_pos", "r"))
     r = F.col("r")
     subs = _subtests(r)
     per_sub = F.transform(subs, lambda s, j: F.struct(
@@ -90,7 +97,7 @@ def explode_wide(reports: DataFrame, key: str = "run_id") -> DataFrame:
     single = F.array(F.struct(cell_id(r["test"], None).alias("qualifier"),
                               cell_value(r["status"], None).alias("value"),
                               F.lit(0).alias("sub_pos")))
-    return res.select(key, F.col("result_pos").cast("bigint").alias("result_pos"),
+    return res.select(key, "part", F.col("result_pos").cast("bigint").alias("result_pos"),
                       F.inline(F.when(F.size(subs) > 0, per_sub).otherwise(single)))
 
 
@@ -114,13 +121,13 @@ def wide_cells(reports: DataFrame, runs: DataFrame, family: str = DEFAULT_FAMILY
     j = cells.join(r, "run_id")
     return j.select("row_key", F.lit(family).alias("family"), "qualifier", "value",
                     (load_ts if load_ts is not None else F.current_timestamp()).alias("ts"),
-                    "created_at", "run_id", "result_pos", "sub_pos")
+                    "created_at", "run_id", "part", "result_pos", "sub_pos")
 
 
 def merge_wide(cells: DataFrame) -> DataFrame:
     """K8: last write wins per (row_key, family, qualifier), ordered by
-    (ts, created_at, run_id, result_pos, sub_pos)."""
-    order = F.struct("ts", "created_at", "run_id", "result_pos", "sub_pos")
+    (ts, created_at, run_id, part, result_pos, sub_pos)."""
+    order = F.struct("ts", "created_at", "run_id", "part", "result_pos", "sub_pos")
     return (cells.groupBy("row_key", "family", "qualifier")
             .agg(F.max_by(F.struct("value", "ts"), order).alias("w"))
             .select("row_key", "family", "qualifier", F.col("w.value").alias("value"),
@@ -133,6 +140,7 @@ def upsert_wide(table: DataFrame, new_cells: DataFrame) -> DataFrame:
     old = table.select("row_key", "family", "qualifier", "value", "ts",
                        F.lit(None).cast("timestamp_ntz").alias("created_at"),
                        F.lit(None).cast("bigint").alias("run_id"),
+                       F.lit(None).cast("bigint").alias("part"),
                        F.lit(None).cast("bigint").alias("result_pos"),
                        F.lit(None).cast("int").alias("sub_pos"))
     return merge_wide(old.unionByName(new_cells.select(*old.columns)))

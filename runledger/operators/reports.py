@@ -175,22 +175,42 @@ def results_from_cells(cells: DataFrame, key: str = "run_id") -> DataFrame:
                     F.transform("__subs", lambda x: x["s"]).alias("subtests"))
 
 
+DEFAULT_PART_SIZE = 100_000
+
+
 def assemble_reports(results: DataFrame, runs: DataFrame, key: str = "run_id",
-                     info: Column | None = None, how: str = "inner") -> DataFrame:
-    """Results of each run, ordered by ``first_pos``, as one report document
-    with the run's ``run_info``.  A group is one run's report - bounded by
-    the size of a single test run, which is what a report document is."""
+                     info: Column | None = None, how: str = "inner",
+                     part_size: int = DEFAULT_PART_SIZE) -> DataFrame:
+    """Results of each run, ordered by ``first_pos``, as report documents
+    with the run's ``run_info``.
+
+    A run's report is split into ordered parts of at most ``part_size``
+    results (``part = first_pos div part_size``; positions are distinct, so a
+    part never holds more).  No row - and no aggregation group - ever holds
+    more than one part, however large a single run is; a run's report is its
+    parts in ``part`` order (one part for any run below the bound)."""
     res = F.struct("first_pos", "test", "status", "subtests")
-    per_run = (results.groupBy(key)
-               .agg(F.array_sort(F.collect_list(res)).alias("__r"))
-               .select(key, F.transform("__r", lambda x: F.struct(
-                   x["test"].alias("test"), x["status"].alias("status"),
-                   x["subtests"].alias("subtests"))).alias("results")))
+    part = F.floor(F.col("first_pos") / F.lit(part_size)).cast("bigint").alias("part")
+    per_part = (results.groupBy(key, part)
+                .agg(F.array_sort(F.collect_list(res)).alias("__r"))
+                .select(key, "part", F.transform("__r", lambda x: F.struct(
+                    x["test"].alias("test"), x["status"].alias("status"),
+                    x["subtests"].alias("subtests"))).alias("results")))
     r = runs.select(key, (info if info is not None else run_info()).alias("run_info"))
-    out = r.join(per_run, key, how)
-    return out.withColumn("results", F.coalesce(
-        "results", F.array().cast("array<struct<test:string,status:string,"
-                                  "subtests:array<struct<name:string,status:string>>>>")))
+    out = r.join(per_part, key, how)
+    return (out.withColumn("part", F.coalesce("part", F.lit(0).cast("bigint")))
+            .withColumn("results", F.coalesce(
+                "results", F.array().cast("array<struct<test:string,status:string,"
+                                          "subtests:array<struct<name:string,status:string>>>>"))))
+
+
+def report_sizes(reports: DataFrame, key: str = "run_id", by: tuple[str, ...] = ()) -> DataFrame:
+    """Per run: number of results and of subtests over all its parts."""
+    n_sub = F.aggregate("results", F.lit(0).cast("bigint"),
+                        lambda acc, r: acc + F.size(F.coalesce(r["subtests"], F.array())))
+    return (reports.groupBy(key, *by)
+            .agg(F.sum(F.size("results")).cast("bigint").alias("n_results"),
+                 F.sum(n_sub).cast("bigint").alias("n_subtests")))
 
 
 def consolidate(shards: DataFrame, runs: DataFrame, revisions: DataFrame,

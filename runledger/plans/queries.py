@@ -283,12 +283,14 @@ def load_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("explode_cells_matrix")
 def explode_cells_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.explode_matrix(load_reports(spark, sf_dir))
+    return C.explode_matrix(load_reports(spark, sf_dir)).select(
+        "run_id", "result_pos", "test", "subtest", "status", "sub_status", "sub_pos")
 
 
 @query("explode_cells_wide")
 def explode_cells_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.explode_wide(load_reports(spark, sf_dir))
+    return C.explode_wide(load_reports(spark, sf_dir)).select(
+        "run_id", "result_pos", "qualifier", "value", "sub_pos")
 
 
 @query("wide_cells")
@@ -413,8 +415,8 @@ def _stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stamp_run_info")
 def stamp_run_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stamped(spark, sf_dir).select(
-        "run_id", "run_info.*", F.size("results").cast("bigint").alias("n_results"))
+    sizes = RP.report_sizes(_stamped(spark, sf_dir), by=("run_info",))
+    return sizes.select("run_id", "run_info.*", "n_results")
 
 
 @query("write_reports")
@@ -422,8 +424,8 @@ def write_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3/K4: stamped reports written as gzip JSON lines, read back."""
     path = RIO.write_reports(_stamped(spark, sf_dir), fresh_dir(spark, "reports_gz"), "gzip")
     good, _ = RIO.read_reports(spark, path)
-    return good.select("run_id", F.col("run_info.browser_name").alias("browser_name"),
-                       F.size("results").cast("bigint").alias("n_results"))
+    good = good.withColumn("browser_name", F.col("run_info.browser_name"))
+    return RP.report_sizes(good, by=("browser_name",)).select("run_id", "browser_name", "n_results")
 
 
 @query("gzip_lines")
@@ -433,17 +435,20 @@ def gzip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- §2.6 A2, S5, K4: consolidation --------------------------------------------
 
+_CONSOLIDATED_READ = (
+    "run_id BIGINT, part BIGINT, report_url STRING, run_info STRUCT<browser_name: STRING, "
+    "full_revision_hash: STRING>, results ARRAY<STRUCT<test: STRING, status: STRING, "
+    "subtests: ARRAY<STRUCT<name: STRING, status: STRING>>>>")
 _SHARD_READ = ("run_id BIGINT, test STRING, status STRING, first_pos BIGINT, "
                "subtests ARRAY<STRUCT<name: STRING, status: STRING>>")
 
 
 def consolidation_summary(reports: DataFrame) -> DataFrame:
-    return reports.select(
-        "run_id", "report_url", F.col("run_info.full_revision_hash").alias("full_revision_hash"),
-        F.col("run_info.browser_name").alias("browser_name"),
-        F.size("results").cast("bigint").alias("n_results"),
-        F.aggregate("results", F.lit(0).cast("bigint"),
-                    lambda acc, r: acc + F.size(F.coalesce(r["subtests"], F.array()))).alias("n_subtests"))
+    """Per consolidated run (summed over report parts)."""
+    r = reports.select("run_id", "report_url", "results",
+                       F.col("run_info.full_revision_hash").alias("full_revision_hash"),
+                       F.col("run_info.browser_name").alias("browser_name"))
+    return RP.report_sizes(r, by=("report_url", "full_revision_hash", "browser_name"))
 
 
 @query("consolidate_reports")
@@ -451,10 +456,7 @@ def consolidate_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = spark.read.schema(_SHARD_READ).json(shards_path(spark, sf_dir))
     out = RP.consolidate(shards, X.runs(spark, sf_dir), X.revisions(spark, sf_dir))
     path = RIO.write_reports(out, fresh_dir(spark, "consolidated"), "gzip")
-    back = spark.read.schema(
-        "run_id BIGINT, report_url STRING, run_info STRUCT<browser_name: STRING, "
-        "full_revision_hash: STRING>, results ARRAY<STRUCT<test: STRING, status: STRING, "
-        "subtests: ARRAY<STRUCT<name: STRING, status: STRING>>>>").json(path)
+    back = spark.read.schema(_CONSOLIDATED_READ).json(path)
     return consolidation_summary(back)
 
 
@@ -549,8 +551,5 @@ def stream_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   X.revisions(spark, sf_dir), out, fresh_dir(spark, "stream_ckpt"),
                                   max_files_per_trigger=2)
     q.awaitTermination()
-    back = spark.read.schema(
-        "run_id BIGINT, report_url STRING, run_info STRUCT<browser_name: STRING, "
-        "full_revision_hash: STRING>, results ARRAY<STRUCT<test: STRING, status: STRING, "
-        "subtests: ARRAY<STRUCT<name: STRING, status: STRING>>>>").json(out)
+    back = spark.read.schema(_CONSOLIDATED_READ).json(out)
     return consolidation_summary(back)

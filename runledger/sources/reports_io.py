@@ -24,6 +24,8 @@ RUN_INFO = T.StructType([T.StructField(c, T.StringType()) for c in (
     "browser_name", "browser_version", "os_name", "os_version", "revision", "full_revision_hash")])
 REPORT = T.StructType([
     T.StructField("run_id", T.LongType()),
+    # Report part (0 when a run's report is a single document).
+    T.StructField("part", T.LongType()),
     T.StructField("run_info", RUN_INFO),
     T.StructField("results", T.ArrayType(RESULT)),
 ])
@@ -52,7 +54,8 @@ def read_reports(spark: SparkSession, path: str | list[str], schema: T.StructTyp
            .json(path)
            .withColumn("source_file", F.input_file_name()))
     ok = F.col(CORRUPT).isNull() & F.col("run_id").isNotNull()
-    good = raw.where(ok & (F.size(F.coalesce("results", F.array())) > 0)).drop(CORRUPT)
+    good = (raw.where(ok & (F.size(F.coalesce("results", F.array())) > 0)).drop(CORRUPT)
+            .withColumn("part", F.coalesce("part", F.lit(0).cast("bigint"))))
     bad = raw.where(~ok).select("source_file", F.col(CORRUPT).alias("raw"))
     return good, bad
 
@@ -69,5 +72,5 @@ def join_reports(runs: DataFrame, reports: DataFrame, how: str = "inner", key: s
                  ) -> DataFrame:
     """J5 (S3 inner / S4 left): runs with their parsed report; with ``left``
     a run whose report is missing, unreadable or empty keeps its row."""
-    rep = reports.select(key, F.col("run_info").alias("report_run_info"), "results")
+    rep = reports.select(key, "part", F.col("run_info").alias("report_run_info"), "results")
     return runs.join(rep, key, how)

@@ -260,3 +260,18 @@ def test_extend_dictionary_keeps_ids(spark):
     d2 = C.extend_dictionary(d1, more, runs).orderBy("id").collect()
     assert [(r.id, r.test, r.subtest) for r in d2] == [
         (0, "/a", None), (1, "/a", "x"), (2, "/b", None), (3, "/a", "y")]
+
+
+def test_report_parts_bound_rows(spark):
+    cells = spark.createDataFrame(
+        [(1, f"/t{i}.html", None, "OK" if i < 4 else "ERROR", None, i) for i in range(1, 6)]
+        + [(1, "/t1.html", "s", "OK", "PASS", 6)], CELLS_SCHEMA)
+    runs = runs_df(spark, [run(1)])
+    reps = RP.assemble_reports(RP.results_from_cells(cells), runs, part_size=2)
+    parts = {r.part: [x.test for x in r.results] for r in reps.collect()}
+    assert parts == {0: ["/t1.html"], 1: ["/t2.html", "/t3.html"], 2: ["/t4.html", "/t5.html"]}
+    sizes = RP.report_sizes(reps).first()
+    assert (sizes.n_results, sizes.n_subtests) == (5, 1)
+    order = [(r.part, r.result_pos, r.test) for r in
+             C.explode_matrix(reps).where("subtest IS NULL").orderBy("part", "result_pos").collect()]
+    assert [t for _, _, t in order] == ["/t1.html", "/t2.html", "/t3.html", "/t4.html", "/t5.html"]
