@@ -213,19 +213,41 @@ def report_sizes(reports: DataFrame, key: str = "run_id", by: tuple[str, ...] =
                  F.sum(n_sub).cast("bigint").alias("n_subtests")))
 
 
+def run_bucket(key: str = "run_id", buckets: int = 64) -> Column:
+    """Hash bucket of a run key, used as the partition column of shard
+    tables so lookups for a few runs read only their buckets."""
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
+def shards_for(shards: DataFrame, runs: DataFrame, key: str = "run_id",
+               buckets: int | None = None) -> DataFrame:
+    """Only the shards of ``runs``.  When the shard table is partitioned by
+    ``run_bucket`` the semi join also carries the bucket, so a small run set
+    prunes whole bucket folders at run time (dynamic partition pruning)."""
+    keys = runs.select(key).distinct()
+    if buckets and "run_bucket" in shards.columns:
+        keys = keys.withColumn("run_bucket", run_bucket(key, buckets))
+        return shards.join(broadcast_if_small(keys), ["run_bucket", key], "left_semi")
+    return shards.join(broadcast_if_small(keys), key, "left_semi")
+
+
 def consolidate(shards: DataFrame, runs: DataFrame, revisions: DataFrame,
-                url_base: str = DEFAULT_URL_BASE, bucket: str = DEFAULT_BUCKET) -> DataFrame:
+                url_base: str = DEFAULT_URL_BASE, bucket: str = DEFAULT_BUCKET,
+                shard_buckets: int | None = None) -> DataFrame:
     """S5 + A2 + R11: for every run not yet handled (no raw results URL) whose
-    revision resolves, gather its shard results into one report stamped with
+    revision resolves, gather its shard results into a report stamped with
     the full hash and the browser name without ``-experimental``, and the
     location it is written to.
 
     ``shards`` has one row per shard result: ``run_id, test, status,
-    subtests, first_pos``.  Runs with no shard get an empty report."""
+    subtests, first_pos`` (and ``run_bucket`` when bucketed).  Only the
+    shards of the runs being handled are read and grouped.  Runs with no
+    shard get an empty report."""
     todo = REV.resolve(runs.where(P.is_missing_str("raw_results_url")), revisions)
     todo = report_locations(todo)
+    mine = shards_for(shards, todo, buckets=shard_buckets)
     info = run_info(trim_experimental=True, hash_col="resolved_hash")
-    reports = assemble_reports(shards, todo, info=info, how="left")
+    reports = assemble_reports(mine, todo, info=info, how="left")
     return reports.join(todo.select("run_id", "report_path", "report_url", "resolved_hash"), "run_id")
 
 

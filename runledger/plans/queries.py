@@ -251,10 +251,17 @@ def reports_path(spark: SparkSession, sf_dir: str) -> str:
     return M.materialize(spark, sf_dir, "reports", build, fmt="json")
 
 
+SHARD_BUCKETS = 16
+
+
 def shards_path(spark: SparkSession, sf_dir: str) -> str:
-    """Sharded results: one JSON line per (run, test) result."""
-    return M.materialize(spark, sf_dir, "shards",
-                         lambda: RP.results_from_cells(X.cells(spark, sf_dir)), fmt="json")
+    """Sharded results: one JSON line per (run, test) result, in folders by
+    ``run_bucket`` (a hash of the run key) so lookups for a few runs prune."""
+    def build():
+        r = RP.results_from_cells(X.cells(spark, sf_dir)).withColumn(
+            "run_bucket", RP.run_bucket("run_id", SHARD_BUCKETS))
+        return r.repartition("run_bucket")
+    return M.materialize(spark, sf_dir, "shards", build, fmt="json", partition_by=["run_bucket"])
 
 
 def load_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -439,7 +446,7 @@ _CONSOLIDATED_READ = (
     "run_id BIGINT, part BIGINT, report_url STRING, run_info STRUCT<browser_name: STRING, "
     "full_revision_hash: STRING>, results ARRAY<STRUCT<test: STRING, status: STRING, "
     "subtests: ARRAY<STRUCT<name: STRING, status: STRING>>>>")
-_SHARD_READ = ("run_id BIGINT, test STRING, status STRING, first_pos BIGINT, "
+_SHARD_READ = ("run_bucket INT, run_id BIGINT, test STRING, status STRING, first_pos BIGINT, "
                "subtests ARRAY<STRUCT<name: STRING, status: STRING>>")
 
 
@@ -454,7 +461,8 @@ def consolidation_summary(reports: DataFrame) -> DataFrame:
 @query("consolidate_reports")
 def consolidate_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = spark.read.schema(_SHARD_READ).json(shards_path(spark, sf_dir))
-    out = RP.consolidate(shards, X.runs(spark, sf_dir), X.revisions(spark, sf_dir))
+    out = RP.consolidate(shards, X.runs(spark, sf_dir), X.revisions(spark, sf_dir),
+                         shard_buckets=SHARD_BUCKETS)
     path = RIO.write_reports(out, fresh_dir(spark, "consolidated"), "gzip")
     back = spark.read.schema(_CONSOLIDATED_READ).json(path)
     return consolidation_summary(back)
@@ -549,7 +557,7 @@ def stream_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_dir(spark, "stream_out")
     q = STREAM.consolidate_stream(spark, src, X.runs(spark, sf_dir).schema, shards,
                                   X.revisions(spark, sf_dir), out, fresh_dir(spark, "stream_ckpt"),
-                                  max_files_per_trigger=2)
+                                  max_files_per_trigger=2, shard_buckets=SHARD_BUCKETS)
     q.awaitTermination()
     back = spark.read.schema(_CONSOLIDATED_READ).json(out)
     return consolidation_summary(back)

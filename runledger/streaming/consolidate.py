@@ -29,14 +29,14 @@ from runledger.operators import reports as RP
 def consolidate_stream(spark: SparkSession, runs_dir: str, runs_schema: StructType,
                        shards: DataFrame, revisions: DataFrame, out_dir: str, checkpoint: str,
                        max_files_per_trigger: int = 1, available_now: bool = True,
-                       processing_time: str | None = None):
+                       processing_time: str | None = None, shard_buckets: int | None = None):
     """Start the stream; returns the ``StreamingQuery``."""
     src = (spark.readStream.schema(runs_schema)
            .option("maxFilesPerTrigger", max_files_per_trigger)
            .parquet(runs_dir))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        out = RP.consolidate(shards, batch, revisions)
+        out = RP.consolidate(shards, batch, revisions, shard_buckets=shard_buckets)
         (out.write.mode("overwrite").option("compression", "gzip")
          .json(f"{out_dir}/batch={batch_id:010d}"))
 

@@ -62,3 +62,11 @@ def test_dedup_joins_on_composite_key(spark):
 def test_dense_ids_avoid_global_row_number(spark):
     p = plan(Q.run_dictionary(spark, SF_SMALL))
     assert "row_number" not in p.lower()
+
+
+def test_shard_lookup_prunes_buckets(spark):
+    from runledger.operators import reports as RP
+    shards = spark.read.schema(Q._SHARD_READ).json(Q.shards_path(spark, SF_SMALL))
+    runs = X.runs(spark, SF_SMALL).where(F.col("raw_results_url") == "")
+    p = plan(RP.shards_for(shards, runs, buckets=Q.SHARD_BUCKETS))
+    assert "dynamicpruning" in p.lower()
