@@ -1,47 +1,91 @@
 """Derived tables written once under the shared scratch folder.
 
-A derived table (reports JSON, wide cells, revision text, snapshots) is
-written to ``<spark.checkpoint.dir>/runledger/tables/<source-id>/<name>`` and
-reused while its ``_SUCCESS`` marker exists.  Writing cuts lineage (a lost
-executor recomputes from the written files, not from the base tables) and
-lets later reads use Parquet pushdown and pruning.
+A derived table (stored proxy tables, reports JSON, shards, wide cells,
+dictionaries) lives under ``<spark.checkpoint.dir>/runledger/tables/<source-id>/<name>``:
+
+* each build writes a fresh ``data-<id>`` folder (never overwriting anything
+  a reader may hold open);
+* after the job has committed, a small ``_CURRENT`` marker naming that folder
+  is written; readers follow the marker.
+
+A build that dies half way leaves an unreferenced folder and no marker, so it
+is never read.  The marker is written through Hadoop's FileSystem, so any
+shared store the checkpoint folder lives on works.  (``_SUCCESS`` is not used
+as the signal: partitioned writes under dynamic partition overwrite do not
+leave one at the root.)
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from runledger.session import scratch_dir
 
+MARKER = "_CURRENT"
+
 
 def table_path(spark: SparkSession, source: str, name: str) -> str:
     sid = hashlib.sha1(os.path.abspath(source).encode()).hexdigest()[:12]
     return scratch_dir(spark, "tables", sid, name)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """``path/_SUCCESS`` exists, checked through Hadoop's FileSystem so any
-    shared store the checkpoint folder lives on works."""
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_marker(spark: SparkSession, path: str, text: str) -> None:
+    """Write ``text`` to ``path`` (replacing it) through Hadoop's FileSystem."""
+    p, fs = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_marker(spark: SparkSession, path: str) -> str | None:
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return None
     jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip() or None
+    finally:
+        stream.close()
+
+
+def current(spark: SparkSession, path: str) -> str | None:
+    """The committed data folder of a derived table, if any."""
+    name = read_marker(spark, f"{path}/{MARKER}")
+    return f"{path}/{name}" if name else None
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    return current(spark, path) is not None
 
 
 def materialize(spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame],
                 fmt: str = "parquet", options: dict | None = None,
                 partition_by: list[str] | None = None) -> str:
-    """Write ``build()`` once as ``fmt``; return the path."""
+    """Write ``build()`` once as ``fmt``; return the committed data folder."""
     path = table_path(spark, source, name)
-    if not exists(spark, path):
-        w = build().write.mode("overwrite").format(fmt)
-        for k, v in (options or {}).items():
-            w = w.option(k, v)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(path)
-    return path
+    got = current(spark, path)
+    if got:
+        return got
+    data = f"data-{uuid.uuid4().hex[:12]}"
+    w = build().write.mode("errorifexists").format(fmt)
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(f"{path}/{data}")
+    write_marker(spark, f"{path}/{MARKER}", data)
+    return f"{path}/{data}"

@@ -1,11 +1,11 @@
 """Versioned tables on plain files: atomic replace without a table format.
 
 A commit writes the whole new table to a fresh version folder
-``<root>/v<NNNNNNNN>``; Spark's committer writes ``_SUCCESS`` only after every
-task has committed, so a version is visible exactly when it is complete.
-Readers take the highest version with ``_SUCCESS``: a half-written version
-(failed job, lost executors) is never read, and a path being read is never
-overwritten.  Old versions stay until removed on purpose.
+``<root>/v<NNNNNNNN>``; only after Spark's job has committed is a
+``_COMMITTED`` marker written into it, so a version is visible exactly when
+it is complete.  Readers take the highest version with the marker: a
+half-written version (failed job, lost executors) is never read, and a path
+being read is never overwritten.  Old versions stay until removed on purpose.
 """
 
 from __future__ import annotations
@@ -14,7 +14,10 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from runledger.sources.materialize import write_marker
+
 _VERSION = re.compile(r"^v(\d{8})$")
+COMMITTED = "_COMMITTED"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -36,7 +39,7 @@ class VersionedTable:
         for st in fs.listStatus(p):
             m = _VERSION.match(st.getPath().getName())
             if m and st.isDirectory():
-                ok, _ = _fs(self.spark, f"{self.root}/{st.getPath().getName()}/_SUCCESS")
+                ok, _ = _fs(self.spark, f"{self.root}/{st.getPath().getName()}/{COMMITTED}")
                 if fs.exists(ok):
                     out.append(int(m.group(1)))
         return sorted(out)
@@ -65,6 +68,7 @@ class VersionedTable:
                         if (m := _VERSION.match(st.getPath().getName()))]
         nxt = (max(existing) + 1) if existing else 1
         df.write.mode("errorifexists").format(self.fmt).save(self.path(nxt))
+        write_marker(self.spark, f"{self.path(nxt)}/{COMMITTED}", str(nxt))
         return nxt
 
 
