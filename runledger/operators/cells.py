@@ -262,3 +262,13 @@ def write_pivot(p: DataFrame, by: str, path: str, num_files: int | None = None)
      .repartitionByRange(n, by, "chunk").sortWithinPartitions(by, "chunk")
      .write.mode("errorifexists").json(path))
     return path
+
+
+def upsert_wide_table(table, new_cells: DataFrame) -> int:
+    """K8 on storage: merge newly exploded cells into the current version of
+    a ``VersionedTable`` of merged wide cells and commit the result as the
+    next version (readers of the old version are never disturbed)."""
+    cur = table.current()
+    merged = merge_wide(new_cells) if cur is None else upsert_wide(table.read(cur), new_cells)
+    return table.commit(merged.repartitionByRange("row_key", "qualifier")
+                        .sortWithinPartitions("row_key", "qualifier"))
