@@ -122,8 +122,10 @@ def has_any(labels: str | Column, names: Sequence[str]) -> Column:
 
 
 def is_missing_str(s: str | Column) -> Column:
-    """P5: NULL or empty string."""
-    return F.coalesce(_c(s), F.lit("")) == F.lit("")
+    """P5: NULL or empty string (never NULL itself; written as IS NULL OR = ''
+    so its negation reaches the scan as IsNotNull + Not(EqualTo))."""
+    c = _c(s)
+    return c.isNull() | (c == F.lit(""))
 
 
 def is_missing_time(ts: str | Column) -> Column:

@@ -63,10 +63,13 @@ def bucket_prefix(url_base: str = DEFAULT_URL_BASE, bucket: str = DEFAULT_BUCKET
 
 def in_bucket_report(url: str | Column = "raw_results_url", url_base: str = DEFAULT_URL_BASE,
                      bucket: str = DEFAULT_BUCKET) -> Column:
-    """The location is in the bucket and names a ``report.json``."""
+    """The location is in the bucket and names a ``report.json``.
+
+    NULL for a NULL location (a filter drops it); kept bare so it is pushed
+    to the scan as StringStartsWith / StringEndsWith.  Coalesce before
+    negating."""
     u = F.col(url) if isinstance(url, str) else url
-    return F.coalesce(u.startswith(bucket_prefix(url_base, bucket)) & u.endswith(REPORT_FILE),
-                      F.lit(False))
+    return u.startswith(bucket_prefix(url_base, bucket)) & u.endswith(REPORT_FILE)
 
 
 def report_path(url: str = "raw_results_url", url_base: str = DEFAULT_URL_BASE,

@@ -70,3 +70,13 @@ def test_shard_lookup_prunes_buckets(spark):
     runs = X.runs(spark, SF_SMALL).where(F.col("raw_results_url") == "")
     p = plan(RP.shards_for(shards, runs, buckets=Q.SHARD_BUCKETS))
     assert "dynamicpruning" in p.lower()
+
+
+def test_url_predicates_push_down(spark):
+    from runledger.operators import reports as RP
+    runs = X.runs(spark, SF_SMALL)
+    p = plan(D.dedup(runs)[0])
+    assert "PushedFilters: [IsNotNull(raw_results_url), Not(EqualTo(raw_results_url,))" in p
+    p = plan(RP.with_migration_log(runs, X.objects(spark, SF_SMALL)))
+    assert "StringStartsWith(raw_results_url,https://storage.example/results/)" in p
+    assert "StringEndsWith(raw_results_url,report.json)" in p
