@@ -14,9 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.functions import predicates as P
+from runledger.operators import cells as C
+from runledger.operators import dedup as D
+from runledger.operators import reports as RP
 from runledger.operators import revisions as REV
 from runledger.operators import rules as R
+from runledger.operators import run_filters as RF
+from runledger.operators import search as S
+from runledger.session import fresh_dir
 from runledger.sources import fixtures as X
+from runledger.sources import materialize as M
+from runledger.sources import reports_io as RIO
+from runledger.sources import snapshot as SN
+from runledger.sources import text_lines as TL
+from runledger.sources import versioned as V
+from runledger.streaming import consolidate as STREAM
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -104,12 +116,6 @@ FLAGSHIP = "apply_rules_chain"
 
 # ---- §2.7 / K2 duplicates ----------------------------------------------------
 
-from runledger.operators import dedup as D  # noqa: E402
-from runledger.operators import reports as RP  # noqa: E402
-from runledger.operators import run_filters as RF  # noqa: E402
-from runledger.sources import materialize as M  # noqa: E402
-from runledger.sources import text_lines as TL  # noqa: E402
-
 
 @query("dedup_runs")
 def dedup_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,10 +240,6 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- derived tables (written once under the shared scratch folder) ---------------
 
-from runledger.operators import cells as C  # noqa: E402
-from runledger.operators import search as S  # noqa: E402
-from runledger.sources import reports_io as RIO  # noqa: E402
-from runledger.session import fresh_dir  # noqa: E402
 
 # Load timestamp stamped on every wide cell of the initial load.
 WIDE_LOAD_TS = "2020-01-01 00:00:00"
@@ -510,9 +512,6 @@ def name_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- §2.1 S6/K6/M3, §2.2 K1, §2.12 X1 --------------------------------------------
 
-from runledger.sources import snapshot as SN  # noqa: E402
-from runledger.sources import versioned as V  # noqa: E402
-from runledger.streaming import consolidate as STREAM  # noqa: E402
 
 _SNAP_RUNS = "id BIGINT, run_id BIGINT, browser_name STRING, created_at TIMESTAMP_NTZ"
 
