@@ -74,3 +74,26 @@ def join_reports(runs: DataFrame, reports: DataFrame, how: str = "inner", key: s
     a run whose report is missing, unreadable or empty keeps its row."""
     rep = reports.select(key, "part", F.col("run_info").alias("report_run_info"), "results")
     return runs.join(rep, key, how)
+
+
+SHARD = T.StructType([
+    T.StructField("test", T.StringType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("subtests", T.ArrayType(SUBTEST)),
+])
+
+
+def read_shard_files(spark: SparkSession, root: str, run_id_pattern: str = r"/([0-9]+)/[^/]+$",
+                     schema: T.StructType = SHARD) -> DataFrame:
+    """S5 input as one small JSON document per test result, in a folder per
+    run (``<root>/<run_id>/<anything>.json``): the run key comes from the
+    path.  Files are listed and parsed in parallel.  ``source_file`` is kept
+    so the caller can give each result its ``first_pos`` (e.g. file order)
+    before ``reports.assemble_reports``."""
+    docs = (spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
+            .option("recursiveFileLookup", "true").json(root)
+            .withColumn("__f", F.input_file_name()))
+    return (docs.withColumn("run_id", F.regexp_extract("__f", run_id_pattern, 1).try_cast("bigint"))
+            .where(F.col("run_id").isNotNull() & F.col("test").isNotNull())
+            .select("run_id", "test", "status", "subtests",
+                    F.col("__f").alias("source_file")))

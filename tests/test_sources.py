@@ -50,3 +50,20 @@ def test_binary_file_listing(spark, tmp_path):
     runs = runs_df(spark, [run(1, raw_results_url=base + "abc/chrome-1_linux-10/report.json"),
                            run(2, raw_results_url=base + "abc/firefox-2_linux-10/report.json")])
     assert [r.run_id for r in RP.with_migration_log(runs, objs).collect()] == [1]
+
+
+def test_shard_files_consolidate(spark, tmp_path):
+    import json
+    from pyspark.sql import Window
+    from runledger.sources import reports_io as RIO
+    for rid, tests in {7: ["/a.html", "/b.html"], 8: ["/c.html"]}.items():
+        d = tmp_path / str(rid)
+        d.mkdir()
+        for i, t in enumerate(tests):
+            (d / f"{i:03d}.json").write_text(json.dumps({"test": t, "status": "OK", "subtests": []}, indent=1))
+    shards = RIO.read_shard_files(spark, str(tmp_path))
+    w = Window.partitionBy("run_id").orderBy("source_file")
+    shards = shards.withColumn("first_pos", F.row_number().over(w).cast("bigint"))
+    got = {r.run_id: [x.test for x in r.results] for r in
+           RP.assemble_reports(shards, runs_df(spark, [run(7), run(8)])).collect()}
+    assert got == {7: ["/a.html", "/b.html"], 8: ["/c.html"]}
