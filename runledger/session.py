@@ -9,7 +9,6 @@ tests) do we pick a folder of our own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
