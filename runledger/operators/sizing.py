@@ -1,20 +1,51 @@
 """Size-checked broadcast.
 
-A side is broadcast only after a bounded probe proves it has at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` stops early, so the probe
-never scans more than that many rows past the filters).  Above the bound the
-frame is returned as is and Spark plans a shuffle join; AQE may still turn it
-into a broadcast at run time from real shuffle statistics.
+A side is broadcast only after a bounded probe proves it small: one job over
+``limit(max_rows + 1)`` counts the rows and adds up their actual size (UTF-8
+length of every string column, fixed width of everything else), so it never
+reads more than ``max_rows + 1`` rows past the filters.  Only when both the
+row bound and the byte bound hold is the frame hinted for broadcast; above
+them it is returned as is and Spark plans a shuffle join (AQE may still
+switch strategy from real shuffle statistics).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+# Fixed widths in bytes of the primitive types (Spark's in-memory sizes).
+_FIXED = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
+          T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
+          T.TimestampNTZType: 8, T.DecimalType: 16}
+
+
+def _width(field: T.StructField) -> Column:
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint")
+    # Nested values: their serialized JSON length bounds them well enough.
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.length(F.to_json(c)), F.lit(0)).cast("bigint")
+    return F.lit(_FIXED.get(type(field.dataType), 8)).cast("bigint")
+
+
+def probe_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """(rows, bytes) of at most ``max_rows + 1`` rows of ``df``."""
+    width = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        width = width + _width(f)
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                     F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return int(row["n"]), int(row["b"])
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    n, b = probe_size(df, max_rows)
+    return F.broadcast(df) if n <= max_rows and b <= max_bytes else df

@@ -80,3 +80,14 @@ def test_url_predicates_push_down(spark):
     p = plan(RP.with_migration_log(runs, X.objects(spark, SF_SMALL)))
     assert "StringStartsWith(raw_results_url,https://storage.example/results/)" in p
     assert "StringEndsWith(raw_results_url,report.json)" in p
+
+
+def test_broadcast_probe_bounds(spark):
+    from runledger.operators import sizing as SZ
+    df = spark.createDataFrame([("x" * 100, 1), ("y" * 50, 2)], "s string, n bigint")
+    assert SZ.probe_size(df, 10) == (2, 100 + 8 + 50 + 8)
+    assert "BroadcastHashJoin" in plan(df.join(SZ.broadcast_if_small(df.select("n")), "n"))
+    big = SZ.broadcast_if_small(df, max_rows=1)
+    small_bytes = SZ.broadcast_if_small(df, max_bytes=100)
+    for d in (big, small_bytes):
+        assert "ResolvedHint" not in d._jdf.queryExecution().analyzed().toString()
