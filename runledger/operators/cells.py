@@ -238,7 +238,8 @@ def pivot(cells: DataFrame, by: str, other: str, chunk_size: int = DEFAULT_CHUNK
     every map at ``chunk_size`` entries, so hot keys split across rows and
     tasks; entries are sorted so the map order is deterministic."""
     entry = F.struct(F.col(other).alias("k"), F.struct(*values).alias("v"))
-    return (cells.groupBy(by, F.floor(F.col(other) / F.lit(chunk_size)).cast("bigint").alias("chunk"))
+    chunk = F.expr(f"`{other}` div {int(chunk_size)}").cast("bigint").alias("chunk")
+    return (cells.groupBy(by, chunk)
             .agg(F.array_sort(F.collect_list(entry)).alias("__e"))
             .select(by, "chunk", F.map_from_entries("__e").alias("entries")))
 

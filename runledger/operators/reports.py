@@ -193,7 +193,7 @@ def assemble_reports(results: DataFrame, runs: DataFrame, key: str = "run_id",
     more than one part, however large a single run is; a run's report is its
     parts in ``part`` order (one part for any run below the bound)."""
     res = F.struct("first_pos", "test", "status", "subtests")
-    part = F.floor(F.col("first_pos") / F.lit(part_size)).cast("bigint").alias("part")
+    part = F.expr(f"first_pos div {int(part_size)}").cast("bigint").alias("part")
     per_part = (results.groupBy(key, part)
                 .agg(F.array_sort(F.collect_list(res)).alias("__r"))
                 .select(key, "part", F.transform("__r", lambda x: F.struct(
