@@ -273,3 +273,46 @@ def upsert_wide_table(table, new_cells: DataFrame) -> int:
     merged = merge_wide(new_cells) if cur is None else upsert_wide(table.read(cur), new_cells)
     return table.commit(merged.repartitionByRange("row_key", "qualifier")
                         .sortWithinPartitions("row_key", "qualifier"))
+
+
+# ---- the matrix loader: reports -> dictionary -> encoded last-write cells -------
+
+def _in_report_order() -> Column:
+    """(part, result_pos, sub_pos) with a result's own cell (sub_pos NULL)
+    before its subtests."""
+    return F.struct("part", "result_pos", F.coalesce(F.col("sub_pos"), F.lit(-1)).alias("sub_pos"))
+
+
+def report_dictionary(matrix_cells: DataFrame, run_index: DataFrame) -> DataFrame:
+    """A3 over exploded reports (R15 output): dense ids in first-seen order -
+    runs by run-dictionary id, then in-report position.
+
+    Two phases keep the big aggregation a hash aggregate: the first run of
+    every entry is ``min(run_idx)`` (a long); the in-report minimum is then
+    taken only over that run's rows (a semi join on the entry and run)."""
+    ri = broadcast_if_small(run_index.select(F.col("id").alias("run_idx"), "run_id"))
+    cells = matrix_cells.join(ri, "run_id")
+    first_run = cells.groupBy("test", "subtest").agg(F.min("run_idx").alias("run_idx"))
+    key = (cells["test"] == first_run["test"]) & cells["subtest"].eqNullSafe(first_run["subtest"]) \
+        & (cells["run_idx"] == first_run["run_idx"])
+    firsts = cells.join(first_run, key, "left_semi")
+    first = (firsts.groupBy("test", "subtest")
+             .agg(F.min(F.struct("run_idx", _in_report_order().alias("o"))).alias("f")))
+    order = [F.col("f.run_idx"), F.col("f.o.part"), F.col("f.o.result_pos"), F.col("f.o.sub_pos")]
+    return dense_ids(first, order, "id").select("id", "test", "subtest")
+
+
+def load_matrix(reports: DataFrame, run_index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The matrix loader: ``(tests, cells)`` where ``cells`` holds one
+    ``(run_idx, test_id, status, sub_status)`` per cell written last."""
+    m = explode_matrix(reports)
+    tests = report_dictionary(m, run_index)
+    t = broadcast_if_small(tests.select(F.col("id").alias("test_id"), F.col("test").alias("__t"),
+                                        F.col("subtest").alias("__s")))
+    ri = broadcast_if_small(run_index.select(F.col("id").alias("run_idx"), "run_id"))
+    enc = (m.join(t, (m["test"] == t["__t"]) & m["subtest"].eqNullSafe(t["__s"]))
+           .join(ri, "run_id")
+           .select("run_idx", "test_id", normalize_status("status").alias("status"),
+                   normalize_status("sub_status").alias("sub_status"), "part", "result_pos", "sub_pos"))
+    cells = last_write(enc, ("run_idx", "test_id"), _in_report_order())
+    return tests, cells

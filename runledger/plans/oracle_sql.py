@@ -396,3 +396,31 @@ ORACLE["snapshot_roundtrip"] = ORACLE["pivot_by_run"]
 ORACLE["stream_consolidate"] = ORACLE["consolidate_reports"]
 
 ORACLE["apply_rewrite"] = "SELECT run_id, labels, time_start FROM (" + ORACLE["apply_rules_chain"] + ") z"
+
+
+# ---- the matrix loader over exploded reports ------------------------------------------
+
+_LOADER = """
+ex AS (SELECT run_id, result_pos, test, CAST(NULL AS VARCHAR) AS subtest, status,
+         CAST(NULL AS VARCHAR) AS sub_status, -1 AS sp FROM results_pos
+       UNION ALL
+       SELECT run_id, result_pos, test, subtest, status, sub_status, sub_pos AS sp FROM sub_rows),
+rindex AS (SELECT CAST(row_number() OVER (ORDER BY created_at, run_id) - 1 AS BIGINT) AS id, run_id FROM runs),
+exi AS (SELECT e.*, ri.id AS run_idx FROM ex e JOIN rindex ri ON e.run_id = ri.run_id),
+fs AS (SELECT test, subtest, run_idx, result_pos, sp,
+         row_number() OVER (PARTITION BY test, subtest ORDER BY run_idx, result_pos, sp) AS rn FROM exi),
+rtests AS (SELECT CAST(row_number() OVER (ORDER BY run_idx, result_pos, sp) - 1 AS BIGINT) AS id, test, subtest
+           FROM fs WHERE rn = 1),
+rcells AS (SELECT x.run_idx, t.id AS test_id,
+   CASE WHEN x.status IS NULL THEN NULL WHEN upper(trim(x.status)) IN ('OK','PASS','FAIL','ERROR','TIMEOUT',
+     'NOTRUN','CRASH','ASSERT','SKIP','PRECONDITION_FAILED') THEN upper(trim(x.status)) ELSE 'UNKNOWN' END AS status,
+   CASE WHEN x.sub_status IS NULL THEN NULL WHEN upper(trim(x.sub_status)) IN ('OK','PASS','FAIL','ERROR','TIMEOUT',
+     'NOTRUN','CRASH','ASSERT','SKIP','PRECONDITION_FAILED') THEN upper(trim(x.sub_status)) ELSE 'UNKNOWN' END
+     AS sub_status,
+   row_number() OVER (PARTITION BY x.run_idx, t.id ORDER BY x.result_pos DESC, x.sp DESC) AS rn
+   FROM exi x JOIN rtests t ON x.test = t.test AND x.subtest IS NOT DISTINCT FROM t.subtest)"""
+
+LOADER = RRC + "," + _SUB_ROWS + "," + _LOADER
+
+ORACLE["report_dictionary"] = LOADER + "SELECT id, test, subtest FROM rtests"
+ORACLE["report_matrix"] = LOADER + "SELECT run_idx, test_id, status, sub_status FROM rcells WHERE rn = 1"

@@ -373,6 +373,20 @@ def pivot_by_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pivot_roundtrip(spark, sf_dir, "test_id", "run_idx")
 
 
+@query("report_dictionary")
+def report_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3 as the matrix loader builds it: from exploded reports."""
+    tests, _ = C.load_matrix(load_reports(spark, sf_dir), stored_run_index(spark, sf_dir))
+    return tests
+
+
+@query("report_matrix")
+def report_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports -> dictionary -> encoded cells, last write wins (the loader)."""
+    _, cells = C.load_matrix(load_reports(spark, sf_dir), stored_run_index(spark, sf_dir))
+    return cells
+
+
 @query("count_runs_tests")
 def count_runs_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.counts(stored_run_index(spark, sf_dir), stored_tests(spark, sf_dir))
