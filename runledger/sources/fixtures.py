@@ -54,8 +54,12 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored run table."""
-    return _stored(spark, sf_dir, "runs", lambda: build_runs(spark, sf_dir))
+    """The stored run table, in files hash-partitioned by run_id (one per
+    core), so scans of it run in parallel."""
+    n = max(1, spark.sparkContext.defaultParallelism)
+    return _stored(spark, sf_dir, "runs",
+                   lambda: build_runs(spark, sf_dir).repartition(n, "run_id")
+                   .sortWithinPartitions("run_id"))
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
