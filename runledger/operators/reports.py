@@ -265,3 +265,27 @@ def mark_consolidated(runs: DataFrame, consolidated: DataFrame) -> DataFrame:
             .withColumn("full_revision_hash",
                         F.when(has, F.col("__hash")).otherwise(F.col("full_revision_hash")))
             .drop("__url", "__hash"))
+
+
+def migrate_reports(runs: DataFrame, reports: DataFrame, objects: DataFrame,
+                    url_base: str = DEFAULT_URL_BASE, bucket: str = DEFAULT_BUCKET
+                    ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """R8 + R9 + K3 + K9 together: for runs whose report is in the bucket and
+    already has a migration log (P7, J2) *and* whose report could be read,
+    returns
+
+    * the stamped reports with their new ``location`` (to write, K3),
+    * the run table with ``raw_results_url`` moved to the new location,
+    * the old folders to remove later (K9, D6).
+
+    Runs whose report is missing keep their URL, as a failed read stops that
+    run before anything is updated."""
+    rw = rewrite_report_paths(runs, objects, url_base, bucket)
+    rw = rw.join(reports.select("run_id").distinct(), "run_id", "left_semi")
+    new_reports = (stamp_run_info(reports.join(rw.select("run_id"), "run_id", "left_semi"), runs)
+                   .join(rw.select("run_id", F.col("new_url").alias("location")), "run_id"))
+    moved = rw.select("run_id", F.col("new_url").alias("__new"))
+    new_runs = (runs.join(moved, "run_id", "left")
+                .withColumn("raw_results_url", F.coalesce(F.col("__new"), F.col("raw_results_url")))
+                .drop("__new"))
+    return new_reports, new_runs, cleanup_paths(rw)

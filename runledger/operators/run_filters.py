@@ -83,6 +83,13 @@ def filter_runs(runs: DataFrame, params: Mapping[str, str], order: str = "oldest
     return out
 
 
+def scan_runs(spark, path: str, order: str | None = None, rank_col: str = "rank") -> DataFrame:
+    """Read a stored run table; with ``order`` each row also gets its
+    0-based position in that order (no row is dropped)."""
+    runs = spark.read.parquet(path)
+    return runs if order is None else scan_ordered(runs, order, rank_col)
+
+
 def scan_ordered(runs: DataFrame, order: str = "newest", rank_col: str = "rank") -> DataFrame:
     """The whole table with its 0-based position in ``order``; rows
     whose sort column is missing are kept (NULLs last)."""

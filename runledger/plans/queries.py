@@ -444,8 +444,11 @@ def stamp_run_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("write_reports")
 def write_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K3/K4: stamped reports written as gzip JSON lines, read back."""
-    path = RIO.write_reports(_stamped(spark, sf_dir), fresh_dir(spark, "reports_gz"), "gzip")
+    """K3/K4 via the whole migration (R8 + R9): stamped reports at their new
+    locations written as gzip JSON lines, read back."""
+    runs = X.runs(spark, sf_dir)
+    new_reports, _, _ = RP.migrate_reports(runs, load_reports(spark, sf_dir), X.objects(spark, sf_dir))
+    path = RIO.write_reports(new_reports, fresh_dir(spark, "reports_gz"), "gzip")
     good, _ = RIO.read_reports(spark, path)
     good = good.withColumn("browser_name", F.col("run_info.browser_name"))
     return RP.report_sizes(good, by=("browser_name",)).select("run_id", "browser_name", "n_results")

@@ -275,3 +275,32 @@ def test_report_parts_bound_rows(spark):
     order = [(r.part, r.result_pos, r.test) for r in
              C.explode_matrix(reps).where("subtest IS NULL").orderBy("part", "result_pos").collect()]
     assert [t for _, _, t in order] == ["/t1.html", "/t2.html", "/t3.html", "/t4.html", "/t5.html"]
+
+
+def test_migrate_reports_end_to_end(spark):
+    base = "https://storage.example/results/"
+    runs = runs_df(spark, [run(1, raw_results_url=base + "h/chrome-1_linux-10/report.json",
+                               browser_name="chrome-experimental"),
+                           run(2, raw_results_url=base + "h/firefox-2_linux-10/report.json"),
+                           run(3, raw_results_url=base + "h/safari-3_mac-10/report.json")])
+    objs = spark.createDataFrame([(base + "h/chrome-1_linux-10/migration.log",),
+                                  (base + "h/firefox-2_linux-10/migration.log",)], "path string")
+    reports = spark.createDataFrame(
+        [(1, 0, ("chrome-experimental", "1", "linux", "10", "r", ""), [("/a.html", "OK", None)]),
+         (3, 0, ("safari", "3", "mac", "10", "r", ""), [("/a.html", "OK", None)])],
+        "run_id bigint, part bigint, run_info struct<browser_name:string,browser_version:string,"
+        "os_name:string,os_version:string,revision:string,full_revision_hash:string>, "
+        "results array<struct<test:string,status:string,subtests:array<struct<name:string,status:string>>>>")
+    new_reports, new_runs, cleanup = RP.migrate_reports(runs, reports, objs)
+    r = new_reports.collect()
+    assert [(x.run_id, x.location, x.run_info.browser_name) for x in r] == [
+        (1, base + "h/chrome-1-linux-10/report.json", "chrome")]
+    urls = {x.run_id: x.raw_results_url for x in new_runs.collect()}
+    assert urls[1] == base + "h/chrome-1-linux-10/report.json"
+    assert urls[2] == base + "h/firefox-2_linux-10/report.json"   # no report: unchanged
+    assert urls[3] == base + "h/safari-3_mac-10/report.json"      # no migration log
+    assert [x.dir for x in cleanup.collect()] == ["h/chrome-1_linux-10/"]
+    path = fresh_dir(spark, "runs_scan")
+    new_runs.write.parquet(path)
+    ranked = RF.scan_runs(spark, path, "newest").orderBy("rank").collect()
+    assert [x.rank for x in ranked] == [0, 1, 2]
