@@ -91,3 +91,27 @@ def test_broadcast_probe_bounds(spark):
     small_bytes = SZ.broadcast_if_small(df, max_bytes=100)
     for d in (big, small_bytes):
         assert "ResolvedHint" not in d._jdf.queryExecution().analyzed().toString()
+
+
+def test_hot_url_dedup(spark):
+    """One URL holds a third of all runs: same answer, no URL-keyed window."""
+    runs = X.runs(spark, SF_SMALL)
+    hot = runs.withColumn("raw_results_url", F.when(F.col("run_id") % 3 == 0, F.lit("hot"))
+                          .otherwise(F.col("raw_results_url")))
+    kept, deleted = D.dedup(hot)
+    n_hot = hot.where(F.col("raw_results_url") == "hot").count()
+    assert deleted.where(F.col("raw_results_url") == "hot").count() == n_hot - 1
+    assert kept.count() + deleted.count() == hot.count()
+    assert "Window" not in plan(kept)
+
+
+def test_hot_test_pivot_chunks(spark):
+    """A test present in every run is split into bounded map chunks."""
+    from runledger.operators import cells as C
+    cells = spark.range(0, 2500).select(F.col("id").alias("run_idx"), F.lit(7).cast("bigint").alias("test_id"),
+                                        F.lit("OK").alias("status"), F.lit(None).cast("string").alias("sub_status"))
+    p = C.pivot(cells, "test_id", "run_idx", chunk_size=1000)
+    sizes = sorted(r.n for r in p.select(F.size("entries").alias("n")).collect())
+    assert sizes == [500, 1000, 1000]
+    back = C.unpivot(p, "test_id", "run_idx")
+    assert back.count() == 2500 and back.select("run_idx").distinct().count() == 2500
