@@ -162,23 +162,31 @@ def run_info(trim_experimental: bool = False, hash_col: str = "full_revision_has
     return F.struct(*fields)
 
 
-def results_from_cells(cells: DataFrame, key: str = "run_id") -> DataFrame:
+DEFAULT_PART_SIZE = 100_000
+
+
+def results_from_cells(cells: DataFrame, key: str = "run_id", part_size: int | None = None
+                       ) -> DataFrame:
     """One result per (run, test): parent status from the row with the
     highest position, subtests = non-NULL subtest rows in position order,
-    ``first_pos`` = the test's lowest position.  Groups are one test of one
-    run, so they stay small."""
+    ``first_pos`` = the test's lowest position.
+
+    No group collects more than ``part_size`` subtests: the rows of a test
+    are cut by ``pos div part_size`` and each cut becomes its own result entry
+    (a test may appear more than once in a report; exploding it gives the
+    same cells, since every entry carries the test's parent status).  The
+    parent status is a separate partial aggregation (``max_by``) over the
+    whole (run, test) group, which never materialises the group."""
+    size = part_size or DEFAULT_PART_SIZE
+    parent = cells.groupBy(key, "test").agg(F.max_by("status", "pos").alias("status"))
     sub = F.when(F.col("subtest").isNotNull(),
                  F.struct(F.col("pos"), F.struct(F.col("subtest").alias("name"),
                                                  F.col("sub_status").alias("status")).alias("s")))
-    g = (cells.groupBy(key, "test")
-         .agg(F.max_by("status", "pos").alias("status"),
-              F.min("pos").alias("first_pos"),
-              F.array_sort(F.collect_list(sub)).alias("__subs")))
-    return g.select(key, "test", "status", "first_pos",
-                    F.transform("__subs", lambda x: x["s"]).alias("subtests"))
-
-
-DEFAULT_PART_SIZE = 100_000
+    cut = F.expr(f"pos div {int(size)}").alias("__cut")
+    g = (cells.groupBy(key, "test", cut)
+         .agg(F.min("pos").alias("first_pos"), F.array_sort(F.collect_list(sub)).alias("__subs")))
+    return g.join(parent, [key, "test"]).select(
+        key, "test", "status", "first_pos", F.transform("__subs", lambda x: x["s"]).alias("subtests"))
 
 
 def assemble_reports(results: DataFrame, runs: DataFrame, key: str = "run_id",

@@ -304,3 +304,23 @@ def test_migrate_reports_end_to_end(spark):
     new_runs.write.parquet(path)
     ranked = RF.scan_runs(spark, path, "newest").orderBy("rank").collect()
     assert [x.rank for x in ranked] == [0, 1, 2]
+
+
+def test_subtest_cuts_keep_cells(spark):
+    rows = [(1, "/big.html", None, "OK", None, 1)] + \
+        [(1, "/big.html", f"s{i}", "OK" if i < 4 else "ERROR", "PASS", i + 1) for i in range(1, 6)]
+    cells = spark.createDataFrame(rows, CELLS_SCHEMA)
+    runs = runs_df(spark, [run(1)])
+    whole = RP.assemble_reports(RP.results_from_cells(cells), runs)
+    cut = RP.assemble_reports(RP.results_from_cells(cells, part_size=2), runs)
+    assert [len(r.results) for r in whole.collect()] == [1]
+    # pos 1 (the base row) | 2-3 | 4-5 | 6: four cuts, none over two subtests.
+    assert sorted(len(x.subtests) for r in cut.collect() for x in r.results) == [0, 1, 2, 2]
+    # Every entry carries the parent status (status at the highest position).
+    assert {x.status for r in cut.collect() for x in r.results} == {"ERROR"}
+
+    def lw(reps):
+        return {(c.test, c.subtest, c.status, c.sub_status) for c in
+                C.last_write(C.explode_matrix(reps).withColumn(
+                    "pos", F.col("result_pos") * 1000 + F.coalesce(F.col("sub_pos") + 1, F.lit(0)))).collect()}
+    assert lw(whole) == lw(cut)
