@@ -23,9 +23,12 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from runledger.session import ensure_checkpoint_dir
+
 
 def dense_ids(df: DataFrame, order: Sequence[Column | str], id_col: str = "id") -> DataFrame:
     """Add ``id_col`` (BIGINT, 0..n-1) following ``order``; the order must be total."""
+    ensure_checkpoint_dir(df.sparkSession)
     ordered = df.orderBy(*order).checkpoint(eager=True)
     local = (ordered
              .withColumn("__pid", F.spark_partition_id())

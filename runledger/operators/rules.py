@@ -58,6 +58,8 @@ def rewrite(df: DataFrame, rules: Rule | Sequence[Rule], key: str = "run_id"
     """
     if isinstance(rules, Rule):
         rules = [rules]
+    # Flags of an earlier rewrite are replaced, not duplicated.
+    df = df.drop(*[c for c in ("selected", "changed") if c in df.columns])
     base_cols = list(df.columns)
     touched = sorted({c for r in rules for c in r.set})
     cur = df.select(*base_cols, *[F.col(c).alias(f"__old_{c}") for c in touched])

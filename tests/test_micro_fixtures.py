@@ -324,3 +324,11 @@ def test_subtest_cuts_keep_cells(spark):
                 C.last_write(C.explode_matrix(reps).withColumn(
                     "pos", F.col("result_pos") * 1000 + F.coalesce(F.col("sub_pos") + 1, F.lit(0)))).collect()}
     assert lw(whole) == lw(cut)
+
+
+def test_rewrite_twice_replaces_flags(spark):
+    df = runs_df(spark, [run(1, time_start=None)])
+    once, _ = R.rewrite(df, R.time_start_rule())
+    twice, _ = R.rewrite(once, R.time_start_rule())
+    r = twice.first()
+    assert twice.columns.count("selected") == 1 and not r.selected and not r.changed
