@@ -1,8 +1,8 @@
 """Conditional row rewrites with a dry run.
 
 A ``Rule`` is a predicate plus column assignments, both Spark ``Column``
-expressions, so a rewrite is one ``select`` of ``CASE WHEN`` projections:
-narrow, no shuffle, inside whole-stage codegen.  Several rules chain in a
+expressions, so a rewrite is one ``select`` of ``CASE WHEN`` projections per
+rule: narrow, no shuffle, one stage inside whole-stage codegen.  Several rules chain in a
 stated order, each seeing the previous rule's output (order matters: the
 stable tagger adds ``stable``, itself a channel label, which hides the run
 from the channel tagger).
@@ -47,8 +47,7 @@ def _apply_one(df: DataFrame, rule: Rule, flag: str) -> DataFrame:
     return staged.select(*cols, F.col(flag))
 
 
-def rewrite(df: DataFrame, rules: Rule | Sequence[Rule], key: str = "run_id"
-            ) -> tuple[DataFrame, DataFrame]:
+def rewrite(df: DataFrame, rules: Rule | Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """Apply rules in order.  Returns ``(new_df, selected_df)``.
 
     ``new_df`` has the input columns plus ``selected`` (any rule selected the
