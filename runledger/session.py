@@ -18,7 +18,7 @@ _CKPT_KEY = "spark.checkpoint.dir"
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "runledger") -> SparkSession:
+              app_name: str = "runledger", extra: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings every operator assumes.
 
     * UTC session zone: row keys and RFC 3339 text are defined in UTC.
@@ -41,6 +41,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
