@@ -13,6 +13,8 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from runledger.session import get_spark
-    s = get_spark("local[4]", shuffle_partitions=8, app_name="runledger-tests")
+    # Local mode: the driver JVM is the whole cluster; give it a real heap.
+    s = get_spark("local[4]", shuffle_partitions=8, app_name="runledger-tests",
+                  extra={"spark.driver.memory": "8g"})
     yield s
     s.stop()

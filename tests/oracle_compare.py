@@ -86,7 +86,7 @@ if __name__ == "__main__":
     from runledger.session import get_spark
     from runledger.plans.oracle_sql import ORACLE
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = get_spark("local[8]", 8)
+    spark = get_spark("local[8]", 8, extra={"spark.driver.memory": "8g"})
     names = sys.argv[1:] or sorted(ORACLE)
     con = duck(sf)
     bad = 0
