@@ -316,3 +316,35 @@ def load_matrix(reports: DataFrame, run_index: DataFrame) -> tuple[DataFrame, Da
                    normalize_status("sub_status").alias("sub_status"), "part", "result_pos", "sub_pos"))
     cells = last_write(enc, ("run_idx", "test_id"), _in_report_order())
     return tests, cells
+
+
+def browser_of_row() -> Column:
+    """Partition column of the wide table: the browser part of the row key."""
+    return F.substring_index(F.col("row_key"), "-", 1)
+
+
+def upsert_wide_partitions(spark, path: str, new_cells: DataFrame, part_col: str = "browser") -> None:
+    """K8 on storage, partition by partition: the wide table at ``path`` is
+    partitioned by browser; only the partitions the new cells touch are read,
+    merged (last write wins) and rewritten with dynamic partition overwrite;
+    every other partition's files stay as they are.
+
+    The merged rows are checkpointed to the shared checkpoint folder first,
+    so the write does not read the paths it replaces, and a failed job leaves
+    the old partitions in place (dynamic overwrite publishes at job commit).
+    """
+    from runledger.session import ensure_checkpoint_dir
+    from runledger.sources.materialize import path_exists
+
+    ensure_checkpoint_dir(spark)
+    new = new_cells.withColumn(part_col, browser_of_row())
+    if path_exists(spark, path):
+        touched = broadcast_if_small(new.select(part_col).distinct())
+        old = spark.read.parquet(path).join(touched, part_col, "left_semi").drop(part_col)
+        merged = upsert_wide(old, new.drop(part_col))
+    else:
+        merged = merge_wide(new.drop(part_col))
+    merged = merged.withColumn(part_col, browser_of_row()).checkpoint(eager=True)
+    (merged.repartition(part_col).sortWithinPartitions("row_key", "qualifier")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part_col).parquet(path))

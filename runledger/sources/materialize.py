@@ -40,6 +40,11 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
 def write_marker(spark: SparkSession, path: str, text: str) -> None:
     """Write ``text`` to ``path`` (replacing it) through Hadoop's FileSystem."""
     p, fs = _fs(spark, path)

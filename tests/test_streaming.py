@@ -71,3 +71,22 @@ def test_wide_upsert_versions(spark):
     got = {(r.qualifier, r.value) for r in t.read().collect()}
     assert got == {("/a.html", "ERROR"), ("/b.html", "OK")}
     assert {(r.qualifier, r.value) for r in t.read(1).collect()} == {("/a.html", "OK")}
+
+
+def test_wide_upsert_touches_only_its_partitions(spark):
+    import os
+    runs = runs_df(spark, [run(1), run(2, browser_name="firefox"), run(3)])
+    schema = ("run_id bigint, results array<struct<test:string,status:string,"
+              "subtests:array<struct<name:string,status:string>>>>")
+    load1 = spark.createDataFrame([(1, [("/a.html", "OK", None)]), (2, [("/a.html", "OK", None)])], schema)
+    path = fresh_dir(spark, "wide_parts")
+    C.upsert_wide_partitions(spark, path, C.wide_cells(load1, runs, load_ts=F.lit("2020-01-01").cast("timestamp")))
+    local = path[len("file:"):] if path.startswith("file:") else path
+    ff_dir = os.path.join(local, "browser=firefox")
+    before = {f: os.stat(os.path.join(ff_dir, f)).st_mtime_ns for f in os.listdir(ff_dir)}
+    load2 = spark.createDataFrame([(3, [("/a.html", "ERROR", None), ("/b.html", "OK", None)])], schema)
+    C.upsert_wide_partitions(spark, path, C.wide_cells(load2, runs, load_ts=F.lit("2020-02-01").cast("timestamp")))
+    after = {f: os.stat(os.path.join(ff_dir, f)).st_mtime_ns for f in os.listdir(ff_dir)}
+    assert before == after
+    got = {(r.browser, r.qualifier, r.value) for r in spark.read.parquet(path).collect()}
+    assert got == {("chrome", "/a.html", "ERROR"), ("chrome", "/b.html", "OK"), ("firefox", "/a.html", "OK")}
