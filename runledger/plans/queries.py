@@ -356,7 +356,7 @@ _PIVOT_READ = "{by} BIGINT, chunk BIGINT, entries MAP<STRING, STRUCT<status: STR
 
 
 def _pivot_roundtrip(spark: SparkSession, sf_dir: str, by: str, other: str) -> DataFrame:
-    lw = C.last_write(_encoded(spark, sf_dir), ("run_idx", "test_id"), "pos")
+    lw = C.last_write_codes(_encoded(spark, sf_dir), ("run_idx", "test_id"))
     path = C.write_pivot(C.pivot(lw, by, other), by, fresh_dir(spark, f"pivot_{by}"))
     back = spark.read.schema(_PIVOT_READ.format(by=by)).json(path)
     back = back.withColumn("entries", F.transform_keys("entries", lambda k, v: k.cast("bigint")))
@@ -538,7 +538,7 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write runs/tests/by-run maps, load them back, transpose on load
     and return the by-test matrix as long cells."""
     tests, run_index = stored_tests(spark, sf_dir), stored_run_index(spark, sf_dir)
-    lw = C.last_write(C.encode_cells(X.cells(spark, sf_dir), tests, run_index), ("run_idx", "test_id"), "pos")
+    lw = C.last_write_codes(C.encode_cells(X.cells(spark, sf_dir), tests, run_index), ("run_idx", "test_id"))
     path = SN.write_snapshot(run_index.select("id", "run_id", "browser_name", "created_at"), tests,
                              C.pivot(lw, "run_idx", "test_id"), fresh_dir(spark, "snapshot"))
     snap = SN.load_snapshot(spark, path, _SNAP_RUNS)

@@ -115,3 +115,17 @@ def test_hot_test_pivot_chunks(spark):
     assert sizes == [500, 1000, 1000]
     back = C.unpivot(p, "test_id", "run_idx")
     assert back.count() == 2500 and back.select("run_idx").distinct().count() == 2500
+
+
+def test_packed_last_write_equals_struct_form(spark):
+    from runledger.operators import cells as C
+    enc = spark.createDataFrame(
+        [(0, 1, "OK", None, 1), (0, 1, "ERROR", "FAIL", 5), (0, 2, "UNKNOWN", None, 2),
+         (1, 1, "PASS", "PASS", 9), (1, 1, "TIMEOUT", None, 3)],
+        "run_idx bigint, test_id bigint, status string, sub_status string, pos bigint")
+    keys = ("run_idx", "test_id")
+    a = {tuple(r) for r in C.last_write(enc, keys, "pos").collect()}
+    b = {tuple(r) for r in C.last_write_codes(enc, keys).collect()}
+    assert a == b == {(0, 1, "ERROR", "FAIL"), (0, 2, "UNKNOWN", None), (1, 1, "PASS", "PASS")}
+    p = plan(C.last_write_codes(enc, keys))
+    assert "HashAggregate" in p and "SortAggregate" not in p
