@@ -314,72 +314,17 @@ def load_matrix(reports: DataFrame, run_index: DataFrame) -> tuple[DataFrame, Da
            .join(ri, "run_id")
            .select("run_idx", "test_id", normalize_status("status").alias("status"),
                    normalize_status("sub_status").alias("sub_status"), "part", "result_pos", "sub_pos"))
-    cells = last_write(enc, ("run_idx", "test_id"), _in_report_order())
+    cells = last_write_codes(enc.withColumn("pos", _packed_report_position()), ("run_idx", "test_id"))
     return tests, cells
 
 
-def browser_of_row() -> Column:
-    """Partition column of the wide table: the browser part of the row key."""
-    return F.substring_index(F.col("row_key"), "-", 1)
-
-
-def upsert_wide_partitions(spark, path: str, new_cells: DataFrame, part_col: str = "browser") -> None:
-    """K8 on storage, partition by partition: the wide table at ``path`` is
-    partitioned by browser; only the partitions the new cells touch are read,
-    merged (last write wins) and rewritten with dynamic partition overwrite;
-    every other partition's files stay as they are.
-
-    The merged rows are checkpointed to the shared checkpoint folder first,
-    so the write does not read the paths it replaces, and a failed job leaves
-    the old partitions in place (dynamic overwrite publishes at job commit).
-    """
-    from runledger.session import ensure_checkpoint_dir
-    from runledger.sources.materialize import path_exists
-
-    ensure_checkpoint_dir(spark)
-    new = new_cells.withColumn(part_col, browser_of_row())
-    if path_exists(spark, path):
-        touched = broadcast_if_small(new.select(part_col).distinct())
-        old = spark.read.parquet(path).join(touched, part_col, "left_semi").drop(part_col)
-        merged = upsert_wide(old, new.drop(part_col))
-    else:
-        merged = merge_wide(new.drop(part_col))
-    merged = merged.withColumn(part_col, browser_of_row()).checkpoint(eager=True)
-    (merged.repartition(part_col).sortWithinPartitions("row_key", "qualifier")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part_col).parquet(path))
-
-
-# ---- last write over normalised statuses as one packed BIGINT ------------------
-
-_CODES = KNOWN_STATUSES + (UNKNOWN_STATUS,)
-_NULL_CODE = 255
-_POS_LIMIT = 1 << 47
-
-
-def _status_code(c: Column) -> Column:
-    codes = F.array(*[F.lit(s) for s in _CODES])
-    return F.when(c.isNull(), F.lit(_NULL_CODE)).otherwise(F.array_position(codes, c)).cast("bigint")
-
-
-def _status_of(code: Column) -> Column:
-    codes = F.array(*[F.lit(s) for s in _CODES])
-    return F.when(code == _NULL_CODE, F.lit(None).cast("string")).otherwise(
-        F.element_at(codes, code.cast("int")))
-
-
-def last_write_codes(cells: DataFrame, keys: Sequence[str], order: str = "pos") -> DataFrame:
-    """A5 for cells whose statuses are normalised (``encode_cells`` output):
-    position and both status codes packed into one BIGINT, so the aggregate
-    is ``max(long)`` - a hash aggregate with map-side combine - instead of a
-    sort-based ``max_by`` over a struct.  Exact: the status vocabulary is
-    closed, and a position outside [0, 2^47) fails the job."""
-    pos = F.col(order).cast("bigint")
-    packed = F.when((pos >= 0) & (pos < F.lit(_POS_LIMIT)),
-                    F.shiftleft(pos, 16) + F.shiftleft(_status_code(F.col("status")), 8)
-                    + _status_code(F.col("sub_status"))) \
-        .otherwise(F.raise_error(F.lit("cell position out of range for packed last write")))
-    m = F.col("__m")
-    return (cells.groupBy(*keys).agg(F.max(packed).alias("__m"))
-            .select(*keys, _status_of(F.shiftright(m, 8).bitwiseAND(F.lit(255))).alias("status"),
-                    _status_of(m.bitwiseAND(F.lit(255))).alias("sub_status")))
+def _packed_report_position() -> Column:
+    """(part, result_pos, sub_pos) as one BIGINT in the same order, 7 + 20 +
+    20 bits: up to 128 report parts, and up to about a million results per
+    document and subtests per result (our own documents hold at most 100,000
+    of each); anything larger fails the job rather than mis-order."""
+    part, res = F.col("part").cast("bigint"), F.col("result_pos").cast("bigint")
+    sub = F.coalesce(F.col("sub_pos").cast("bigint") + 1, F.lit(0).cast("bigint"))
+    ok = (part >= 0) & (part < (1 << 7)) & (res >= 0) & (res < (1 << 20)) & (sub < (1 << 20))
+    return F.when(ok, F.shiftleft(part, 40) + F.shiftleft(res, 20) + sub) \
+        .otherwise(F.raise_error(F.lit("report position out of range for packing")))
