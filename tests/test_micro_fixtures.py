@@ -332,3 +332,21 @@ def test_rewrite_twice_replaces_flags(spark):
     twice, _ = R.rewrite(once, R.time_start_rule())
     r = twice.first()
     assert twice.columns.count("selected") == 1 and not r.selected and not r.changed
+
+
+def test_loader_packed_order_matches_struct_order(spark):
+    rows = [(1, f"/t{i % 3}.html", None if i % 2 else f"s{i}", "OK" if i % 4 else "ERROR",
+             None if i % 2 else ("PASS" if i % 3 else "FAIL"), i) for i in range(1, 13)]
+    cells = spark.createDataFrame(rows, CELLS_SCHEMA)
+    runs = runs_df(spark, [run(1)])
+    reps = RP.assemble_reports(RP.results_from_cells(cells, part_size=2), runs, part_size=3)
+    assert reps.count() > 1  # several report parts
+    run_index = C.run_dictionary(runs.select("run_id", "created_at"))
+    tests, packed = C.load_matrix(reps, run_index)
+    m = C.explode_matrix(reps)
+    t = tests.select(F.col("id").alias("test_id"), F.col("test").alias("__t"), F.col("subtest").alias("__s"))
+    enc = (m.join(t, (m["test"] == t["__t"]) & m["subtest"].eqNullSafe(t["__s"]))
+           .withColumn("run_idx", F.lit(0).cast("bigint")))
+    order = F.struct("part", "result_pos", F.coalesce(F.col("sub_pos"), F.lit(-1)))
+    plain = C.last_write(enc, ("run_idx", "test_id"), order)
+    assert {tuple(r) for r in packed.collect()} == {tuple(r) for r in plain.collect()}
