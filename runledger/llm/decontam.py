@@ -195,3 +195,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     return whole.groupBy("id", "hash", "item_id").agg(
         F.sum(F.size("places")).alias("n_windows"), F.min(F.array_min("places")).alias("first_token"),
         F.max(F.array_max("places")).alias("last_token"), F.max(other).alias("reparameterised"))
+
+
+def without_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no item of ``benchmark`` is found."""
+    found = matches(docs, benchmark, id_col, text_col).select(F.col("id").alias("leak_id"), F.col("hash").alias("leak_hash")).distinct()
+    found = stored(found, "leaks")
+    same = docs[id_col].cast("long").eqNullSafe(found.leak_id) & (F.xxhash64(text_of(text_col)) == found.leak_hash)
+    return docs.join(found, same, "left_anti")

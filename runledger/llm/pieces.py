@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -34,6 +34,7 @@ from runledger.llm.common import small_batches, text_of
 SPACE = "▁"
 CACHE_WORDS = 200_000
 CACHE_CHARS = 48
+ARRAYS = ("ids", "span_start", "span_end")
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -219,19 +220,19 @@ def _model(path: str) -> Pieces:
 
 
 def encode_pieces(docs: DataFrame, model_path: str, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text",
-                  arrays: bool = True) -> DataFrame:
+                  arrays: Sequence[str] = ARRAYS) -> DataFrame:
     """Encode every whole text, project the pieces to original bytes and decode again.
 
     Returns the id columns, n_tokens (with the end id), ids_sha256,
     decoded_sha256, covered_bytes (end of the last span; -1 if the spans don't
-    follow one another) and, with ``arrays``, ids, span_start and span_end.
+    follow one another) and of ids, span_start and span_end those in ``arrays``.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(*[F.col(c) for c in id_cols], text_of(text_col).alias("__text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]),
                         "n_tokens long, ids_sha256 string, decoded_sha256 string, covered_bytes long"]
-                       + ["ids array<int>, span_start array<int>, span_end array<int>"] * arrays)
-    names = [*id_cols, "n_tokens", "ids_sha256", "decoded_sha256", "covered_bytes", *["ids", "span_start", "span_end"] * arrays]
+                       + [f"{a} array<int>" for a in arrays])
+    names = [*id_cols, "n_tokens", "ids_sha256", "decoded_sha256", "covered_bytes", *arrays]
     hexed = lambda text: hashlib.sha256(text.encode("utf-8", "replace")).hexdigest()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,16 +240,17 @@ def encode_pieces(docs: DataFrame, model_path: str, id_cols: tuple[str, ...] = (
         end = pieces.model.eos_id()
         for b in batches:
             texts = [t.decode("utf-8", "replace") for t in b.column(len(id_cols)).cast(pa.binary()).to_pylist()]
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(4 + len(arrays))]
             for text, (ids, decimal) in zip(texts, pieces.encode(texts)):
                 starts, ends = pieces.spans(text, ids)
                 tiled = not len(ends) or bool((starts[1:] <= ends[:-1]).all())
                 ids = [*ids, end]
-                row = [len(ids), hexed(f"{decimal} {end}" if decimal else str(end)), hexed(pieces.model.decode(ids)), (int(ends[-1]) if len(ends) else 0) if tiled else -1]
-                for column, value in zip(out, [*row, *((ids, starts, ends) if arrays else ())]):
+                covered = (int(ends[-1]) if len(ends) else 0) if tiled else -1
+                whole = dict(zip(ARRAYS, (ids, starts, ends)))
+                for column, value in zip(out, [len(ids), hexed(f"{decimal} {end}" if decimal else str(end)), hexed(pieces.model.decode(ids)), covered, *[whole[a] for a in arrays]]):
                     column.append(value)
             data = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string()), pa.array(out[3], pa.int64())]
-            data += [pa.array(c, pa.list_(pa.int32())) for c in out[4:]] if arrays else []
+            data += [pa.array(c, pa.list_(pa.int32())) for c in out[4:]]
             yield pa.RecordBatch.from_arrays([*b.columns[:len(id_cols)], *data], names)
 
     return rows.mapInArrow(encode, schema)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.llm.common import free_name, stored, text_of
-from runledger.llm.spans import NO_SPANS, by_start, only_if, spans
+from runledger.llm.spans import by_start, masked, only_if, spans
 
 GAP = "\0"
 #: Alternatives a derivation may hold; beyond, the part becomes a gap, which only widens the query.
@@ -134,4 +134,13 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, id_col: s
     return looked.select("row.*", every.alias(free_name(docs.columns, out)))
 
 
-__all__ = ["BASE", "MORE", "NO_SPANS", "Rule", "build_index", "candidates", "find_secrets", "trigram_query"]
+def without_secrets(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, id_col: str = "doc_id", text_col: str = "text",
+                    length_col: str | None = "n_chars", mask: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every secret replaced by ``mask``; ``length_col``, if there, is the length of the new text."""
+    name = free_name(docs.columns, "secrets")
+    found = find_secrets(docs, rules, id_col, text_col)
+    any_of, new = F.size(name) > 0, masked(F.col(f"`{text_col}`"), F.col(name), mask)
+    changed = {text_col: F.when(any_of, new).otherwise(F.col(f"`{text_col}`"))}
+    if length_col in docs.columns:
+        changed[length_col] = F.when(any_of, F.length(new).cast(docs.schema[length_col].dataType)).otherwise(F.col(f"`{length_col}`"))
+    return found.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runledger.llm.common import small_batches, stored, text_of
+from runledger.llm.common import free_name, small_batches, stored, text_of
 from runledger.llm.components import components
 
 SEED = 42
@@ -242,3 +242,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col
     named = tree.join(lowest, "root").select(F.col("node").alias("fp"), "root", "component_id")
     every = folded.join(named, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("low")).otherwise(F.col("component_id")).alias("component_id"))
     return rows.join(stored(every, "labels"), "fp").select("id", "hash", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row of the smallest id (a null id only if alone).
+
+    A row is known by (id, hash of the text); rows that repeat one count once.
+    """
+    found = near_duplicates(docs, shingle, distance, id_col, text_col)
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("best"))
+    no_id = F.lit(-(1 << 63))
+    id_name, hash_name = free_name(docs.columns, "row_id"), free_name(docs.columns, "row_hash")
+    keep = stored(best.select(F.coalesce("best.id", no_id).alias(id_name), F.col("best.hash").alias(hash_name)), "survivors")
+    keyed = docs.withColumns({id_name: F.coalesce(F.col(id_col).cast("long"), no_id), hash_name: F.xxhash64(text_of(text_col))})
+    return keyed.join(keep, [id_name, hash_name], "left_semi").dropDuplicates([id_name, hash_name]).select(*[F.col(f"`{c}`") for c in docs.columns])
