@@ -193,7 +193,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     whole = aligned.where((sides[0] == F.size("slots")) & (sides[1] == F.size("slots")))
     other = F.exists("slots", lambda s: s["item_values"] != s["values"])
     return whole.groupBy("id", "hash", "item_id").agg(
-        F.sum(F.size("places")).alias("n_windows"), F.min(F.array_min("places")).alias("first_token"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n_windows"), F.min(F.array_min("places")).alias("first_token"),
         F.max(F.array_max("places")).alias("last_token"), F.max(other).alias("reparameterised"))
 
 
