@@ -139,8 +139,9 @@ def without_secrets(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, id_col
     """``docs`` with every secret replaced by ``mask``; ``length_col``, if there, is the length of the new text."""
     name = free_name(docs.columns, "secrets")
     found = find_secrets(docs, rules, id_col, text_col)
-    any_of, new = F.size(name) > 0, masked(F.col(f"`{text_col}`"), F.col(name), mask)
-    changed = {text_col: F.when(any_of, new).otherwise(F.col(f"`{text_col}`"))}
+    any_of = F.size(F.col(name)) > 0
+    clean = found.withColumn(text_col, F.when(any_of, masked(F.col(f"`{text_col}`"), F.col(name), mask)).otherwise(F.col(f"`{text_col}`")))
     if length_col in docs.columns:
-        changed[length_col] = F.when(any_of, F.length(new).cast(docs.schema[length_col].dataType)).otherwise(F.col(f"`{length_col}`"))
-    return found.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
+        length = F.length(f"`{text_col}`").cast(docs.schema[length_col].dataType)
+        clean = clean.withColumn(length_col, F.when(any_of, length).otherwise(F.col(f"`{length_col}`")))
+    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])

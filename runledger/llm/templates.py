@@ -1,7 +1,7 @@
 """Main text of web pages by deducing the template of each host.
 
-1. Every page becomes a list of tokens: its block elements, named by their
-   path of elements and classes, and its texts, by path and hash.
+1. Every page becomes a list of tokens: its block elements, named by a hash of
+   their path of elements and classes, and its texts, by path and hash.
 2. Over all pages of a host, each token gets its occurrence vector, kept as a
    signature: pages and occurrences, and two commutative sums of a hash of
    (page, count).  Tokens of a host with equal vectors are an equivalence
@@ -12,10 +12,10 @@
    valid class that occurs on all its pages.  Nested classes form the
    template; texts on every page of a host with CLASS_PAGES pages or more
    belong to it too.
-4. Regions (an ``article`` or ``main`` element, else the parent of the blocks)
-   whose start is a template token are slots of the template.  Per host the
-   slots of articles are the main ones, else the slot with the most text that
-   isn't template text and mostly isn't links.
+4. Regions (an ``article`` or ``main`` element, else the container that holds
+   the blocks) whose start is a template token are slots of the template.  Per
+   host the slots of articles are the main ones, else the slot with the most
+   text that isn't template text and mostly isn't links.
 5. Extraction takes the blocks in the main slots of a page, without those
    below menus, headers, footers, asides, notices, adverts, forms and comments.
    A page without text there (of a host of one page, or another layout) is
@@ -34,6 +34,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +55,8 @@ related recommended recommendations comment comments discussion replies respond
 contentinfo complementary alert""".split())
 TOP_WORDS = frozenset("header footer masthead topbar".split())
 MAIN = frozenset("article main".split())
+#: Elements that are regions of their own outside the main ones.
+CONTAINERS = frozenset("body center div section td".split())
 #: An opened element ends an open one of the same row, but not beyond the third's elements.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
         "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -65,22 +68,37 @@ END_OF = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 
 
 class Element:
-    """An open block element: its name, path, region and whether it is beside the main text."""
-    __slots__ = ("name", "path", "region", "aside", "inside")
+    """An open block element: its path (hash), region, and whether it is beside or inside the main text."""
+    __slots__ = ("name", "parent", "path", "region", "aside", "inside")
 
     def __init__(self, name: str, attributes: str, parent: Element | None):
         words = [w for m in NAMES.finditer(attributes) for w in WORD.findall((m[1] or m[2] or m[3] or "").lower())] if attributes else []
-        label = ".".join([name, *words])
-        self.name = name
-        self.path = f"{parent.path}/{label}" if parent else label
-        self.inside = bool(parent and parent.inside) or name in MAIN or "role=\"main\"" in attributes
+        self.name, self.parent = name, parent
+        self.path = _hash(parent.path, name, *words) if parent else 0
+        main = name in MAIN or (name == "div" and "main" in words and 'role="main"' in attributes)
+        above = bool(parent and parent.inside)
+        self.inside = above or main
         self.aside = bool(parent and parent.aside) or name in ASIDE or not ASIDE_WORDS.isdisjoint(words) or (not self.inside and not TOP_WORDS.isdisjoint(words))
-        main = name in MAIN or "role=\"main\"" in attributes
-        self.region = self.path if main or not (parent and parent.inside) else parent.region
+        self.region = self.path if not parent or (main and not above) or (name in CONTAINERS and not above) else parent.region
 
+    def below(self, path: int) -> bool:
+        """Whether the element with that path is this one or holds it."""
+        at: Element | None = self
+        while at and at.path != path:
+            at = at.parent
+        return at is not None
 
-def parse(html: str) -> tuple[dict[str, int], list[tuple[Element, str, int]]]:
-    """Counts of element paths, and blocks of text: element, text, characters of links."""
+
+def _hash(*parts) -> int:
+    return _signed(xxhash.xxh64_intdigest("\x1f".join(map(str, parts)), 0))
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def parse(html: str) -> tuple[dict[tuple[int, int], int], list[tuple[Element, str, int]]]:
+    """Counts of (path, parent's path), and blocks of text: element, text, characters of links."""
     root = Element("", "", None)
     stack, paths, blocks = [root], defaultdict(int), []
     buffer: list[str] = []
@@ -132,7 +150,7 @@ def parse(html: str) -> tuple[dict[str, int], list[tuple[Element, str, int]]]:
                     del stack[i:]
                     break
             element = Element(name, m[3], stack[-1])
-            paths[element.path] += 1
+            paths[element.path, stack[-1].path] += 1
             if name not in SINGLE and not m[3].endswith("/"):
                 stack.append(element)
         elif m[1]:
@@ -151,17 +169,11 @@ def parse(html: str) -> tuple[dict[str, int], list[tuple[Element, str, int]]]:
 
 
 HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
-TOKENS = "host string, path string, parent string, region string, text long, aside boolean, pages long, n long, mark long, sum long, chars long, links long"
-_TYPES = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.bool_(), *[pa.int64()] * 6]
-
-
-def _hash(*parts) -> int:
-    import xxhash
-    return xxhash.xxh64_intdigest("\x1f".join(map(str, parts)), 0)
-
-
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+#: A token is a page (no path), an element (path and parent) or a text (path, region and hash).
+TOKEN = "host string, path long, parent long, region long, text long, aside boolean, named boolean"
+TOKENS = f"{TOKEN}, pages long, n long, mark long, sum long, chars long, links long"
+KEY = [c.split()[0] for c in TOKEN.split(", ")]
+_TYPES = [pa.string(), *[pa.int64()] * 4, pa.bool_(), pa.bool_(), *[pa.int64()] * 6]
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,19 +197,19 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page_id, host, html in zip(*[c.to_pylist() for c in b.columns]):
             paths, blocks = parse(html)
             page = _hash(page_id, len(html), html[:200])
-            add((host, "", "", "", None, False), page, 1, 0, 0)
+            add((host, None, None, None, None, False, False), page, 1, 0, 0)
             texts: dict[tuple, list] = defaultdict(lambda: [0, 0, 0])
             for element, text, links in blocks:
-                own = texts[element.path, element.region, _signed(_hash(element.path, text)), element.aside]
+                own = texts[element.path, None, element.region, _hash(text), element.aside, element.inside]
                 own[0] += 1
                 own[1] += len(text)
                 own[2] += links
-            for path, n in paths.items():
-                add((host, path, path.rpartition("/")[0], "", None, False), page, n, 0, 0)
-            for (path, region, text, aside), (n, chars, links) in texts.items():
-                add((host, path, "", region, text, aside), page, n, chars, links)
+            for (path, parent), n in paths.items():
+                add((host, path, parent, None, None, False, False), page, n, 0, 0)
+            for key, (n, chars, links) in texts.items():
+                add((host, *key), page, n, chars, links)
         if total:
-            rows = [(*k, v[0], v[1], _signed(v[2]), *v[3:]) for k, v in total.items()]
+            rows = [(*k, *v) for k, v in total.items()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], [c.split()[0] for c in TOKENS.split(", ")])
 
 
@@ -207,44 +219,41 @@ def _keyed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
 
 
 def deduce(keyed: DataFrame) -> DataFrame:
-    """(host, regions): the main slots of every host's template."""
+    """(host, named, region): the main slots of every host's template; named: those of articles."""
     seen = keyed.select("id", "host", "html").mapInArrow(_tokens, TOKENS)
-    tokens = stored(seen.groupBy("host", "path", "parent", "region", "text", "aside").agg(
-        *[F.sum(c).alias(c) for c in ("pages", "n", "sum", "chars", "links")], F.bit_xor("mark").alias("mark")), "tokens")
-    elements = tokens.where("text is null and path <> ''")
+    tokens = stored(seen.groupBy(*KEY).agg(*[F.sum(c).alias(c) for c in ("pages", "n", "sum", "chars", "links")], F.bit_xor("mark").alias("mark")), "tokens")
+    elements = tokens.where("text is null and path is not null")
     vector = ["host", "pages", "n", "mark", "sum"]
     classes = elements.groupBy(*vector).agg(F.count(F.lit(1)).alias("size")).where((F.col("size") >= CLASS_SIZE) & (F.col("pages") >= CLASS_PAGES))
     valid = stored(elements.join(classes, vector).select("host", "path", "parent", "pages"), "classes")
     above = valid.select("host", F.col("path").alias("parent"), F.col("pages").alias("above"))
-    nested = valid.join(above, ["host", "parent"], "left").where("parent = '' or pages <= above")
-    hosts = tokens.where("text is null and path = ''").select("host", F.col("pages").alias("of"))
+    nested = valid.join(above, ["host", "parent"], "left").where("parent = 0 or pages <= above")
+    hosts = tokens.where("path is null").select("host", F.col("pages").alias("of"))
     texts = tokens.where("text is not null and not aside").join(hosts, "host")
     fixed = (F.col("pages") == F.col("of")) & (F.col("of") >= CLASS_PAGES)
-    regions = texts.groupBy("host", "region").agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.sum(F.when(fixed, 0).otherwise(F.col("chars"))).alias("free"))
+    regions = texts.groupBy("host", "region", "named").agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.sum(F.when(fixed, 0).otherwise(F.col("chars"))).alias("free"))
     slots = regions.join(nested.select("host", F.col("path").alias("region")).distinct(), ["host", "region"])
-    named = F.element_at(F.split("region", "/"), -1).rlike(r"^(article|main)\b")
-    ranked = slots.withColumn("named", named.cast("int")).withColumn("prose", (F.col("links") <= LINK_SHARE * F.col("chars")).cast("int"))
-    best = ranked.groupBy("host").agg(F.max("named").alias("named"), F.max_by("region", F.struct("prose", "free", "chars", "region")).alias("region"))
-    return stored(best, "slots")
+    prose = F.col("links") <= LINK_SHARE * F.col("chars")
+    return stored(slots.groupBy("host").agg(F.max("named").alias("named"), F.max_by("region", F.struct(prose, "free", "chars", "region")).alias("region")), "slots")
 
 
-def _chosen(blocks: list[tuple[Element, str, int]], named: bool, region: str | None) -> list[str]:
+def _chosen(blocks: list[tuple[Element, str, int]], named: bool, region: int | None) -> list[str]:
     """Texts of the main slots; of a page that has none there, of its own regions."""
-    free = [(e, t, n) for e, t, n in blocks if not e.aside]
+    free = [b for b in blocks if not b[0].aside]
     articles = [t for e, t, _ in free if e.inside]
-    if articles and (named or not region):
+    if articles and (named or region is None):
         return articles
-    own = [t for e, t, _ in free if e.region == region]
+    own = [t for e, t, _ in free if e.below(region)] if region is not None else []
     if own or not free:
         return own
     if articles:
         return articles
-    total: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+    total: dict[int, list[int]] = defaultdict(lambda: [0, 0])
     for e, t, n in free:
         total[e.region][0] += len(t)
         total[e.region][1] += n
     most = max(total, key=lambda r: (total[r][1] <= LINK_SHARE * total[r][0], total[r][0], r))
-    return [t for e, t, _ in free if e.region == most]
+    return [t for e, t, _ in free if e.below(most)]
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -252,7 +261,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     small_batches(pages.sparkSession)
     keyed = _keyed(pages, id_col, url_col, html_col)
     slots = deduce(keyed)
-    joined = keyed.join(slots, "host", "left").select("id", "url", "html", F.coalesce(F.col("named") == 1, F.lit(False)).alias("named"), "region")
+    joined = keyed.join(slots, "host", "left").select("id", "url", "html", F.coalesce("named", F.lit(False)).alias("named"), "region")
     schema = joined.select("id", "url", F.lit("").alias("text")).schema
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
