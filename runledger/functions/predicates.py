@@ -97,7 +97,7 @@ def rfc3339_utc(ts: str | Column) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-INT_TEXT = r"^[+-]?[0-9]+$"
+INT_TEXT = r"^[+-]?[0-9]+\z"
 
 
 def parse_int(s: str | Column) -> Column:
@@ -152,11 +152,6 @@ def all_of(*preds: Column) -> Column:
     return reduce(lambda a, b: a & b, preds, F.lit(True))
 
 
-def prop_contains(name: str, value: str) -> Column:
-    """Substring test on a string property."""
-    return F.coalesce(F.col(name).contains(value), F.lit(False))
-
-
 def any_contains(name: str, value: str) -> Column:
     """P10: some element of a list property contains ``value``."""
     return F.exists(labels_or_empty(name), lambda x: x.contains(value))

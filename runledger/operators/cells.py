@@ -7,8 +7,7 @@ test present in every run never becomes one giant row.
 
 Shuffles, in order of a full load: last write wins per cell (hash on the cell
 key, partial aggregation first), first-seen per dictionary entry (hash on the
-entry), the dictionary's range sort (dense ids), and the id lookup join
-(broadcast when the dictionary's size is proven small, else a shuffle join).
+entry), the dictionary's range sort (dense ids), and the id lookup join.
 """
 
 from __future__ import annotations
@@ -20,12 +19,8 @@ from pyspark.sql import functions as F
 
 from runledger.functions import predicates as P
 from runledger.operators.numbering import dense_ids
-from runledger.operators.sizing import broadcast_if_small
+from runledger.session import fresh_dir
 
-# The status words a result may carry; anything else is
-# normalised to UNKNOWN.
-KNOWN_STATUSES = ("OK", "PASS", "FAIL", "ERROR", "TIMEOUT", "NOTRUN", "CRASH", "ASSERT", "SKIP",
-                  "PRECONDITION_FAILED")
 UNKNOWN_STATUS = "UNKNOWN"
 DEFAULT_FAMILY = "tests"
 DEFAULT_CHUNK = 100_000
@@ -33,12 +28,15 @@ DEFAULT_CHUNK = 100_000
 CELL_KEY = ("run_id", "test", "subtest")
 
 
-def normalize_status(c: str | Column) -> Column:
-    """trimmed upper-case status if known, else UNKNOWN (NULL stays NULL)."""
+def normalize_status(c: str | Column, known: Sequence[str] | None = None) -> Column:
+    """the trimmed upper-case status (NULL stays NULL).  With ``known``,
+    the status words of a deployment, any other becomes UNKNOWN; without it
+    every status is kept."""
     col = F.col(c) if isinstance(c, str) else c
     u = F.upper(F.trim(col))
-    return F.when(col.isNull(), F.lit(None).cast("string")) \
-        .when(u.isin(list(KNOWN_STATUSES)), u).otherwise(F.lit(UNKNOWN_STATUS))
+    if known is None:
+        return u
+    return F.when(col.isNull(), F.lit(None).cast("string")).when(u.isin(list(known)), u).otherwise(F.lit(UNKNOWN_STATUS))
 
 
 # ---- R14/R15: reports -> cells ---------------------------------------------------
@@ -52,25 +50,46 @@ def _part(reports: DataFrame) -> Column:
         else F.lit(0).cast("bigint")
 
 
+def _has_field(reports: DataFrame, name: str) -> bool:
+    return name in reports.schema["results"].dataType.elementType.names
+
+
+def _entries(reports: DataFrame, key: str) -> DataFrame:
+    """One row per result entry ``r`` with its place in the run's report.
+
+    Our own reports say where an entry belongs: ``first_pos`` orders the tests
+    of a run and ``sub_base`` is the number of subtests in earlier entries of
+    the same test, so the place doesn't depend on how a report was cut.  Other
+    reports are ordered by part and position in the document."""
+    res = reports.select(key, _part(reports).alias("part"), F.posexplode("results").alias("result_pos", "r"))
+    pos = F.col("r")["first_pos"] if _has_field(reports, "first_pos") else F.lit(None).cast("bigint")
+    base = F.col("r")["sub_base"] if _has_field(reports, "sub_base") else F.lit(None).cast("bigint")
+    return res.select(
+        key, F.when(pos.isNull(), F.col("part")).otherwise(F.lit(0)).cast("bigint").alias("part"),
+        F.col("result_pos").cast("bigint").alias("result_pos"),
+        F.coalesce(pos, F.col("result_pos").cast("bigint")).alias("entry"),
+        F.coalesce(base, F.lit(0)).cast("bigint").alias("sub_base"), "r")
+
+
 def explode_matrix(reports: DataFrame, key: str = "run_id") -> DataFrame:
     """One cell for every result and one for each of its subtests; a
-    subtest cell carries the parent status.  ``result_pos``/``sub_pos`` keep
-    the in-report order (``sub_pos`` NULL for the result's own cell) within
-    the report part ``part``.
+    subtest cell carries the parent status.  ``(part, entry, sub_pos)`` is the
+    in-report order (``sub_pos`` NULL for the result's own cell) and doesn't
+    depend on how the report was cut; ``result_pos`` is the place in the
+    document.
 
     One generator over a per-result array (not a union of two explodes), so
     the reports are scanned once."""
-    res = reports.select(key, _part(reports).alias("part"),
-                         F.posexplode("results").alias("result_pos", "r"))
     r = F.col("r")
     base = F.struct(r["test"].alias("test"), F.lit(None).cast("string").alias("subtest"),
                     r["status"].alias("status"), F.lit(None).cast("string").alias("sub_status"),
                     F.lit(None).cast("int").alias("sub_pos"))
     subs = F.transform(_subtests(r), lambda s, j: F.struct(
         r["test"].alias("test"), s["name"].alias("subtest"), r["status"].alias("status"),
-        s["status"].alias("sub_status"), j.alias("sub_pos")))
-    return res.select(key, "part", F.col("result_pos").cast("bigint").alias("result_pos"),
-                      F.inline(F.concat(F.array(base), subs)))
+        s["status"].alias("sub_status"), (F.col("sub_base") + j).cast("int").alias("sub_pos")))
+    # only a test's first entry stands for the result itself
+    own = F.when(F.col("sub_base") == 0, F.array(base)).otherwise(F.slice(F.array(base), 1, 0))
+    return _entries(reports, key).select(key, "part", "entry", "result_pos", F.inline(F.concat(own, subs)))
 
 
 def cell_id(test: Column, sub: Column | None) -> Column:
@@ -86,19 +105,17 @@ def cell_value(status: Column, sub_status: Column | None) -> Column:
 
 def explode_wide(reports: DataFrame, key: str = "run_id") -> DataFrame:
     """Subtests if any, else the result itself -> (qualifier, value)."""
-    res = reports.where(F.size(F.coalesce("results", F.array())) > 0) \
-        .select(key, _part(reports).alias("part"), F.posexplode("results").alias("result_pos", "r"))
     r = F.col("r")
     subs = _subtests(r)
     per_sub = F.transform(subs, lambda s, j: F.struct(
         cell_id(r["test"], s["name"]).alias("qualifier"),
         cell_value(r["status"], s["status"]).alias("value"),
-        j.alias("sub_pos")))
+        (F.col("sub_base") + j).cast("int").alias("sub_pos")))
     single = F.array(F.struct(cell_id(r["test"], None).alias("qualifier"),
                               cell_value(r["status"], None).alias("value"),
                               F.lit(0).alias("sub_pos")))
-    return res.select(key, "part", F.col("result_pos").cast("bigint").alias("result_pos"),
-                      F.inline(F.when(F.size(subs) > 0, per_sub).otherwise(single)))
+    return _entries(reports, key).select(key, "part", "entry", "result_pos",
+                                         F.inline(F.when(F.size(subs) > 0, per_sub).otherwise(single)))
 
 
 def row_key() -> Column:
@@ -121,7 +138,7 @@ def wide_cells(reports: DataFrame, runs: DataFrame, family: str = DEFAULT_FAMILY
     j = cells.join(r, "run_id")
     return j.select("row_key", F.lit(family).alias("family"), "qualifier", "value",
                     (load_ts if load_ts is not None else F.current_timestamp()).alias("ts"),
-                    "created_at", "run_id", "part", "result_pos", "sub_pos")
+                    "created_at", "run_id", "part", F.col("entry").alias("result_pos"), "sub_pos")
 
 
 def merge_wide(cells: DataFrame) -> DataFrame:
@@ -165,19 +182,11 @@ def last_subtest_status(cells: DataFrame) -> DataFrame:
 
 # ---- A3, A4, J6: dictionaries --------------------------------------------------
 
-POS_BITS = 32
-
-
 def first_seen_key(run_idx: Column, pos: Column) -> Column:
-    """(run order, in-report position) packed into one BIGINT: run_idx in the
-    high bits, pos in the low 32.  A single long keeps the first-seen
-    aggregate a codegen'd hash aggregate with map-side combine (a struct
-    minimum would fall back to a sort-based aggregate).  A position outside
-    [0, 2^32) fails the job rather than mis-order silently."""
-    limit = F.lit(1 << POS_BITS)
-    ok = (pos >= 0) & (pos < limit)
-    return F.when(ok, F.shiftleft(run_idx.cast("bigint"), POS_BITS) + pos) \
-        .otherwise(F.raise_error(F.lit("cell position out of range for first-seen ordering")))
+    """(run order, in-report position) as one DECIMAL(38,0), which holds two
+    non-negative BIGINTs.  One value keeps the first-seen aggregate a hash
+    aggregate with map-side combine (a struct minimum would be sort-based)."""
+    return (run_idx.cast("decimal(19,0)") * F.lit(10 ** 18).cast("decimal(19,0)") * F.lit(10) + pos.cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def test_dictionary(cells: DataFrame, runs: DataFrame | None = None,
@@ -187,7 +196,7 @@ def test_dictionary(cells: DataFrame, runs: DataFrame | None = None,
     position in the report.  Pass ``run_index`` (A4 output) to reuse it."""
     if run_index is None:
         run_index = run_dictionary(runs.select("run_id", "created_at"))
-    ri = broadcast_if_small(run_index.select(F.col("id").alias("__run_idx"), "run_id"))
+    ri = run_index.select(F.col("id").alias("__run_idx"), "run_id")
     seen = cells.select("run_id", "test", "subtest", "pos").join(ri, "run_id")
     first = (seen.groupBy("test", "subtest")
              .agg(F.min(first_seen_key(F.col("__run_idx"), F.col("pos"))).alias("__first")))
@@ -215,16 +224,16 @@ def run_dictionary(runs: DataFrame) -> DataFrame:
     return dense_ids(runs, order, "id")
 
 
-def encode_cells(cells: DataFrame, tests: DataFrame, run_index: DataFrame) -> DataFrame:
+def encode_cells(cells: DataFrame, tests: DataFrame, run_index: DataFrame, known: Sequence[str] | None = None) -> DataFrame:
     """Replace (run_id) and (test, subtest) by dictionary ids.  The subtest
     side of the key is compared null-safe (a test's own cell has none)."""
-    t = broadcast_if_small(tests.select(F.col("id").alias("test_id"), F.col("test").alias("__t"),
-                                        F.col("subtest").alias("__s")))
-    ri = broadcast_if_small(run_index.select(F.col("id").alias("run_idx"), "run_id"))
+    t = tests.select(F.col("id").alias("test_id"), F.col("test").alias("__t"),
+                                        F.col("subtest").alias("__s"))
+    ri = run_index.select(F.col("id").alias("run_idx"), "run_id")
     j = cells.join(t, (cells["test"] == t["__t"]) & cells["subtest"].eqNullSafe(t["__s"]))
     j = j.join(ri, "run_id")
-    return j.select("run_idx", "test_id", normalize_status("status").alias("status"),
-                    normalize_status("sub_status").alias("sub_status"), "pos", "run_id")
+    return j.select("run_idx", "test_id", normalize_status("status", known).alias("status"),
+                    normalize_status("sub_status", known).alias("sub_status"), "pos", "run_id")
 
 
 # ---- A6, A7, K7: pivots --------------------------------------------------------
@@ -236,10 +245,12 @@ def pivot(cells: DataFrame, by: str, other: str, chunk_size: int = DEFAULT_CHUNK
     The input must hold one row per (by, other) (apply ``last_write`` first:
     duplicate map keys are an error).  ``chunk = other div chunk_size`` caps
     every map at ``chunk_size`` entries, so hot keys split across rows and
-    tasks; entries are sorted so the map order is deterministic."""
+    tasks; entries are sorted so the map order is deterministic.  The one
+    shuffle is by ranges of (by, chunk), the order ``write_pivot`` writes in."""
     entry = F.struct(F.col(other).alias("k"), F.struct(*values).alias("v"))
     chunk = F.expr(f"`{other}` div {int(chunk_size)}").cast("bigint").alias("chunk")
-    return (cells.groupBy(by, chunk)
+    ranged = cells.withColumn("chunk", chunk).repartitionByRange(by, "chunk")
+    return (ranged.groupBy(by, "chunk")
             .agg(F.array_sort(F.collect_list(entry)).alias("__e"))
             .select(by, "chunk", F.map_from_entries("__e").alias("entries")))
 
@@ -255,32 +266,21 @@ def transpose(p: DataFrame, by: str, other: str, chunk_size: int = DEFAULT_CHUNK
     return pivot(unpivot(p, by, other), other, by, chunk_size)
 
 
-def write_pivot(p: DataFrame, by: str, path: str, num_files: int | None = None) -> str:
-    """K7: one JSON line per (key, chunk), range-partitioned by key so each
-    key's chunks sit together in few files (not one file per key)."""
-    n = num_files or max(1, p.sparkSession.sparkContext.defaultParallelism)
+def write_pivot(p: DataFrame, by: str, path: str) -> str:
+    """K7: one JSON line per (key, chunk); ``pivot`` has dealt the keys out by
+    range, so each key's chunks sit together in few files."""
     (p.withColumn("entries", F.transform_keys("entries", lambda k, v: k.cast("string")))
-     .repartitionByRange(n, by, "chunk").sortWithinPartitions(by, "chunk")
+     .sortWithinPartitions(by, "chunk")
      .write.mode("errorifexists").json(path))
     return path
 
 
-def upsert_wide_table(table, new_cells: DataFrame) -> int:
-    """K8 on storage: merge newly exploded cells into the current version of
-    a ``VersionedTable`` of merged wide cells and commit the result as the
-    next version (readers of the old version are never disturbed)."""
-    cur = table.current()
-    merged = merge_wide(new_cells) if cur is None else upsert_wide(table.read(cur), new_cells)
-    return table.commit(merged.repartitionByRange("row_key", "qualifier")
-                        .sortWithinPartitions("row_key", "qualifier"))
-
-
 # ---- the matrix loader: reports -> dictionary -> encoded last-write cells -------
 
 def _in_report_order() -> Column:
-    """(part, result_pos, sub_pos) with a result's own cell (sub_pos NULL)
-    before its subtests."""
-    return F.struct("part", "result_pos", F.coalesce(F.col("sub_pos"), F.lit(-1)).alias("sub_pos"))
+    """(part, entry, sub_pos) with a result's own cell (sub_pos NULL) before
+    its subtests."""
+    return F.struct("part", "entry", F.coalesce(F.col("sub_pos"), F.lit(-1)).alias("sub_pos"))
 
 
 def report_dictionary(matrix_cells: DataFrame, run_index: DataFrame) -> DataFrame:
@@ -290,7 +290,7 @@ def report_dictionary(matrix_cells: DataFrame, run_index: DataFrame) -> DataFram
     Two phases keep the big aggregation a hash aggregate: the first run of
     every entry is ``min(run_idx)`` (a long); the in-report minimum is then
     taken only over that run's rows (a semi join on the entry and run)."""
-    ri = broadcast_if_small(run_index.select(F.col("id").alias("run_idx"), "run_id"))
+    ri = run_index.select(F.col("id").alias("run_idx"), "run_id")
     cells = matrix_cells.join(ri, "run_id")
     first_run = cells.groupBy("test", "subtest").agg(F.min("run_idx").alias("run_idx"))
     key = (cells["test"] == first_run["test"]) & cells["subtest"].eqNullSafe(first_run["subtest"]) \
@@ -298,36 +298,27 @@ def report_dictionary(matrix_cells: DataFrame, run_index: DataFrame) -> DataFram
     firsts = cells.join(first_run, key, "left_semi")
     first = (firsts.groupBy("test", "subtest")
              .agg(F.min(F.struct("run_idx", _in_report_order().alias("o"))).alias("f")))
-    order = [F.col("f.run_idx"), F.col("f.o.part"), F.col("f.o.result_pos"), F.col("f.o.sub_pos")]
+    order = [F.col("f.run_idx"), F.col("f.o.part"), F.col("f.o.entry"), F.col("f.o.sub_pos")]
     return dense_ids(first, order, "id").select("id", "test", "subtest")
 
 
-def load_matrix(reports: DataFrame, run_index: DataFrame) -> tuple[DataFrame, DataFrame]:
+def load_matrix(reports: DataFrame, run_index: DataFrame, known: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """The matrix loader: ``(tests, cells)`` where ``cells`` holds one
-    ``(run_idx, test_id, status, sub_status)`` per cell written last."""
-    m = explode_matrix(reports)
+    ``(run_idx, test_id, status, sub_status)`` per cell written last.
+
+    The reports are parsed once: their cells are written to the shared folder
+    and read from there by the dictionary and the encoding."""
+    path = fresh_dir(reports.sparkSession, "matrix_cells")
+    explode_matrix(reports).drop("result_pos").write.parquet(path)
+    m = reports.sparkSession.read.parquet(path)
     tests = report_dictionary(m, run_index)
-    t = broadcast_if_small(tests.select(F.col("id").alias("test_id"), F.col("test").alias("__t"),
-                                        F.col("subtest").alias("__s")))
-    ri = broadcast_if_small(run_index.select(F.col("id").alias("run_idx"), "run_id"))
+    t = tests.select(F.col("id").alias("test_id"), F.col("test").alias("__t"), F.col("subtest").alias("__s"))
+    ri = run_index.select(F.col("id").alias("run_idx"), "run_id")
     enc = (m.join(t, (m["test"] == t["__t"]) & m["subtest"].eqNullSafe(t["__s"]))
            .join(ri, "run_id")
-           .select("run_idx", "test_id", normalize_status("status").alias("status"),
-                   normalize_status("sub_status").alias("sub_status"), "part", "result_pos", "sub_pos"))
-    cells = last_write_codes(enc.withColumn("pos", _packed_report_position()), ("run_idx", "test_id"))
-    return tests, cells
-
-
-def _packed_report_position() -> Column:
-    """(part, result_pos, sub_pos) as one BIGINT in the same order, 7 + 20 +
-    20 bits: up to 128 report parts, and up to about a million results per
-    document and subtests per result (our own documents hold at most 100,000
-    of each); anything larger fails the job rather than mis-order."""
-    part, res = F.col("part").cast("bigint"), F.col("result_pos").cast("bigint")
-    sub = F.coalesce(F.col("sub_pos").cast("bigint") + 1, F.lit(0).cast("bigint"))
-    ok = (part >= 0) & (part < (1 << 7)) & (res >= 0) & (res < (1 << 20)) & (sub < (1 << 20))
-    return F.when(ok, F.shiftleft(part, 40) + F.shiftleft(res, 20) + sub) \
-        .otherwise(F.raise_error(F.lit("report position out of range for packing")))
+           .select("run_idx", "test_id", normalize_status("status", known).alias("status"),
+                   normalize_status("sub_status", known).alias("sub_status"), "part", "entry", "sub_pos"))
+    return tests, last_write(enc, ("run_idx", "test_id"), _in_report_order())
 
 
 def browser_of_row() -> Column:
@@ -351,47 +342,12 @@ def upsert_wide_partitions(spark, path: str, new_cells: DataFrame, part_col: str
     ensure_checkpoint_dir(spark)
     new = new_cells.withColumn(part_col, browser_of_row())
     if path_exists(spark, path):
-        touched = broadcast_if_small(new.select(part_col).distinct())
+        touched = new.select(part_col)
         old = spark.read.parquet(path).join(touched, part_col, "left_semi").drop(part_col)
         merged = upsert_wide(old, new.drop(part_col))
     else:
         merged = merge_wide(new.drop(part_col))
     merged = merged.withColumn(part_col, browser_of_row()).checkpoint(eager=True)
-    (merged.repartition(part_col).sortWithinPartitions("row_key", "qualifier")
+    (merged.repartitionByRange(part_col, "row_key", "qualifier").sortWithinPartitions(part_col, "row_key", "qualifier")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col).parquet(path))
-
-
-# ---- last write over normalised statuses as one packed BIGINT ------------------
-
-_CODES = KNOWN_STATUSES + (UNKNOWN_STATUS,)
-_NULL_CODE = 255
-_POS_LIMIT = 1 << 47
-
-
-def _status_code(c: Column) -> Column:
-    codes = F.array(*[F.lit(s) for s in _CODES])
-    return F.when(c.isNull(), F.lit(_NULL_CODE)).otherwise(F.array_position(codes, c)).cast("bigint")
-
-
-def _status_of(code: Column) -> Column:
-    codes = F.array(*[F.lit(s) for s in _CODES])
-    return F.when(code == _NULL_CODE, F.lit(None).cast("string")).otherwise(
-        F.element_at(codes, code.cast("int")))
-
-
-def last_write_codes(cells: DataFrame, keys: Sequence[str], order: str = "pos") -> DataFrame:
-    """A5 for cells whose statuses are normalised (``encode_cells`` output):
-    position and both status codes packed into one BIGINT, so the aggregate
-    is ``max(long)`` - a hash aggregate with map-side combine - instead of a
-    sort-based ``max_by`` over a struct.  Exact: the status vocabulary is
-    closed, and a position outside [0, 2^47) fails the job."""
-    pos = F.col(order).cast("bigint")
-    packed = F.when((pos >= 0) & (pos < F.lit(_POS_LIMIT)),
-                    F.shiftleft(pos, 16) + F.shiftleft(_status_code(F.col("status")), 8)
-                    + _status_code(F.col("sub_status"))) \
-        .otherwise(F.raise_error(F.lit("cell position out of range for packed last write")))
-    m = F.col("__m")
-    return (cells.groupBy(*keys).agg(F.max(packed).alias("__m"))
-            .select(*keys, _status_of(F.shiftright(m, 8).bitwiseAND(F.lit(255))).alias("status"),
-                    _status_of(m.bitwiseAND(F.lit(255))).alias("sub_status")))

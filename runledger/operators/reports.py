@@ -8,12 +8,11 @@ one run's results (bounded by the size of a single report).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runledger.functions import predicates as P
 from runledger.operators import revisions as REV
-from runledger.operators.sizing import broadcast_if_small
 
 # Report object name, migration marker name, and the default
 # location prefix of the results bucket (a parameter everywhere).
@@ -90,7 +89,7 @@ def with_migration_log(runs: DataFrame, objects: DataFrame, url_base: str = DEFA
     large, so Spark/AQE choose the strategy from its real size."""
     eligible = runs.where(in_bucket_report("raw_results_url", url_base, bucket)) \
         .withColumn("__log", migration_log_url())
-    listing = objects.select(F.col(path_col).alias("__log")).distinct()
+    listing = objects.select(F.col(path_col).alias("__log"))
     return eligible.join(listing, "__log", "left_semi").drop("__log")
 
 
@@ -172,55 +171,65 @@ def results_from_cells(cells: DataFrame, key: str = "run_id", part_size: int | N
     ``first_pos`` = the test's lowest position.
 
     No group collects more than ``part_size`` subtests: the rows of a test
-    are cut by ``pos div part_size`` and each cut becomes its own result entry
-    (a test may appear more than once in a report; exploding it gives the
-    same cells, since every entry carries the test's parent status).  The
-    parent status is a separate partial aggregation (``max_by``) over the
-    whole (run, test) group, which never materialises the group."""
-    size = part_size or DEFAULT_PART_SIZE
-    parent = cells.groupBy(key, "test").agg(F.max_by("status", "pos").alias("status"))
+    are cut by ``pos div part_size`` and each cut with subtests becomes its own
+    result entry (a test without subtests has one).  ``sub_base`` counts the
+    subtests in earlier entries of the test, so exploding the entries gives the
+    same cells in the same order for any ``part_size``.  Parent status, lowest
+    position and whether there are subtests come from a separate partial
+    aggregation over the whole (run, test) group, which never materialises it."""
+    size = int(part_size or DEFAULT_PART_SIZE)
+    parent = cells.groupBy(key, "test").agg(F.max_by("status", "pos").alias("status"), F.min("pos").alias("first_pos"),
+                                            F.max(F.col("subtest").isNotNull()).alias("__has"))
     sub = F.when(F.col("subtest").isNotNull(),
                  F.struct(F.col("pos"), F.struct(F.col("subtest").alias("name"),
                                                  F.col("sub_status").alias("status")).alias("s")))
-    cut = F.expr(f"pos div {int(size)}").alias("__cut")
-    g = (cells.groupBy(key, "test", cut)
-         .agg(F.min("pos").alias("first_pos"), F.array_sort(F.collect_list(sub)).alias("__subs")))
-    return g.join(parent, [key, "test"]).select(
-        key, "test", "status", "first_pos", F.transform("__subs", lambda x: x["s"]).alias("subtests"))
+    cut = F.expr(f"pos div {size}").alias("__cut")
+    g = cells.groupBy(key, "test", cut).agg(F.array_sort(F.collect_list(sub)).alias("__subs"))
+    first_cut = F.expr(f"first_pos div {size}")
+    j = g.join(parent, [key, "test"]).where(F.when(F.col("__has"), F.size("__subs") > 0).otherwise(F.col("__cut") == first_cut))
+    before = Window.partitionBy(key, "test").orderBy("__cut").rowsBetween(Window.unboundedPreceding, -1)
+    return j.select(key, "test", "status", "first_pos", F.transform("__subs", lambda x: x["s"]).alias("subtests"),
+                    F.coalesce(F.sum(F.size("__subs")).over(before), F.lit(0)).cast("bigint").alias("sub_base"))
 
 
 def assemble_reports(results: DataFrame, runs: DataFrame, key: str = "run_id",
                      info: Column | None = None, how: str = "inner",
-                     part_size: int = DEFAULT_PART_SIZE) -> DataFrame:
+                     part_size: int = DEFAULT_PART_SIZE, keep: tuple[str, ...] = ()) -> DataFrame:
     """Results of each run, ordered by ``first_pos``, as report documents
     with the run's ``run_info``.
 
-    A run's report is split into ordered parts of at most ``part_size``
-    results (``part = first_pos div part_size``; positions are distinct, so a
-    part never holds more).  No row - and no aggregation group - ever holds
-    more than one part, however large a single run is; a run's report is its
-    parts in ``part`` order (one part for any run below the bound)."""
-    res = F.struct("first_pos", "test", "status", "subtests")
+    A run's report is split into parts: ``part = first_pos div part_size``, and
+    within it one document per ``sub_base div part_size``, so no row - and no
+    aggregation group - grows with a run or with a test's subtests.  Entries
+    carry ``first_pos`` and ``sub_base``, which order them across documents."""
+    base = F.col("sub_base") if "sub_base" in results.columns else F.lit(0).cast("bigint")
+    results = results.withColumn("sub_base", base)
+    res = F.struct("first_pos", "sub_base", "test", "status", "subtests")
     part = F.expr(f"first_pos div {int(part_size)}").cast("bigint").alias("part")
-    per_part = (results.groupBy(key, part)
+    piece = F.expr(f"sub_base div {int(part_size)}").cast("bigint").alias("__piece")
+    per_part = (results.groupBy(key, part, piece)
                 .agg(F.array_sort(F.collect_list(res)).alias("__r"))
                 .select(key, "part", F.transform("__r", lambda x: F.struct(
-                    x["test"].alias("test"), x["status"].alias("status"),
-                    x["subtests"].alias("subtests"))).alias("results")))
-    r = runs.select(key, (info if info is not None else run_info()).alias("run_info"))
+                    x["test"].alias("test"), x["status"].alias("status"), x["subtests"].alias("subtests"),
+                    x["first_pos"].alias("first_pos"), x["sub_base"].alias("sub_base"))).alias("results")))
+    r = runs.select(key, (info if info is not None else run_info()).alias("run_info"), *keep)
     out = r.join(per_part, key, how)
     return (out.withColumn("part", F.coalesce("part", F.lit(0).cast("bigint")))
             .withColumn("results", F.coalesce(
                 "results", F.array().cast("array<struct<test:string,status:string,"
-                                          "subtests:array<struct<name:string,status:string>>>>"))))
+                                          "subtests:array<struct<name:string,status:string>>,"
+                                          "first_pos:bigint,sub_base:bigint>>"))))
 
 
 def report_sizes(reports: DataFrame, key: str = "run_id", by: tuple[str, ...] = ()) -> DataFrame:
-    """Per run: number of results and of subtests over all its parts."""
+    """Per run: number of tests and of subtests over all its documents (a
+    test's later entries, which go on with its subtests, don't count)."""
     n_sub = F.aggregate("results", F.lit(0).cast("bigint"),
                         lambda acc, r: acc + F.size(F.coalesce(r["subtests"], F.array())))
+    cut_up = "sub_base" in reports.schema["results"].dataType.elementType.names
+    tests = F.size(F.filter("results", lambda r: F.coalesce(r["sub_base"], F.lit(0)) == 0)) if cut_up else F.size("results")
     return (reports.groupBy(key, *by)
-            .agg(F.sum(F.size("results")).cast("bigint").alias("n_results"),
+            .agg(F.sum(tests).cast("bigint").alias("n_results"),
                  F.sum(n_sub).cast("bigint").alias("n_subtests")))
 
 
@@ -235,11 +244,11 @@ def shards_for(shards: DataFrame, runs: DataFrame, key: str = "run_id",
     """Only the shards of ``runs``.  When the shard table is partitioned by
     ``run_bucket`` the semi join also carries the bucket, so a small run set
     prunes whole bucket folders at run time (dynamic partition pruning)."""
-    keys = runs.select(key).distinct()
+    keys = runs.select(key)
     if buckets and "run_bucket" in shards.columns:
         keys = keys.withColumn("run_bucket", run_bucket(key, buckets))
-        return shards.join(broadcast_if_small(keys), ["run_bucket", key], "left_semi")
-    return shards.join(broadcast_if_small(keys), key, "left_semi")
+        return shards.join(keys, ["run_bucket", key], "left_semi")
+    return shards.join(keys, key, "left_semi")
 
 
 def consolidate(shards: DataFrame, runs: DataFrame, revisions: DataFrame,
@@ -252,14 +261,14 @@ def consolidate(shards: DataFrame, runs: DataFrame, revisions: DataFrame,
 
     ``shards`` has one row per shard result: ``run_id, test, status,
     subtests, first_pos`` (and ``run_bucket`` when bucketed).  Only the
-    shards of the runs being handled are read and grouped.  Runs with no
-    shard get an empty report."""
+    shards of the runs being handled are read and grouped.  A run without any
+    shard is left for a later pass: no report is written for it."""
     todo = REV.resolve(runs.where(P.is_missing_str("raw_results_url")), revisions)
     todo = report_locations(todo)
     mine = shards_for(shards, todo, buckets=shard_buckets)
     info = run_info(trim_experimental=True, hash_col="resolved_hash")
-    reports = assemble_reports(mine, todo, info=info, how="left")
-    return reports.join(todo.select("run_id", "report_path", "report_url", "resolved_hash"), "run_id")
+    placed = ("report_path", "report_url", "resolved_hash")
+    return assemble_reports(mine, todo, info=info, keep=placed)
 
 
 def mark_consolidated(runs: DataFrame, consolidated: DataFrame) -> DataFrame:
@@ -289,7 +298,7 @@ def migrate_reports(runs: DataFrame, reports: DataFrame, objects: DataFrame,
     Runs whose report is missing keep their URL, as a failed read stops that
     run before anything is updated."""
     rw = rewrite_report_paths(runs, objects, url_base, bucket)
-    rw = rw.join(reports.select("run_id").distinct(), "run_id", "left_semi")
+    rw = rw.join(reports.select("run_id"), "run_id", "left_semi")
     new_reports = (stamp_run_info(reports.join(rw.select("run_id"), "run_id", "left_semi"), runs)
                    .join(rw.select("run_id", F.col("new_url").alias("location")), "run_id"))
     moved = rw.select("run_id", F.col("new_url").alias("__new"))

@@ -36,9 +36,9 @@ SCAN_ORDERS: dict[str, tuple[str, bool]] = {
 
 
 def scan_order(name: str) -> list[Column]:
-    """Sort columns of a named order; missing values sort last."""
+    """Sort columns of a named order; a missing value is the smallest (a missing time the oldest)."""
     c, desc = SCAN_ORDERS[name]
-    first = F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last()
+    first = F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_first()
     return [first, F.col("run_id").asc()]
 
 
@@ -92,5 +92,5 @@ def scan_runs(spark, path: str, order: str | None = None, rank_col: str = "rank"
 
 def scan_ordered(runs: DataFrame, order: str = "newest", rank_col: str = "rank") -> DataFrame:
     """The whole table with its 0-based position in ``order``; rows
-    whose sort column is missing are kept (NULLs last)."""
+    whose sort column is missing are kept, as the smallest."""
     return dense_ids(runs, scan_order(order), rank_col)

@@ -16,7 +16,7 @@ runs_b AS (SELECT o_orderkey AS run_id, o_orderdate, o_orderkey k,
  CASE CAST(o_custkey % 6 AS INT) WHEN 0 THEN '62.0' WHEN 1 THEN '63.0 dev' WHEN 2 THEN '64.0 beta' WHEN 3 THEN '59.0a1' WHEN 4 THEN '58.0b1' ELSE '11.1 preview' END AS browser_version,
  CASE o_orderstatus WHEN 'F' THEN 'linux' WHEN 'O' THEN 'windows_x' ELSE 'mac' END AS os_name,
  CASE substr(o_orderpriority,1,1) WHEN '1' THEN '' WHEN '2' THEN '*' WHEN '3' THEN '10' WHEN '4' THEN '3.16' ELSE '10.13' END AS os_version,
- sha1(CAST(o_custkey % 100 AS STRING)) AS sha,
+ sha1(CAST(o_custkey AS STRING)) AS sha,
  CASE CAST(o_orderkey % 5 AS INT) WHEN 0 THEN 'azure' WHEN 1 THEN 'taskcluster,stable' WHEN 2 THEN 'buildbot,chrome' WHEN 3 THEN 'master,experimental' END AS lab
  FROM orders),
 runs AS (SELECT run_id, browser_name, browser_version, os_name, os_version,
@@ -38,7 +38,7 @@ cells AS (SELECT l_orderkey AS run_id, concat('/', lower(p_type), '/', replace(p
  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 REVISIONS_CTE = """
-revisions AS (SELECT DISTINCT sha1(CAST(o_custkey % 100 AS STRING)) AS sha FROM orders WHERE (o_custkey % 100) % 4 <> 0)"""
+revisions AS (SELECT DISTINCT sha1(CAST(o_custkey AS STRING)) AS sha FROM orders WHERE o_custkey % 4 <> 0)"""
 
 OBJECTS_CTE = """
 objects AS (SELECT DISTINCT replace(raw_results_url,'report.json','migration.log') AS path FROM runs

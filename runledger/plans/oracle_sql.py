@@ -122,7 +122,7 @@ FROM runs WHERE {_FILTER_WHERE}"""
 ORACLE["filter_runs_limit"] = RUNS + f"""
 SELECT run_id, browser_name, os_name, CAST(created_at AS VARCHAR) AS created_at
 FROM runs WHERE {_FILTER_WHERE}
-ORDER BY created_at NULLS LAST, run_id LIMIT 25"""
+ORDER BY created_at NULLS FIRST, run_id LIMIT 25"""
 
 # ---- revisions -------------------------------------------------------------------
 
@@ -337,7 +337,22 @@ ORACLE["stamp_run_info"] = RUNS_OBJ_RESULTS + """
 SELECT run_id, browser_name, browser_version, os_name, os_version, revision, full_revision_hash, n_results
 FROM stamped"""
 
-ORACLE["write_reports"] = RUNS_OBJ_RESULTS + "SELECT run_id, browser_name, n_results FROM stamped"
+_CELLS_OF = """
+report_cells AS (SELECT run_id, test, CAST(NULL AS VARCHAR) AS subtest, status, CAST(NULL AS VARCHAR) AS sub_status FROM results_pos
+  UNION ALL SELECT run_id, test, subtest, status, sub_status FROM sub_rows)"""
+
+ORACLE["write_reports"] = RUNS_OBJ_RESULTS + "," + _SUB_ROWS + "," + _CELLS_OF + "," + _REWRITE + """
+SELECT s.run_id, s.browser_name, 'https://storage.example/results/' || w.new_path AS location,
+       c.test, c.subtest, c.status, c.sub_status
+FROM stamped s JOIN rewritten w ON s.run_id = w.run_id JOIN report_cells c ON s.run_id = c.run_id"""
+ORACLE["write_reports_plain"] = ORACLE["write_reports"]
+
+ORACLE["migrated_runs"] = RUNS_OBJ_RESULTS + "," + _REWRITE + """
+SELECT r.run_id, CASE WHEN s.run_id IS NULL THEN r.raw_results_url
+  ELSE 'https://storage.example/results/' || w.new_path END AS raw_results_url
+FROM runs r LEFT JOIN stamped s ON r.run_id = s.run_id LEFT JOIN rewritten w ON r.run_id = w.run_id"""
+
+ORACLE["not_selected"] = RUNS + f"SELECT run_id, browser_name FROM runs WHERE NOT coalesce({_CH_SEL}, false)"
 
 ORACLE["gzip_lines"] = with_ctes(REVISIONS_CTE) + "SELECT sha AS value FROM revisions"
 
@@ -360,8 +375,9 @@ consolidated AS (SELECT t.run_id,
 
 CONSOLIDATED = with_ctes(RUNS_CTE, REVISIONS_CTE, _PREFIXES, CELLS_CTE, RESULTS_CTE, _CONSOLIDATED)
 
-ORACLE["consolidate_reports"] = CONSOLIDATED + """
-SELECT run_id, report_url, full_revision_hash, browser_name, n_results, n_subtests FROM consolidated"""
+ORACLE["consolidate_reports"] = CONSOLIDATED + "," + _SUB_ROWS + "," + _CELLS_OF + """
+SELECT t.run_id, t.report_url, t.full_revision_hash, t.browser_name, c.test, c.subtest, c.status, c.sub_status
+FROM consolidated t JOIN report_cells c ON t.run_id = c.run_id"""
 
 # ---- scans over the wide table and the dictionary -------------------------------------
 
@@ -392,10 +408,19 @@ WHERE len(seg) >= 2 AND contains(seg[1], 'eco') AND contains(seg[2], 'l')"""
 ORACLE["name_search"] = RUNS_CELLS_TESTS + """
 SELECT id, test, subtest FROM tests WHERE contains(concat_ws(':', test, subtest), 'red/gear.html:s')"""
 
-ORACLE["snapshot_roundtrip"] = ORACLE["pivot_by_run"]
+ORACLE["snapshot_roundtrip"] = ENCODED + """
+SELECT m.run_idx, m.test_id, ri.run_id, r.browser_name, t.test, t.subtest, m.status, m.sub_status
+FROM matrix m JOIN run_index ri ON m.run_idx = ri.id JOIN runs r ON ri.run_id = r.run_id JOIN tests t ON m.test_id = t.id"""
 ORACLE["stream_consolidate"] = ORACLE["consolidate_reports"]
 
-ORACLE["apply_rewrite"] = "SELECT run_id, labels, time_start FROM (" + ORACLE["apply_rules_chain"] + ") z"
+ORACLE["apply_rewrite"] = RUNS_REVS + f"""
+SELECT r.run_id, r.browser_name, r.browser_version, r.os_name, r.os_version, r.revision, r.full_revision_hash, r.raw_results_url,
+  CAST(r.created_at AS VARCHAR) AS created_at, z.time_start, CAST(r.time_end AS VARCHAR) AS time_end, z.labels
+FROM runs r JOIN (""" + ORACLE["apply_rules_chain"] + """) z ON r.run_id = z.run_id"""
+ORACLE["stream_late_arrivals"] = CONSOLIDATED + """
+SELECT r.run_id, coalesce(c.report_url, r.raw_results_url) AS raw_results_url,
+       coalesce(c.full_revision_hash, r.full_revision_hash) AS full_revision_hash
+FROM runs r LEFT JOIN consolidated c ON r.run_id = c.run_id AND c.n_results > 0"""
 
 
 # ---- the matrix loader over exploded reports ------------------------------------------

@@ -12,6 +12,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runledger.functions import predicates as P
 from runledger.operators import cells as C
@@ -27,7 +28,7 @@ from runledger.sources import materialize as M
 from runledger.sources import reports_io as RIO
 from runledger.sources import snapshot as SN
 from runledger.sources import text_lines as TL
-from runledger.sources import versioned as V
+from runledger.sources import rewritten as RW
 from runledger.streaming import consolidate as STREAM
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,7 +162,7 @@ def filter_runs_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _revision_lines_path(spark: SparkSession, sf_dir: str) -> str:
     """The mainline commit list as a text file, one sha per line."""
     return M.materialize(spark, sf_dir, "revision_lines",
-                         lambda: X.revisions(spark, sf_dir).select("sha").coalesce(1), fmt="text")
+                         lambda: X.revisions(spark, sf_dir).select("sha"), fmt="text")
 
 
 @query("revision_keys")
@@ -262,7 +263,8 @@ def shards_path(spark: SparkSession, sf_dir: str) -> str:
     def build():
         r = RP.results_from_cells(X.cells(spark, sf_dir)).withColumn(
             "run_bucket", RP.run_bucket("run_id", SHARD_BUCKETS))
-        return r.repartition("run_bucket")
+        # by ranges, so that the number of writing tasks follows the data, not the buckets
+        return r.repartitionByRange("run_bucket", "run_id")
     return M.materialize(spark, sf_dir, "shards", build, fmt="json", partition_by=["run_bucket"])
 
 
@@ -279,8 +281,7 @@ def wide_path(spark: SparkSession, sf_dir: str) -> str:
         cells = C.wide_cells(load_reports(spark, sf_dir), X.runs(spark, sf_dir),
                              load_ts=F.lit(WIDE_LOAD_TS).cast("timestamp"))
         merged = C.merge_wide(cells)
-        n = max(1, spark.sparkContext.defaultParallelism)
-        return merged.repartitionByRange(n, "row_key", "qualifier").sortWithinPartitions("row_key", "qualifier")
+        return merged.repartitionByRange("row_key", "qualifier").sortWithinPartitions("row_key", "qualifier")
     return M.materialize(spark, sf_dir, "wide_cells", build)
 
 
@@ -344,7 +345,7 @@ def stored_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.encode_cells(X.cells(spark, sf_dir), stored_tests(spark, sf_dir),
-                          stored_run_index(spark, sf_dir))
+                          stored_run_index(spark, sf_dir), KNOWN_STATUSES)
 
 
 @query("encode_cells")
@@ -352,11 +353,14 @@ def encode_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _encoded(spark, sf_dir).select("run_idx", "test_id", "status", "sub_status", "pos")
 
 
+# The status words of the proxy deployment.
+KNOWN_STATUSES = ("OK", "PASS", "FAIL", "ERROR", "TIMEOUT", "NOTRUN", "CRASH", "ASSERT", "SKIP", "PRECONDITION_FAILED")
+
 _PIVOT_READ = "{by} BIGINT, chunk BIGINT, entries MAP<STRING, STRUCT<status: STRING, sub_status: STRING>>"
 
 
 def _pivot_roundtrip(spark: SparkSession, sf_dir: str, by: str, other: str) -> DataFrame:
-    lw = C.last_write_codes(_encoded(spark, sf_dir), ("run_idx", "test_id"))
+    lw = C.last_write(_encoded(spark, sf_dir), ("run_idx", "test_id"))
     path = C.write_pivot(C.pivot(lw, by, other), by, fresh_dir(spark, f"pivot_{by}"))
     back = spark.read.schema(_PIVOT_READ.format(by=by)).json(path)
     back = back.withColumn("entries", F.transform_keys("entries", lambda k, v: k.cast("bigint")))
@@ -376,14 +380,14 @@ def pivot_by_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("report_dictionary")
 def report_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3 as the matrix loader builds it: from exploded reports."""
-    tests, _ = C.load_matrix(load_reports(spark, sf_dir), stored_run_index(spark, sf_dir))
+    tests, _ = C.load_matrix(load_reports(spark, sf_dir), stored_run_index(spark, sf_dir), KNOWN_STATUSES)
     return tests
 
 
 @query("report_matrix")
 def report_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports -> dictionary -> encoded cells, last write wins (the loader)."""
-    _, cells = C.load_matrix(load_reports(spark, sf_dir), stored_run_index(spark, sf_dir))
+    _, cells = C.load_matrix(load_reports(spark, sf_dir), stored_run_index(spark, sf_dir), KNOWN_STATUSES)
     return cells
 
 
@@ -449,9 +453,38 @@ def write_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = X.runs(spark, sf_dir)
     new_reports, _, _ = RP.migrate_reports(runs, load_reports(spark, sf_dir), X.objects(spark, sf_dir))
     path = RIO.write_reports(new_reports, fresh_dir(spark, "reports_gz"), "gzip")
-    good, _ = RIO.read_reports(spark, path)
-    good = good.withColumn("browser_name", F.col("run_info.browser_name"))
-    return RP.report_sizes(good, by=("browser_name",)).select("run_id", "browser_name", "n_results")
+    return _report_cells(spark, path)
+
+
+def _report_cells(spark: SparkSession, path: str) -> DataFrame:
+    """Every cell of the reports at ``path``, with the report's location."""
+    located = T.StructType([*RIO.REPORT.fields, T.StructField("location", T.StringType())])
+    good, bad = RIO.read_reports(spark, path, located)
+    if not bad.isEmpty():
+        raise ValueError(f"{path} holds documents that don't parse")
+    doc = F.struct("run_id", F.col("run_info.browser_name").alias("browser_name"), "location")
+    return C.explode_matrix(good.withColumn("doc", doc), "doc").select("doc.*", "test", "subtest", "status", "sub_status")
+
+
+@query("write_reports_plain")
+def write_reports_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: the same reports as plain JSON."""
+    new_reports, _, _ = RP.migrate_reports(X.runs(spark, sf_dir), load_reports(spark, sf_dir), X.objects(spark, sf_dir))
+    return _report_cells(spark, RIO.write_reports(new_reports, fresh_dir(spark, "reports_json")))
+
+
+@query("migrated_runs")
+def migrated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run table after the migration: the new locations."""
+    _, moved, _ = RP.migrate_reports(X.runs(spark, sf_dir), load_reports(spark, sf_dir), X.objects(spark, sf_dir))
+    return moved.select("run_id", "raw_results_url")
+
+
+@query("not_selected")
+def not_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs that a rule leaves out."""
+    new, _ = R.rewrite(X.runs(spark, sf_dir), R.channel_rule())
+    return R.not_selected(new).select("run_id", "browser_name")
 
 
 @query("gzip_lines")
@@ -464,17 +497,16 @@ def gzip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CONSOLIDATED_READ = (
     "run_id BIGINT, part BIGINT, report_url STRING, run_info STRUCT<browser_name: STRING, "
     "full_revision_hash: STRING>, results ARRAY<STRUCT<test: STRING, status: STRING, "
-    "subtests: ARRAY<STRUCT<name: STRING, status: STRING>>>>")
-_SHARD_READ = ("run_bucket INT, run_id BIGINT, test STRING, status STRING, first_pos BIGINT, "
+    "subtests: ARRAY<STRUCT<name: STRING, status: STRING>>, first_pos: BIGINT, sub_base: BIGINT>>")
+_SHARD_READ = ("run_bucket INT, run_id BIGINT, test STRING, status STRING, first_pos BIGINT, sub_base BIGINT, "
                "subtests ARRAY<STRUCT<name: STRING, status: STRING>>")
 
 
-def consolidation_summary(reports: DataFrame) -> DataFrame:
-    """Per consolidated run (summed over report parts)."""
-    r = reports.select("run_id", "report_url", "results",
-                       F.col("run_info.full_revision_hash").alias("full_revision_hash"),
-                       F.col("run_info.browser_name").alias("browser_name"))
-    return RP.report_sizes(r, by=("report_url", "full_revision_hash", "browser_name"))
+def consolidation_cells(reports: DataFrame) -> DataFrame:
+    """Every cell of consolidated reports, with location, hash and browser."""
+    doc = F.struct("run_id", "report_url", F.col("run_info.full_revision_hash").alias("full_revision_hash"),
+                   F.col("run_info.browser_name").alias("browser_name"))
+    return C.explode_matrix(reports.withColumn("doc", doc), "doc").select("doc.*", "test", "subtest", "status", "sub_status")
 
 
 @query("consolidate_reports")
@@ -484,7 +516,7 @@ def consolidate_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
                          shard_buckets=SHARD_BUCKETS)
     path = RIO.write_reports(out, fresh_dir(spark, "consolidated"), "gzip")
     back = spark.read.schema(_CONSOLIDATED_READ).json(path)
-    return consolidation_summary(back)
+    return consolidation_cells(back)
 
 
 # ---- §2.11 / P12-P16, L3, A9: prefix, range and path queries ---------------------
@@ -538,26 +570,29 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write runs/tests/by-run maps, load them back, transpose on load
     and return the by-test matrix as long cells."""
     tests, run_index = stored_tests(spark, sf_dir), stored_run_index(spark, sf_dir)
-    lw = C.last_write_codes(C.encode_cells(X.cells(spark, sf_dir), tests, run_index), ("run_idx", "test_id"))
+    lw = C.last_write(C.encode_cells(X.cells(spark, sf_dir), tests, run_index, KNOWN_STATUSES), ("run_idx", "test_id"))
     path = SN.write_snapshot(run_index.select("id", "run_id", "browser_name", "created_at"), tests,
                              C.pivot(lw, "run_idx", "test_id"), fresh_dir(spark, "snapshot"))
     snap = SN.load_snapshot(spark, path, _SNAP_RUNS)
-    return C.unpivot(snap.by_test(), "test_id", "run_idx").select(
-        "run_idx", "test_id", "status", "sub_status")
+    cells = C.unpivot(snap.by_test(), "test_id", "run_idx")
+    runs = snap.runs.select(F.col("id").alias("run_idx"), "run_id", "browser_name")
+    tests = snap.tests.select(F.col("id").alias("test_id"), "test", "subtest")
+    return cells.join(runs, "run_idx").join(tests, "test_id").select(
+        "run_idx", "test_id", "run_id", "browser_name", "test", "subtest", "status", "sub_status")
 
 
 @query("apply_rewrite")
 def apply_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1: commit the run table, rewrite it with the rule chain, commit the
-    result as the next version, read the current version back."""
-    table = V.VersionedTable(spark, fresh_dir(spark, "runs_versions"))
-    table.commit(X.runs(spark, sf_dir))
-    runs = REV.flag_mainline(table.read(), _mainline_keys(spark, sf_dir))
+    """K1: rewrite the run table with the rule chain into a new folder and
+    read it back."""
+    runs = REV.flag_mainline(X.runs(spark, sf_dir), _mainline_keys(spark, sf_dir))
     chain = [R.experimental_rule(), R.stable_rule(), R.channel_rule(), R.browser_name_rule(),
              R.mainline_rule(F.col("in_mainline")), R.time_start_rule()]
     new, _ = R.rewrite(runs, chain)
-    table.commit(new.drop("selected", "changed", "in_mainline"))
-    return table.read().select("run_id", _labels_text(), _ts_text("time_start"))
+    back = RW.write_table(new.drop("selected", "changed", "in_mainline"), fresh_dir(spark, "runs_rewritten"))
+    return back.select("run_id", "browser_name", "browser_version", "os_name", "os_version", "revision",
+                       "full_revision_hash", "raw_results_url", _ts_text("created_at"), _ts_text("time_start"),
+                       _ts_text("time_end"), _labels_text())
 
 
 def _runs_stream_source(spark: SparkSession, sf_dir: str) -> str:
@@ -566,14 +601,32 @@ def _runs_stream_source(spark: SparkSession, sf_dir: str) -> str:
                          lambda: X.runs(spark, sf_dir).repartition(4, "run_id"))
 
 
+def _consolidation(spark: SparkSession, sf_dir: str, revisions, shards) -> STREAM.Consolidation:
+    return STREAM.Consolidation(spark, X.runs(spark, sf_dir).schema, revisions, shards,
+                                fresh_dir(spark, "stream_out"), fresh_dir(spark, "stream_state"), SHARD_BUCKETS)
+
+
+def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(_SHARD_READ).json(shards_path(spark, sf_dir))
+
+
 @query("stream_consolidate")
 def stream_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = _runs_stream_source(spark, sf_dir)
-    shards = spark.read.schema(_SHARD_READ).json(shards_path(spark, sf_dir))
-    out = fresh_dir(spark, "stream_out")
-    q = STREAM.consolidate_stream(spark, src, X.runs(spark, sf_dir).schema, shards,
-                                  X.revisions(spark, sf_dir), out, fresh_dir(spark, "stream_ckpt"),
-                                  max_files_per_trigger=2, shard_buckets=SHARD_BUCKETS)
-    q.awaitTermination()
-    back = spark.read.schema(_CONSOLIDATED_READ).json(out)
-    return consolidation_summary(back)
+    c = _consolidation(spark, sf_dir, lambda: X.revisions(spark, sf_dir), lambda: _shards(spark, sf_dir))
+    c.start(_runs_stream_source(spark, sf_dir), fresh_dir(spark, "stream_ckpt"), max_files_per_trigger=2).awaitTermination()
+    return consolidation_cells(spark.read.schema(_CONSOLIDATED_READ).json(c.out))
+
+
+@query("stream_late_arrivals")
+def stream_late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 over inputs that arrive late: runs first, with half the revisions and
+    half the shards; then all revisions; then all shards.  Returns the run table
+    after its update."""
+    late = {"revisions": F.col("sha") < "8", "shards": F.col("run_id") % 2 == 0}
+    c = _consolidation(spark, sf_dir, lambda: X.revisions(spark, sf_dir).where(late["revisions"]),
+                       lambda: _shards(spark, sf_dir).where(late["shards"]))
+    c.start(_runs_stream_source(spark, sf_dir), fresh_dir(spark, "stream_ckpt"), max_files_per_trigger=100).awaitTermination()
+    for arrived in ("revisions", "shards"):
+        late[arrived] = F.lit(True)
+        c.retry_pending()
+    return c.updated_runs(X.runs(spark, sf_dir)).select("run_id", "raw_results_url", "full_revision_hash")

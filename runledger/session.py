@@ -3,12 +3,16 @@
 Derived tables (reports, wide cells, snapshots, versioned run tables) are
 written under the folder named by ``spark.checkpoint.dir``: on a cluster this
 is shared storage the cluster configures, so written tables and checkpoints
-survive the loss of any executor.  Only when the setting is absent (local
-tests) do we pick a folder of our own.
+survive the loss of any executor.  Only when the setting is absent on a
+``local`` master (tests) do we pick a folder of our own; any other master
+without the setting is refused, as a machine's own folder is not shared.
+Tables go below the folder as it is named, not below the folder that Spark
+adds for each application, so a restarted application finds them.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -50,25 +54,30 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a local one only if unset."""
+    """Return the cluster's checkpoint folder as it is named; set a local one only if unset."""
     current = spark.conf.get(_CKPT_KEY, None)
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if jdir.isDefined():
-        path = jdir.get()
-        if not current:
-            spark.conf.set(_CKPT_KEY, path)
-        return path
+    if not current and jdir.isDefined():
+        # set by setCheckpointDir, which adds a folder per application
+        current = jdir.get().rsplit("/", 1)[0]
+        spark.conf.set(_CKPT_KEY, current)
     if not current:
-        # Unset: we are in a test or a local run, so a private folder is fine.
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all of {master} shares")
         current = tempfile.mkdtemp(prefix="runledger-ckpt-")
         spark.conf.set(_CKPT_KEY, current)
-    spark.sparkContext.setCheckpointDir(current)
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    if not jdir.isDefined():
+        spark.sparkContext.setCheckpointDir(current)
+    return current
 
 
 def scratch_dir(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (not created)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    if "://" not in base and not base.startswith("file:"):
+        base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base).getFileSystem(
+            spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)).toString()
     return "/".join([base, "runledger", *parts])
 
 

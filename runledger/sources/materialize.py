@@ -1,7 +1,10 @@
 """Derived tables written once under the shared scratch folder.
 
 A derived table (stored proxy tables, reports JSON, shards, wide cells,
-dictionaries) lives under ``<spark.checkpoint.dir>/runledger/tables/<source-id>/<name>``:
+dictionaries) lives under ``<spark.checkpoint.dir>/runledger/tables/<source-id>/<name>``.
+The source id covers the qualified source path, the names, sizes and times of
+its files and the version of the derivations, so a source that has changed, or
+a changed derivation, is derived anew:
 
 * each build writes a fresh ``data-<id>`` folder (never overwriting anything
   a reader may hold open);
@@ -18,7 +21,6 @@ leave one at the root.)
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 from typing import Callable
 
@@ -29,9 +31,25 @@ from runledger.session import scratch_dir
 MARKER = "_CURRENT"
 
 
+#: Raise when a derivation changes what it writes.
+BUILD_VERSION = 2
+
+
+def source_id(spark: SparkSession, source: str) -> str:
+    """Hash of a source folder's qualified path, its files' names, sizes and times, and BUILD_VERSION."""
+    p, fs = _fs(spark, source)
+    p = fs.makeQualified(p)
+    parts = [p.toString(), str(BUILD_VERSION)]
+    files = fs.listFiles(p, True) if fs.exists(p) else None
+    listed = []
+    while files is not None and files.hasNext():
+        f = files.next()
+        listed.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha1("\n".join([*parts, *sorted(listed)]).encode()).hexdigest()[:16]
+
+
 def table_path(spark: SparkSession, source: str, name: str) -> str:
-    sid = hashlib.sha1(os.path.abspath(source).encode()).hexdigest()[:12]
-    return scratch_dir(spark, "tables", sid, name)
+    return scratch_dir(spark, "tables", source_id(spark, source), name)
 
 
 def _fs(spark: SparkSession, path: str):

@@ -19,6 +19,9 @@ RESULT = T.StructType([
     T.StructField("test", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("subtests", T.ArrayType(SUBTEST)),
+    # Written by our own reports: where the entry stands in the run's report.
+    T.StructField("first_pos", T.LongType()),
+    T.StructField("sub_base", T.LongType()),
 ])
 RUN_INFO = T.StructType([T.StructField(c, T.StringType()) for c in (
     "browser_name", "browser_version", "os_name", "os_version", "revision", "full_revision_hash")])

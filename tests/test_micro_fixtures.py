@@ -5,6 +5,7 @@ import gzip
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import CELLS_SCHEMA, T0, run, runs_df
@@ -272,8 +273,8 @@ def test_report_parts_bound_rows(spark):
     assert parts == {0: ["/t1.html"], 1: ["/t2.html", "/t3.html"], 2: ["/t4.html", "/t5.html"]}
     sizes = RP.report_sizes(reps).first()
     assert (sizes.n_results, sizes.n_subtests) == (5, 1)
-    order = [(r.part, r.result_pos, r.test) for r in
-             C.explode_matrix(reps).where("subtest IS NULL").orderBy("part", "result_pos").collect()]
+    order = [(r.part, r.entry, r.test) for r in
+             C.explode_matrix(reps).where("subtest IS NULL").orderBy("part", "entry").collect()]
     assert [t for _, _, t in order] == ["/t1.html", "/t2.html", "/t3.html", "/t4.html", "/t5.html"]
 
 
@@ -314,16 +315,27 @@ def test_subtest_cuts_keep_cells(spark):
     whole = RP.assemble_reports(RP.results_from_cells(cells), runs)
     cut = RP.assemble_reports(RP.results_from_cells(cells, part_size=2), runs)
     assert [len(r.results) for r in whole.collect()] == [1]
-    # pos 1 (the base row) | 2-3 | 4-5 | 6: four cuts, none over two subtests.
-    assert sorted(len(x.subtests) for r in cut.collect() for x in r.results) == [0, 1, 2, 2]
+    # pos 1 (the base row, dropped: the test has subtests) | 2-3 | 4-5 | 6: three entries, none over two subtests.
+    assert sorted(len(x.subtests) for r in cut.collect() for x in r.results) == [1, 2, 2]
     # Every entry carries the parent status (status at the highest position).
     assert {x.status for r in cut.collect() for x in r.results} == {"ERROR"}
 
-    def lw(reps):
-        return {(c.test, c.subtest, c.status, c.sub_status) for c in
-                C.last_write(C.explode_matrix(reps).withColumn(
-                    "pos", F.col("result_pos") * 1000 + F.coalesce(F.col("sub_pos") + 1, F.lit(0)))).collect()}
-    assert lw(whole) == lw(cut)
+
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_cuts_change_nothing(spark, size):
+    """Wide cells, matrix, dictionary and sizes are the same for any part size; parts from 128 on load."""
+    rows = [(1, f"/t{i % 4}.html", None if i % 3 == 0 else f"s{i}", "OK" if i % 5 else "ERROR", None if i % 3 == 0 else "PASS", i) for i in range(0, 400)]
+    rows += [(1, "/plain.html", None, "OK", None, 1000), (1, "/plain.html", None, "FAIL", None, 1005)]
+    cells = spark.createDataFrame(rows, CELLS_SCHEMA)
+    runs = runs_df(spark, [run(1)])
+    index = C.run_dictionary(runs.select("run_id", "created_at"))
+
+    def out(n):
+        reps = RP.assemble_reports(RP.results_from_cells(cells, part_size=n), runs, part_size=n)
+        tests, matrix = C.load_matrix(reps, index)
+        wide = C.explode_wide(reps).select("run_id", "qualifier", "value", "sub_pos")
+        return [sorted(map(tuple, df.collect()), key=str) for df in (wide, tests, matrix, RP.report_sizes(reps))]
+    assert out(size) == out(100_000)
 
 
 def test_rewrite_twice_replaces_flags(spark):
@@ -334,19 +346,32 @@ def test_rewrite_twice_replaces_flags(spark):
     assert twice.columns.count("selected") == 1 and not r.selected and not r.changed
 
 
-def test_loader_packed_order_matches_struct_order(spark):
-    rows = [(1, f"/t{i % 3}.html", None if i % 2 else f"s{i}", "OK" if i % 4 else "ERROR",
-             None if i % 2 else ("PASS" if i % 3 else "FAIL"), i) for i in range(1, 13)]
-    cells = spark.createDataFrame(rows, CELLS_SCHEMA)
-    runs = runs_df(spark, [run(1)])
-    reps = RP.assemble_reports(RP.results_from_cells(cells, part_size=2), runs, part_size=3)
-    assert reps.count() > 1  # several report parts
-    run_index = C.run_dictionary(runs.select("run_id", "created_at"))
-    tests, packed = C.load_matrix(reps, run_index)
-    m = C.explode_matrix(reps)
-    t = tests.select(F.col("id").alias("test_id"), F.col("test").alias("__t"), F.col("subtest").alias("__s"))
-    enc = (m.join(t, (m["test"] == t["__t"]) & m["subtest"].eqNullSafe(t["__s"]))
-           .withColumn("run_idx", F.lit(0).cast("bigint")))
-    order = F.struct("part", "result_pos", F.coalesce(F.col("sub_pos"), F.lit(-1)))
-    plain = C.last_write(enc, ("run_idx", "test_id"), order)
-    assert {tuple(r) for r in packed.collect()} == {tuple(r) for r in plain.collect()}
+def test_filter_limit_takes_missing_times_first(spark):
+    runs = runs_df(spark, [run(1), run(2, created_at=None)])
+    assert [r.run_id for r in RF.filter_runs(runs, {"limit": "1"}).collect()] == [2]
+    ids = {r.run_id: r.id for r in C.run_dictionary(runs.select("run_id", "created_at")).collect()}
+    assert ids[2] == 0
+
+
+def test_whole_string_matches(spark):
+    from runledger.functions import predicates as P
+    from runledger.operators import search as S
+    df = spark.createDataFrame([("12",), ("12\n",)], "s string").select(P.parse_int("s").alias("n"))
+    assert [r.n for r in df.collect()] == [12, None]
+    wide = spark.createDataFrame([("k", "tests", "/a", "OK"), ("k", "tests", "/a\n", "OK")], "row_key string, family string, qualifier string, value string")
+    assert [r.qualifier for r in S.regex_scan(wide, "k", "tests", "/a", None).collect()] == ["/a"]
+
+
+def test_statuses_are_kept_unless_told(spark):
+    df = spark.createDataFrame([(" ok ",), ("flaky",), (None,)], "s string")
+    assert [r[0] for r in df.select(C.normalize_status("s")).collect()] == ["OK", "FLAKY", None]
+    assert [r[0] for r in df.select(C.normalize_status("s", ["OK"])).collect()] == ["OK", "UNKNOWN", None]
+
+
+def test_long_hashes_resolve(spark):
+    from runledger.operators import revisions as REV
+    sha = "ab" * 32
+    revs = spark.createDataFrame([(sha,), ("abc0" * 10,)], "sha string")
+    runs = runs_df(spark, [run(1, revision=sha), run(2, revision=sha[:12]), run(3, revision="ab"), run(4, revision="abc0a")])
+    got = {r.run_id: r.resolved_hash for r in REV.resolve(runs, revs, how="left").collect()}
+    assert got == {1: sha, 2: sha, 3: None, 4: "abc0" * 10}

@@ -82,15 +82,24 @@ def test_url_predicates_push_down(spark):
     assert "StringEndsWith(raw_results_url,report.json)" in p
 
 
-def test_broadcast_probe_bounds(spark):
-    from runledger.operators import sizing as SZ
-    df = spark.createDataFrame([("x" * 100, 1), ("y" * 50, 2)], "s string, n bigint")
-    assert SZ.probe_size(df, 10) == (2, 100 + 8 + 50 + 8)
-    assert "BroadcastHashJoin" in plan(df.join(SZ.broadcast_if_small(df.select("n")), "n"))
-    big = SZ.broadcast_if_small(df, max_rows=1)
-    small_bytes = SZ.broadcast_if_small(df, max_bytes=100)
-    for d in (big, small_bytes):
-        assert "ResolvedHint" not in d._jdf.queryExecution().analyzed().toString()
+def test_no_single_task_before_joins(spark):
+    """Joins carry no probe: no job while a plan is built, no single-partition exchange."""
+    from runledger.operators import cells as C
+    from runledger.operators import revisions as REV
+    runs, revs = X.runs(spark, SF_SMALL), X.revisions(spark, SF_SMALL)
+    ri = runs.select("run_id", F.col("run_id").alias("id"))
+    tests = X.cells(spark, SF_SMALL).select("test", "subtest").distinct().withColumn("id", F.xxhash64("test"))
+    for df in (REV.resolve(runs, revs), REV.flag_mainline(runs, REV.revision_keys(revs, "sha")),
+               C.encode_cells(X.cells(spark, SF_SMALL), tests, ri)):
+        assert "SinglePartition" not in plan(df)
+
+
+def test_pivot_shuffles_once(spark):
+    from runledger.operators import cells as C
+    cells = spark.range(100).select(F.col("id").alias("run_idx"), (F.col("id") % 7).alias("test_id"), F.lit("OK").alias("status"),
+                                    F.lit("OK").alias("sub_status"))
+    p = C.pivot(cells, "run_idx", "test_id").sortWithinPartitions("run_idx", "chunk")
+    assert plan(p).count("Exchange") == 1
 
 
 def test_hot_url_dedup(spark):
@@ -117,15 +126,10 @@ def test_hot_test_pivot_chunks(spark):
     assert back.count() == 2500 and back.select("run_idx").distinct().count() == 2500
 
 
-def test_packed_last_write_equals_struct_form(spark):
+def test_first_seen_key_holds_large_ids(spark):
+    """Run ids from 2^31 and positions from 2^32 keep their order, in a hash aggregate."""
     from runledger.operators import cells as C
-    enc = spark.createDataFrame(
-        [(0, 1, "OK", None, 1), (0, 1, "ERROR", "FAIL", 5), (0, 2, "UNKNOWN", None, 2),
-         (1, 1, "PASS", "PASS", 9), (1, 1, "TIMEOUT", None, 3)],
-        "run_idx bigint, test_id bigint, status string, sub_status string, pos bigint")
-    keys = ("run_idx", "test_id")
-    a = {tuple(r) for r in C.last_write(enc, keys, "pos").collect()}
-    b = {tuple(r) for r in C.last_write_codes(enc, keys).collect()}
-    assert a == b == {(0, 1, "ERROR", "FAIL"), (0, 2, "UNKNOWN", None), (1, 1, "PASS", "PASS")}
-    p = plan(C.last_write_codes(enc, keys))
-    assert "HashAggregate" in p and "SortAggregate" not in p
+    rows = [(1, 5), (2 ** 31, 1), (2 ** 40, 2 ** 35), (2 ** 40, 2 ** 35 + 1), (2 ** 62, 0)]
+    df = spark.createDataFrame(rows, "r bigint, p bigint").select("r", "p", C.first_seen_key(F.col("r"), F.col("p")).alias("k"))
+    assert [(x.r, x.p) for x in df.orderBy("k").collect()] == rows
+    assert "SortAggregate" not in plan(df.groupBy("r").agg(F.min("k")))

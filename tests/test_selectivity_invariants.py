@@ -52,7 +52,7 @@ def test_experimental_and_stable_partition_known_browsers(runs):
 
 def test_dedup_counts(runs):
     kept, deleted = D.dedup(runs)
-    assert deleted.count() == 3189
+    assert deleted.count() == 1514
     assert kept.count() + deleted.count() == runs.count()
     assert kept.where(~P.is_missing_str("raw_results_url")).select("raw_results_url").distinct().count() == 10447
 
@@ -62,7 +62,7 @@ def test_url_rewrite_counts(spark, runs):
     changed = runs.where(RP.in_bucket_report()).where(
         RP.report_path() != RP.new_report_path(RP.report_path())).count()
     assert changed == 11220
-    assert X.objects(spark, SF_MID).count() == 5267
+    assert X.objects(spark, SF_MID).count() == 5789
 
 
 def test_cell_counts(spark, runs, cells):

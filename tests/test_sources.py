@@ -1,6 +1,4 @@
-"""Versioned commits, refresh, object listings, text sinks."""
-
-import os
+"""Rewrites, refresh, object listings, text sinks."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,33 +7,55 @@ from helpers import run, runs_df
 from runledger.operators import reports as RP
 from runledger.session import fresh_dir
 from runledger.sources import listing as L
-from runledger.sources import versioned as V
-
-
-def test_versioned_commit_and_refresh(spark):
-    t = V.VersionedTable(spark, fresh_dir(spark, "vt"))
-    with pytest.raises(FileNotFoundError):
-        t.read()
-    h = V.Refreshing(t)
-    assert not h.refresh()
-    assert t.commit(runs_df(spark, [run(1), run(2)])) == 1
-    assert h.refresh() and h.version == 1 and h.df.count() == 2
-    # The next version may read the current one; nothing is overwritten.
-    assert t.commit(t.read().where(F.col("run_id") == 1)) == 2
-    assert t.read().count() == 1 and t.read(1).count() == 2
-    assert h.refresh() and h.df.count() == 1
-    assert not h.refresh()
-
-
-def test_incomplete_version_is_invisible(spark):
-    root = fresh_dir(spark, "vt_partial")
-    t = V.VersionedTable(spark, root)
-    t.commit(runs_df(spark, [run(1)]))
-    local = root[len("file:"):] if root.startswith("file:") else root
-    os.makedirs(os.path.join(local, "v00000002"))  # a crashed writer: no _SUCCESS
-    assert t.current() == 1
-    assert t.commit(runs_df(spark, [run(5)])) == 3
-    assert t.current() == 3
+from runledger.sources import materialize as M
+from runledger.sources import rewritten as RW
+
+
+def test_rewrite_and_refresh(spark):
+    path = fresh_dir(spark, "rw")
+    assert RW.write_table(runs_df(spark, [run(1), run(2)]), path).count() == 2
+    h = RW.Refreshing(spark, path)
+    assert h.refresh() and h.df.count() == 2 and not h.refresh()
+    # a second writer of the same path is refused, and the table stays
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        RW.write_table(runs_df(spark, [run(3)]), path)
+    assert spark.read.parquet(path).count() == 2
+    runs_df(spark, [run(4)]).write.mode("append").parquet(path)
+    assert h.refresh() and h.df.count() == 3
+
+
+def test_derived_tables_follow_their_source(spark, tmp_path):
+    src = str(tmp_path / "src")
+    runs_df(spark, [run(1)]).write.parquet(src)
+    copy = lambda: spark.read.parquet(M.materialize(spark, src, "copy", lambda: spark.read.parquet(src)))
+    assert copy().count() == 1
+    path = M.table_path(spark, src, "copy")
+    runs_df(spark, [run(2)]).write.mode("append").parquet(src)
+    assert copy().count() == 2 and M.table_path(spark, src, "copy") != path
+    assert M.table_path(spark, "file:" + src, "copy") == M.table_path(spark, src, "copy")
+
+
+def test_shared_folder_is_stable_and_required(spark, monkeypatch):
+    from runledger import session
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert session.scratch_dir(spark, "x").endswith(base.removeprefix("file:") + "/runledger/x")
+
+    class Context:
+        master, _jsc = "spark://somewhere:7077", spark.sparkContext._jsc
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: None)
+        sparkContext = Context
+
+    class NoDir:
+        isDefined = staticmethod(lambda: False)
+
+    class Jsc:
+        sc = staticmethod(lambda: type("S", (), {"getCheckpointDir": staticmethod(lambda: NoDir)}))
+    Context._jsc = Jsc
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session)
 
 
 def test_binary_file_listing(spark, tmp_path):
