@@ -133,10 +133,10 @@ def cleanup_paths(rewritten: DataFrame) -> DataFrame:
 
 # ---- R8: stamp run info --------------------------------------------------------
 
-def stamp_run_info(reports: DataFrame, runs: DataFrame, key: str = "run_id") -> DataFrame:
+def stamp_run_info(reports: DataFrame, runs: DataFrame, key: str = "run_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """Replace the product fields of each report's ``run_info`` with its run's,
     and trim ``-experimental`` from the browser name."""
-    r = runs.select(key, *[F.col(c).alias(f"__run_{c}") for c in RUN_INFO_FIELDS])
+    r = runs.select(key, *keep, *[F.col(c).alias(f"__run_{c}") for c in RUN_INFO_FIELDS])
     j = reports.join(r, key)
     info = F.col("run_info")
     for c in RUN_INFO_FIELDS:
@@ -299,8 +299,8 @@ def migrate_reports(runs: DataFrame, reports: DataFrame, objects: DataFrame,
     run before anything is updated."""
     rw = rewrite_report_paths(runs, objects, url_base, bucket)
     rw = rw.join(reports.select("run_id"), "run_id", "left_semi")
-    new_reports = (stamp_run_info(reports.join(rw.select("run_id"), "run_id", "left_semi"), runs)
-                   .join(rw.select("run_id", F.col("new_url").alias("location")), "run_id"))
+    # the rewritten rows carry the run's fields, so one join stamps and places the reports
+    new_reports = stamp_run_info(reports, rw, keep=("new_url",)).withColumnRenamed("new_url", "location")
     moved = rw.select("run_id", F.col("new_url").alias("__new"))
     new_runs = (runs.join(moved, "run_id", "left")
                 .withColumn("raw_results_url", F.coalesce(F.col("__new"), F.col("raw_results_url")))

@@ -198,7 +198,8 @@ SELECT run_id,
   list_contains({LABELS0}, 'stable') AS f13_has_stable,
   CAST(len(list_append({LABELS0}, 'x')) AS BIGINT) AS f13_size,
   len(list_filter({LABELS0}, lambda x: contains(x, 'ure'))) > 0 AS f13_exists,
-  to_json(struct_pack(browser_name := browser_name, os_name := os_name)) AS f14_json
+  to_json(struct_pack(browser_name := browser_name, os_name := os_name)) AS f14_json,
+  labels[1] AS f14_first_label
 FROM runs"""
 
 
@@ -243,6 +244,14 @@ WIDE_SQL = RRC + "," + _SUB_ROWS + "," + _WIDE_ROWS + "," + _WIDE
 
 ORACLE["wide_cells"] = WIDE_SQL + "SELECT row_key, qualifier, value FROM wide"
 
+ORACLE["wide_upsert"] = RRC + "," + _SUB_ROWS + "," + _WIDE_ROWS + f"""
+SELECT row_key, qualifier, value FROM (
+  SELECT {_ROW_KEY} AS row_key, w.qualifier, CASE WHEN w.load = 2 THEN 'again ' || w.value ELSE w.value END AS value,
+         row_number() OVER (PARTITION BY {_ROW_KEY}, w.qualifier
+                            ORDER BY w.load DESC, r.created_at DESC, r.run_id DESC, w.result_pos DESC, w.sub_pos DESC) AS rn
+  FROM (SELECT *, 1 AS load FROM wide_rows UNION ALL SELECT *, 2 FROM wide_rows WHERE run_id % 3 = 0) w
+  JOIN runs r ON w.run_id = r.run_id) t WHERE rn = 1"""
+
 ORACLE["last_write_cells"] = with_ctes(CELLS_CTE) + """
 SELECT run_id, test, subtest, status, sub_status FROM (
   SELECT *, row_number() OVER (PARTITION BY run_id, test, subtest ORDER BY pos DESC) AS rn FROM cells) t
@@ -294,6 +303,16 @@ SELECT (SELECT count(*) FROM runs) AS n_runs,
 ORACLE["read_reports"] = RRC + """
 SELECT run_id, result_pos, test, status, CAST(n_subtests AS BIGINT) AS n_subtests FROM results_pos"""
 
+ORACLE["read_reports_by_location"] = RRC + """,
+holders AS (SELECT raw_results_url, min(run_id) AS holder FROM runs WHERE coalesce(raw_results_url, '') <> '' GROUP BY 1),
+sizes AS (SELECT run_id, count(*) AS n_results, sum(n_subtests) AS n_subtests FROM results GROUP BY 1)
+SELECT r.run_id, r.raw_results_url, CAST(s.n_results AS BIGINT) AS n_results, CAST(s.n_subtests AS BIGINT) AS n_subtests
+FROM runs r JOIN holders h ON r.raw_results_url = h.raw_results_url JOIN sizes s ON s.run_id = h.holder"""
+
+ORACLE["quarantined_reports"] = RRC + "SELECT DISTINCT run_id, run_id % 50 <> 0 AS read FROM results"
+
+ORACLE["list_objects"] = RUNS + "SELECT DISTINCT CAST(run_id % 50 AS BIGINT) AS folder FROM runs"
+
 ORACLE["runs_without_cells"] = RUNS_CELLS + """
 SELECT run_id, CAST(0 AS BIGINT) AS n_results FROM runs
 WHERE run_id NOT IN (SELECT run_id FROM cells)"""

@@ -24,6 +24,7 @@ from runledger.operators import run_filters as RF
 from runledger.operators import search as S
 from runledger.session import fresh_dir
 from runledger.sources import fixtures as X
+from runledger.sources import listing as LS
 from runledger.sources import materialize as M
 from runledger.sources import reports_io as RIO
 from runledger.sources import snapshot as SN
@@ -236,6 +237,7 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.array_append(P.labels_or_empty("labels"), F.lit("x"))).cast("bigint").alias("f13_size"),
         P.any_contains("labels", "ure").alias("f13_exists"),
         F.to_json(F.struct("browser_name", "os_name")).alias("f14_json"),
+        F.from_json(F.to_json(F.struct("labels")), "labels ARRAY<STRING>")["labels"][0].alias("f14_first_label"),
     )
 
 
@@ -269,8 +271,7 @@ def shards_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def load_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, _ = RIO.read_reports(spark, reports_path(spark, sf_dir))
-    return good
+    return RIO.read_own(spark, reports_path(spark, sf_dir)).where(F.size("results") > 0)
 
 
 def wide_path(spark: SparkSession, sf_dir: str) -> str:
@@ -407,6 +408,51 @@ def read_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.coalesce("r.subtests", F.array())).cast("bigint").alias("n_subtests"))
 
 
+@query("read_reports_by_location")
+def read_reports_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports stored with their location, found by the runs' URLs."""
+    runs = X.runs(spark, sf_dir)
+    first, _ = D.dedup(runs.where(~P.is_missing_str("raw_results_url")))
+    located = load_reports(spark, sf_dir).join(first.select("run_id", F.col("raw_results_url").alias("location")), "run_id")
+    path = RIO.write_reports(located, fresh_dir(spark, "reports_located"))
+    back = RIO.read_own(spark, path, T.StructType([*RIO.REPORT.fields, T.StructField("location", T.StringType())]))
+    j = RIO.join_by_location(runs, back)
+    return RP.report_sizes(j, by=("raw_results_url",))
+
+
+@query("quarantined_reports")
+def quarantined_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 50th document cut short; what was read and what was not."""
+    lines = spark.read.text(reports_path(spark, sf_dir)).withColumn("run_id", F.get_json_object("value", "$.run_id").cast("bigint"))
+    short = F.when(F.col("run_id") % 50 == 0, F.expr("substring(value, 1, length(value) - 2)")).otherwise(F.col("value"))
+    path = TL.write_lines(lines.select(short.alias("value")), fresh_dir(spark, "reports_damaged"))
+    good, bad = RIO.read_reports(spark, path)
+    return good.select("run_id", F.lit(True).alias("read")).unionByName(
+        bad.select(F.regexp_extract("raw", '"run_id":([0-9]+)', 1).cast("bigint").alias("run_id"), F.lit(False).alias("read")))
+
+
+@query("list_objects")
+def list_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files listed below a folder; the folders that hold any."""
+    root = fresh_dir(spark, "listed")
+    X.runs(spark, sf_dir).select("run_id", (F.col("run_id") % 50).alias("folder")).write.partitionBy("folder").json(root)
+    listed = LS.list_objects(spark, root, "*.json")
+    return listed.select(F.regexp_extract("path", "/folder=([0-9]+)/", 1).cast("bigint").alias("folder")).distinct()
+
+
+@query("wide_upsert")
+def wide_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: a first load of all reports, then a second load of every third
+    run's reports with other statuses, merged into the touched partitions."""
+    runs, reports = X.runs(spark, sf_dir), load_reports(spark, sf_dir)
+    path = fresh_dir(spark, "wide_upserted")
+    at = lambda t: F.lit(t).cast("timestamp")
+    C.upsert_wide_partitions(spark, path, C.wide_cells(reports, runs, load_ts=at(WIDE_LOAD_TS)))
+    later = C.wide_cells(reports.where(F.col("run_id") % 3 == 0), runs, load_ts=at("2020-02-01 00:00:00"))
+    C.upsert_wide_partitions(spark, path, later.withColumn("value", F.concat(F.lit("again "), "value")))
+    return spark.read.parquet(path).select("row_key", "qualifier", "value")
+
+
 @query("runs_without_cells")
 def runs_without_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = RIO.join_reports(X.runs(spark, sf_dir).select("run_id"), load_reports(spark, sf_dir), how="left")
@@ -459,9 +505,7 @@ def write_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _report_cells(spark: SparkSession, path: str) -> DataFrame:
     """Every cell of the reports at ``path``, with the report's location."""
     located = T.StructType([*RIO.REPORT.fields, T.StructField("location", T.StringType())])
-    good, bad = RIO.read_reports(spark, path, located)
-    if not bad.isEmpty():
-        raise ValueError(f"{path} holds documents that don't parse")
+    good = RIO.read_own(spark, path, located)
     doc = F.struct("run_id", F.col("run_info.browser_name").alias("browser_name"), "location")
     return C.explode_matrix(good.withColumn("doc", doc), "doc").select("doc.*", "test", "subtest", "status", "sub_status")
 
@@ -511,12 +555,10 @@ def consolidation_cells(reports: DataFrame) -> DataFrame:
 
 @query("consolidate_reports")
 def consolidate_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shards = spark.read.schema(_SHARD_READ).json(shards_path(spark, sf_dir))
-    out = RP.consolidate(shards, X.runs(spark, sf_dir), X.revisions(spark, sf_dir),
+    out = RP.consolidate(_shards(spark, sf_dir), X.runs(spark, sf_dir), X.revisions(spark, sf_dir),
                          shard_buckets=SHARD_BUCKETS)
     path = RIO.write_reports(out, fresh_dir(spark, "consolidated"), "gzip")
-    back = spark.read.schema(_CONSOLIDATED_READ).json(path)
-    return consolidation_cells(back)
+    return consolidation_cells(RIO.read_own(spark, path, _CONSOLIDATED_READ))
 
 
 # ---- §2.11 / P12-P16, L3, A9: prefix, range and path queries ---------------------
@@ -607,14 +649,14 @@ def _consolidation(spark: SparkSession, sf_dir: str, revisions, shards) -> STREA
 
 
 def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(_SHARD_READ).json(shards_path(spark, sf_dir))
+    return RIO.read_own(spark, shards_path(spark, sf_dir), _SHARD_READ)
 
 
 @query("stream_consolidate")
 def stream_consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _consolidation(spark, sf_dir, lambda: X.revisions(spark, sf_dir), lambda: _shards(spark, sf_dir))
     c.start(_runs_stream_source(spark, sf_dir), fresh_dir(spark, "stream_ckpt"), max_files_per_trigger=2).awaitTermination()
-    return consolidation_cells(spark.read.schema(_CONSOLIDATED_READ).json(c.out))
+    return consolidation_cells(RIO.read_own(spark, c.out, _CONSOLIDATED_READ))
 
 
 @query("stream_late_arrivals")

@@ -63,6 +63,26 @@ def read_reports(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     return good, bad
 
 
+def read_own(spark: SparkSession, path: str | list[str], schema: T.StructType | str = REPORT) -> DataFrame:
+    """Documents that this library wrote: one that doesn't parse fails the job
+    instead of getting lost."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+def join_by_location(runs: DataFrame, reports: DataFrame, how: str = "inner", url: str = "raw_results_url",
+                     location: str = "location") -> DataFrame:
+    """J5 by location: runs with the report stored at their results URL.
+
+    Both sides are compared without scheme, query and fragment, host in lower
+    case; a run without a URL matches nothing.  Several runs may share a URL."""
+    def place(c: str):
+        bare = F.regexp_replace(F.regexp_replace(F.col(c), r"[?#].*\z", ""), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
+        host = F.lower(F.substring_index(bare, "/", 1))
+        return F.when(F.col(c) != "", F.concat(host, F.regexp_replace(bare, "^[^/]*", "")))
+    rep = reports.select(place(location).alias("__at"), F.col("run_info").alias("report_run_info"), "part", "results")
+    return runs.withColumn("__at", place(url)).join(rep, "__at", how).drop("__at")
+
+
 def read_documents(spark: SparkSession, path: str | list[str], schema: T.StructType = REPORT
                    ) -> DataFrame:
     """One (possibly multi-line) JSON document per file, e.g. one report per
@@ -87,16 +107,19 @@ SHARD = T.StructType([
 
 
 def read_shard_files(spark: SparkSession, root: str, run_id_pattern: str = r"/([0-9]+)/[^/]+$",
-                     schema: T.StructType = SHARD) -> DataFrame:
+                     schema: T.StructType = SHARD) -> tuple[DataFrame, DataFrame]:
     """S5 input as one small JSON document per test result, in a folder per
-    run (``<root>/<run_id>/<anything>.json``): the run key comes from the
-    path.  Files are listed and parsed in parallel.  ``source_file`` is kept
-    so the caller can give each result its ``first_pos`` (e.g. file order)
-    before ``reports.assemble_reports``."""
-    docs = (spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
+    run (``<root>/<run_id>/<anything>.json``): ``(good, quarantine)``.  The run
+    key comes from the path.  Files are listed and parsed in parallel.
+    ``source_file`` is kept so the caller can give each result its ``first_pos``
+    (e.g. file order) before ``reports.assemble_reports``; a caller that must
+    not go on without a result checks that the quarantine is empty."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    docs = (spark.read.schema(full).option("multiLine", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
             .option("recursiveFileLookup", "true").json(root)
-            .withColumn("__f", F.input_file_name()))
-    return (docs.withColumn("run_id", F.regexp_extract("__f", run_id_pattern, 1).try_cast("bigint"))
-            .where(F.col("run_id").isNotNull() & F.col("test").isNotNull())
-            .select("run_id", "test", "status", "subtests",
-                    F.col("__f").alias("source_file")))
+            .withColumn("source_file", F.input_file_name()))
+    docs = docs.withColumn("run_id", F.regexp_extract("source_file", run_id_pattern, 1).try_cast("bigint"))
+    ok = F.col(CORRUPT).isNull() & F.col("run_id").isNotNull() & F.col("test").isNotNull()
+    return (docs.where(ok).select("run_id", "test", "status", "subtests", "source_file"),
+            docs.where(~ok).select("source_file", F.col(CORRUPT).alias("raw")))

@@ -81,9 +81,21 @@ def test_shard_files_consolidate(spark, tmp_path):
         d.mkdir()
         for i, t in enumerate(tests):
             (d / f"{i:03d}.json").write_text(json.dumps({"test": t, "status": "OK", "subtests": []}, indent=1))
-    shards = RIO.read_shard_files(spark, str(tmp_path))
+    (tmp_path / "8" / "bad.json").write_text("{not json")
+    shards, bad = RIO.read_shard_files(spark, str(tmp_path))
+    assert [r.source_file.rsplit("/", 1)[1] for r in bad.collect()] == ["bad.json"]
     w = Window.partitionBy("run_id").orderBy("source_file")
     shards = shards.withColumn("first_pos", F.row_number().over(w).cast("bigint"))
     got = {r.run_id: [x.test for x in r.results] for r in
            RP.assemble_reports(shards, runs_df(spark, [run(7), run(8)])).collect()}
     assert got == {7: ["/a.html", "/b.html"], 8: ["/c.html"]}
+
+
+def test_reports_by_location(spark):
+    from runledger.sources import reports_io as RIO
+    runs = runs_df(spark, [run(1, raw_results_url="https://Store.example/a/report.json?x=1"), run(2, raw_results_url=""), run(3, raw_results_url="https://store.example/B/report.json")])
+    info = ("chrome", "1", "linux", "", "r", "h")
+    reps = spark.createDataFrame([("http://store.example/a/report.json", 0, info, [("/t", "OK", [])]), ("", 0, info, [("/u", "OK", [])])],
+                                 "location string, part bigint, run_info struct<a:string,b:string,c:string,d:string,e:string,f:string>, results array<struct<test:string,status:string,subtests:array<string>>>")
+    assert [r.run_id for r in RIO.join_by_location(runs, reps).collect()] == [1]
+    assert sorted(r.run_id for r in RIO.join_by_location(runs, reps, "left").collect()) == [1, 2, 3]
