@@ -37,9 +37,11 @@ from pyspark.sql import functions as F
 from runledger.llm.common import small_batches, text_of
 from runledger.session import fresh_dir
 
-#: Entries of a worker's word cache, and the longest word it keeps.
-CACHE_WORDS = 300_000
+#: Entries of a worker's word cache (about 200 bytes each), and the longest word it keeps.
+CACHE_WORDS = 1_000_000
 CACHE_BYTES = 48
+#: ASCII punctuation that may end a word; without the apostrophe, which opens contractions, and what added tokens are made of.
+TAIL = b'!"#$%&()*+,-./:;=?@[\\]^_`{}~'
 READ_DOCS = 4096
 
 MANIFEST = "part long, n_docs long, n_null long, n_tokens long, width int"
@@ -65,29 +67,61 @@ def word_separable(tokenizer) -> bool:
 
 
 class WordCache:
-    """Encodes texts by their words, each distinct word once while it is cached."""
+    """Encodes texts by their words, each distinct word once while it is cached.
+
+    Probes of the tokenizer decide how far a word may be taken apart: lower-cased
+    first, cut before its final punctuation, and given to the model at once if
+    it is all letters.  A tokenizer that fails a probe takes the longer way.
+    """
 
     def __init__(self, tokenizer, dtype):
         self.tokenizer, self.dtype, self.known = tokenizer, dtype, {}
         self.by_word = word_separable(tokenizer)
+        one = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
+        model = lambda t: [x.id for x in tokenizer.model.tokenize(t)]
+        words = ["a", "the", "word", "thereof", "zq", "internationalisation"]
+        self.lower = self.by_word and all(one(w.upper()) == one(w) and one(w.upper() + "É1") == one(w + "É1") for w in words)
+        self.cuts = self.by_word and all(one(w + t) == one(w) + one(t) for w in [*words, "x1", "12", "é2"] for t in [".", ",", "!!", ")].", *map(chr, TAIL)])
+        self.letters = self.by_word and all(model(w) == one(w) for w in words)
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         out = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in out]
 
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        out, tokenize, rest = [b""] * len(words), self.tokenizer.model.tokenize, []
+        for i, w in enumerate(words):
+            if self.letters and w.isalpha() and w.islower():  # of bytes: ASCII letters only
+                out[i] = np.array([t.id for t in tokenize(w.decode())], self.dtype).tobytes()
+            else:
+                rest.append(i)
+        for i in range(0, len(rest), 2000):
+            for k, ids in zip(rest[i:i + 2000], self._encode([words[k] for k in rest[i:i + 2000]])):
+                out[k] = ids
+        return out
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._encode(texts)
         if len(self.known) > CACHE_WORDS:
             self.known = {}
-        known, split = self.known, [t.split() for t in texts]
-        new = list({w for words in split for w in words if w not in known})
-        for i in range(0, len(new), 2000):
-            known.update(zip(new[i:i + 2000], self._encode(new[i:i + 2000])))
+        known = self.known
+        split = [(t.lower() if self.lower and b"<|" not in t else t).split() for t in texts]
+        new = {w for words in split for w in words if w not in known}
+        parts = {}
+        if self.cuts:
+            for w in new:
+                core = w.rstrip(TAIL)
+                if core != w and core[-1:].isalnum():
+                    parts[w] = core, w[len(core):]
+        plain = {w for w in new if w not in parts} | {p for pair in parts.values() for p in pair if p not in known}
+        plain = list(plain)
+        known.update(zip(plain, self._words(plain)))
+        for w, (core, tail) in parts.items():
+            known[w] = known[core] + known[tail]
         out = [b"".join([known[w] for w in words]) for words in split]
-        for w in new:
-            if len(w) > CACHE_BYTES:
-                del known[w]
+        for w in [w for w in (*plain, *parts) if len(w) > CACHE_BYTES]:
+            del known[w]
         return out
 
 
