@@ -3,7 +3,8 @@
 Words become canonical tokens: numbers, names and units turn into typed
 placeholders (their values are the slots), all else is lower-cased and
 stripped of punctuation.  A name is a capitalised word; at the start of a
-sentence it may be an ordinary word, so texts are read both ways.  Windows of
+sentence it may be an ordinary word, and a copy may have lost its capitals, so
+texts are read with either and with no names.  Windows of
 WINDOW canonical tokens (an item with fewer: all its tokens) are joined by
 hash with those of the benchmark; a pair of windows must have the same tokens
 and the same pattern of equal slots, and over all windows of a document and
@@ -26,18 +27,19 @@ columns besides id and text are ignored.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runledger.llm.common import small_batches, stored, text_of
 
 WINDOW, LEAST, LITERALS, FILTER_BITS = 10, 5, 6, 24
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 PLAIN, NUMBER, TITLE, UNIT, NOTHING = range(5)
 
 #: Words that name units of measure and money, and words for numbers.
@@ -52,31 +54,39 @@ EDGE = re.compile(r"^[^\w$€£+-]+|[^\w%$€£]+$")
 
 
 class Words:
-    """Canonical hash, class and sentence end of each distinct word."""
+    """Canonical hash, class and sentence end of each distinct word, kept while there is room."""
 
     def __init__(self):
         self.place: dict[str, int] = {}
         self.core: list[str] = []
-        self.rows: list[tuple[int, int, bool]] = []
-        self.arrays = None
+        self.code = np.zeros(1024, np.uint64)
+        self.kind = np.zeros(1024, np.int8)
+        self.ends = np.zeros(1024, bool)
+
+    def _add(self, w: str) -> None:
+        letters = w.isalpha()
+        core = w if letters else EDGE.sub("", w)
+        low = core.lower()
+        data = low.encode("utf-8", "replace")
+        i = self.place[w] = len(self.core)
+        self.core.append(low)
+        if i == len(self.code):
+            self.code, self.kind, self.ends = (np.concatenate([a, np.zeros_like(a)]) for a in (self.code, self.kind, self.ends))
+        self.code[i] = xxhash.xxh64_intdigest(data)
+        self.kind[i] = (NOTHING if not core else NUMBER if low in NUMBER_WORDS or (not letters and NUMERIC.fullmatch(core)) else UNIT if low in UNITS
+                        else TITLE if core[0].isupper() and core[1:].islower() else PLAIN)
+        self.ends[i] = not letters and w.rstrip("\"')]»”").endswith((".", "!", "?", ":"))
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         if len(self.core) > CACHE_WORDS:
             self.__init__()
         words, place = text.split(), self.place
-        for w in {w for w in words if w not in place}:
-            core = EDGE.sub("", w)
-            low = core.lower()
-            kind = (NOTHING if not core else NUMBER if NUMERIC.fullmatch(core) or low in NUMBER_WORDS else UNIT if low in UNITS
-                    else TITLE if core[0].isupper() and core[1:].islower() else PLAIN)
-            place[w] = len(self.core)
-            self.core.append(core)
-            self.rows.append((_mixed(zlib.crc32(low.encode("utf-8", "replace")) << 32 | zlib.adler32(low.encode("utf-8", "replace"))), kind, w.rstrip("\"')]»”").endswith((".", "!", "?", ":"))))
-            self.arrays = None
-        if self.arrays is None:
-            self.arrays = [np.array([r[k] for r in self.rows], t) for k, t in ((0, np.uint64), (1, np.int8), (2, bool))]
-        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-        return (at, *[a[at] for a in self.arrays])
+        at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
+        for i in np.flatnonzero(at < 0).tolist():
+            if words[i] not in place:
+                self._add(words[i])
+            at[i] = place[words[i]]
+        return at, self.code[at], self.kind[at], self.ends[at]
 
 
 def _mixed(x: int) -> int:
@@ -93,7 +103,7 @@ POWERS = np.array([_mixed(101 + k) | 1 for k in range(WINDOW)], np.uint64)
 
 
 def windows(text: str, words: Words, lengths: tuple[int, ...], bits: np.ndarray | None) -> Iterator[tuple]:
-    """(hash, length, reading, position, tokens, pattern, values) of the windows that pass ``bits``."""
+    """(hash, length, position, tokens, pattern, values) of the windows that pass ``bits``."""
     at, code, kind, ends = words.of(text)
     if len(at) < LEAST:
         return
@@ -105,11 +115,14 @@ def windows(text: str, words: Words, lengths: tuple[int, ...], bits: np.ndarray
     after = np.concatenate([[False], kind[:-1] == NUMBER])
     kind[(kind == UNIT) & ~after] = PLAIN
     first = (kind == TITLE) & begins
-    for reading in (0, 1):
-        now = np.where(first, PLAIN, kind) if reading == 0 else kind
+    inner = (kind == TITLE) & ~first
+    readings = [(np.where(first, PLAIN, kind), None), (kind, first), (np.where(kind == TITLE, PLAIN, kind), inner)]
+    for now, need in readings:
+        if need is not None and not need.any():
+            continue  # nothing that the first reading doesn't have
         token = np.where(now == PLAIN, code, HOLDERS[now])
         literal = np.concatenate([[0], np.cumsum(now == PLAIN)])
-        both = np.concatenate([[0], np.cumsum(first)])
+        differs = None if need is None else np.concatenate([[0], np.cumsum(need)])
         for n in lengths:
             if len(token) < n:
                 continue
@@ -119,32 +132,32 @@ def windows(text: str, words: Words, lengths: tuple[int, ...], bits: np.ndarray
                 h += token[j:j + size] * POWERS[j]
             h ^= h >> np.uint64(32)
             good = (literal[n:] - literal[:-n]) * 10 >= LITERALS * n
-            if reading:
-                good &= both[n:] > both[:-n]  # else the first reading has the window
+            if differs is not None:
+                good &= differs[n:] > differs[:-n]
             if bits is not None:
                 slot = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                 good &= (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
             for i in np.flatnonzero(good):
                 tokens, pattern, values, seen = [], [], [], {}
                 for k in range(i, i + n):
-                    core = words.core[at[k]].lower()
+                    core = words.core[at[k]]
                     if now[k] == PLAIN:
                         tokens.append(core)
                     else:
                         tokens.append(MARKS[int(now[k])])
                         pattern.append(str(seen.setdefault((int(now[k]), core), len(seen))))
                         values.append(f"{MARKS[int(now[k])]}{core}")
-                yield int(h[i].view(np.int64)), n, reading, int(i), " ".join(tokens), " ".join(pattern), values
+                yield int(h[i].view(np.int64)), n, int(i), " ".join(tokens), " ".join(pattern), values
 
 
-COLUMNS = "win long, length int, reading int, place int, tokens string, pattern string, values array<string>"
+COLUMNS = "win long, length int, place int, tokens string, pattern string, values array<string>"
 
 
 def _windows(df: DataFrame, key_schema: str, lengths: tuple[int, ...], bits=None) -> DataFrame:
     """Windows of every text (the last column), beside the columns before it."""
     keys = len(df.columns) - 1
     schema = f"{key_schema}, {COLUMNS}"
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string())]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string())]
     names = df.columns[:keys] + [c.split()[0] for c in COLUMNS.split(", ")]
     words = Words()
 
@@ -183,10 +196,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         bits[byte] = value
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_of(text_col)).alias("hash"), text_of(text_col).alias("text"))
     found = stored(_windows(rows, "id long, hash long", lengths, spark.sparkContext.broadcast(bits)) if lengths else spark.createDataFrame([], f"id long, hash long, {COLUMNS}"), "windows")
-    keys = ["win", "length", "reading", "tokens", "pattern"]
+    keys = ["win", "length", "tokens", "pattern"]
     pairs = found.join(own.select("item_id", *keys, F.col("place").alias("item_place"), F.col("values").alias("item_values")), keys)
     slots = F.arrays_zip("item_values", "values")
-    group = ["id", "hash", "item_id", "reading", (F.col("place") - F.col("item_place")).alias("offset")]
+    group = ["id", "hash", "item_id", (F.col("place") - F.col("item_place")).alias("offset")]
     # at most as many windows, and WINDOW times as many slots, as the item has
     aligned = pairs.groupBy(*group).agg(F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"))
     sides = [F.size(F.array_distinct(F.col("slots")[c])) for c in ("item_values", "values")]

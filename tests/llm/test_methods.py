@@ -146,10 +146,10 @@ def test_long_chain_is_one_component(spark):
 def test_reparameterised_questions(spark):
     item = "A train leaves Paris at 9 and travels 120 km in 3 hours; how fast does the train from Paris go when it stops 3 times?"
     docs = [(1, "Intro words. " + item + " More words."), (2, item.replace("Paris", "Berlin").replace("120", "450").replace("3 ", "7 ")), (3, item.replace("3 hours", "5 hours")),
-            (4, "A train leaves the town early and travels far in the morning; how fast does it go?"), (5, item.upper().replace("PARIS", "Paris"))]
+            (4, "A train leaves the town early and travels far in the morning; how fast does it go?"), (5, item.upper().replace("PARIS", "Paris")), (6, item.lower())]
     found = decontam.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(0, item)], "item_id long, text string")).collect()
     by = {r.id: r for r in found}
-    assert 1 in by and not by[1].reparameterised and 2 in by and by[2].reparameterised and 4 not in by and 5 in by
+    assert 1 in by and not by[1].reparameterised and 2 in by and by[2].reparameterised and 4 not in by and 5 in by and 6 in by
     # document 3 gives one value of the item two values: windows that hold both don't agree
     assert 3 not in by or by[3].n_windows < by[1].n_windows
 
