@@ -54,7 +54,7 @@ def test_dedup_counts(runs):
     kept, deleted = D.dedup(runs)
     assert deleted.count() == 1514
     assert kept.count() + deleted.count() == runs.count()
-    assert kept.where(~P.is_missing_str("raw_results_url")).select("raw_results_url").distinct().count() == 10447
+    assert kept.where(~P.is_missing_str("raw_results_url")).select("raw_results_url").distinct().count() == 12122
 
 
 def test_url_rewrite_counts(spark, runs):
