@@ -13,7 +13,7 @@
    original vectors, and merged: per query the K best, ties to the smaller id.
 
 Defined results: repeated ids are rows of their own, a query leaves out the
-rows of its own id; vectors of different lengths never meet; fewer candidates
+rows of its own id and is asked once if its row repeats; vectors of different lengths never meet; fewer candidates
 than K give fewer rows; an empty table gives none; other columns are ignored.
 """
 
@@ -192,6 +192,7 @@ FOUND = "query_id long, vec_id long, score double"
 
 def search(queries: DataFrame, index: DataFrame, k: int, ef: int = EF, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found in all shards, from (id, vector) queries."""
+    queries = queries.select("id", "vector").distinct()
     n = queries.count()
     blocks = max(1, -(-n // block_rows))
     packed = queries.groupBy(F.size("vector").alias("dim"), F.pmod(F.xxhash64("id", "vector"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "vector")).alias("queries"))

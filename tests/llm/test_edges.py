@@ -105,7 +105,8 @@ def test_pages(spark, nasty):
 def test_vectors(spark, nasty):
     rows = registry.QUERIES["op2_hnsw"](spark, nasty).collect()
     of = Counter(r.query_id for r in rows)
-    assert set(of) == {0, 50, 100, 150, 200, 250, 1000, 2200} and all(of[q] == 5 for q in (0, 100, 1000)) and of[2200] == 1
+    assert set(of) == {0, 50, 100, 150, 200, 250, 1000, 2200} and all(of[q] == 5 for q in (0, 50, 100, 1000)) and of[2200] == 1
+    assert [r.vec_id for r in sorted(rows, key=lambda r: r["rank"]) if r.query_id == 50] == [1000, 1001, 1002, 1003, 1004]
     near = [r.vec_id for r in sorted(rows, key=lambda r: r["rank"]) if r.query_id == 1000]
     assert near == [50, 50, 1001, 1002, 1003]  # equal vectors, the smaller ids first; a repeated row counts twice
 
