@@ -2,8 +2,8 @@
 
 1. Vectors that are null, zero, or hold null or non-finite numbers take no
    part.  Equal vectors are one point of the graph, with the smallest K + 1
-   ids (no more can be among the K nearest of any query, ties going to the
-   smaller id).
+   ids, K rows of each (no more can be among the K nearest of any query, ties
+   going to the smaller id).
 2. Points are dealt by hash into shards of about SHARD_ROWS; each shard gets a
    hierarchical navigable small-world graph over unit vectors, kept as flat
    arrays: per level the points and a matrix of neighbours (-1: none).
@@ -157,9 +157,11 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per shard, with its graph, from (id, vector: array<double>, usable)."""
-    # at most k + 1 rows of equal vectors leave each task: the engine limits ranks before it shuffles
+    # at most k rows of an id and k + 1 ids of equal vectors leave each task: the engine limits ranks before it shuffles
+    one = Window.partitionBy("vector", "id").orderBy("id")
     same = Window.partitionBy("vector").orderBy(F.col("id").asc_nulls_last())
-    points = rows.withColumn("rank", F.row_number().over(same)).where(F.col("rank") <= k + 1)
+    points = rows.withColumn("copy", F.row_number().over(one)).where(F.col("copy") <= k)
+    points = points.withColumn("rank", F.dense_rank().over(same)).where(F.col("rank") <= k + 1)
     points = stored(points.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")), "points")
     dims = {r[0]: max(1, -(-r[1] // shard_rows)) for r in points.groupBy(F.size("vector").alias("dim")).count().collect()}  # one row per dimension
     if not dims:
