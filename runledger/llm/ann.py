@@ -218,10 +218,14 @@ def search(queries: DataFrame, index: DataFrame, k: int, ef: int = EF, block_row
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
 
-    spark = queries.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    spark, setting = queries.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "4")  # a row holds a graph and a block of queries
+    try:
+        found = stored(every.mapInArrow(run, FOUND), "neighbours")
+    finally:
+        spark.conf.set(setting, before)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    found = every.mapInArrow(run, FOUND)
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
