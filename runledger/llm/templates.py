@@ -228,10 +228,12 @@ def deduce(keyed: DataFrame) -> DataFrame:
     valid = stored(elements.join(classes, vector).select("host", "path", "parent", "pages"), "classes")
     above = valid.select("host", F.col("path").alias("parent"), F.col("pages").alias("above"))
     nested = valid.join(above, ["host", "parent"], "left").where("parent = 0 or pages <= above")
+    # summed by region and page count first, so that few rows of a host meet on the host alone
     hosts = tokens.where("path is null").select("host", F.col("pages").alias("of"))
-    texts = tokens.where("text is not null and not aside").join(hosts, "host")
+    texts = tokens.where("text is not null and not aside").groupBy("host", "region", "named", "pages").agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"))
     fixed = (F.col("pages") == F.col("of")) & (F.col("of") >= CLASS_PAGES)
-    regions = texts.groupBy("host", "region", "named").agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.sum(F.when(fixed, 0).otherwise(F.col("chars"))).alias("free"))
+    regions = texts.join(hosts, "host").groupBy("host", "region", "named").agg(
+        F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.sum(F.when(fixed, 0).otherwise(F.col("chars"))).alias("free"))
     slots = regions.join(nested.select("host", F.col("path").alias("region")).distinct(), ["host", "region"])
     prose = F.col("links") <= LINK_SHARE * F.col("chars")
     return stored(slots.groupBy("host").agg(F.max("named").alias("named"), F.max_by("region", F.struct(prose, "free", "chars", "region")).alias("region")), "slots")
