@@ -7,11 +7,12 @@ sentence it may be an ordinary word, and a copy may have lost its capitals, so
 texts are read with either and with no names.  Windows of
 WINDOW canonical tokens (an item with fewer: all its tokens) are joined by
 hash with those of the benchmark; a pair of windows must have the same tokens
-and the same pattern of equal slots, and over all windows of a document and
-an item at one offset, each slot value of the item must stand for one value of
-the document and the other way round.  Re-parameterised questions (other
-numbers, other names) are caught that way, and texts that only share the
-shape of a window aren't.
+and the same pattern of equal slots.  Windows with the item's own slot values
+count as they are.  For the others, over each run of windows in one reading of
+a document and an item at one offset, each slot value of the item must stand
+for one value of the document and the other way round; windows with a value
+that doesn't are dropped.  Re-parameterised questions (other numbers, other
+names) are caught that way, and windows that only share their shape aren't.
 
 A bitmap of the benchmark's window hashes (2**FILTER_BITS bits at any size of
 the benchmark) spares the join nearly all windows of clean texts; it has no
@@ -33,7 +34,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runledger.llm.common import small_batches, stored, text_of
@@ -103,7 +104,7 @@ POWERS = np.array([_mixed(101 + k) | 1 for k in range(WINDOW)], np.uint64)
 
 
 def windows(text: str, words: Words, lengths: tuple[int, ...], bits: np.ndarray | None) -> Iterator[tuple]:
-    """(hash, length, position, tokens, pattern, values) of the windows that pass ``bits``."""
+    """(hash, length, position, readings, tokens, pattern, values) of the windows that pass ``bits``."""
     at, code, kind, ends = words.of(text)
     if len(at) < LEAST:
         return
@@ -117,7 +118,9 @@ def windows(text: str, words: Words, lengths: tuple[int, ...], bits: np.ndarray
     first = (kind == TITLE) & begins
     inner = (kind == TITLE) & ~first
     readings = [(np.where(first, PLAIN, kind), None), (kind, first), (np.where(kind == TITLE, PLAIN, kind), inner)]
-    for now, need in readings:
+    # a window without names that a reading sees otherwise is the same window in that reading
+    also = [(r, np.concatenate([[0], np.cumsum(need)])) for r, (_, need) in enumerate(readings) if need is not None and need.any()]
+    for reading, (now, need) in enumerate(readings):
         if need is not None and not need.any():
             continue  # nothing that the first reading doesn't have
         token = np.where(now == PLAIN, code, HOLDERS[now])
@@ -147,17 +150,18 @@ def windows(text: str, words: Words, lengths: tuple[int, ...], bits: np.ndarray
                         tokens.append(MARKS[int(now[k])])
                         pattern.append(str(seen.setdefault((int(now[k]), core), len(seen))))
                         values.append(f"{MARKS[int(now[k])]}{core}")
-                yield int(h[i].view(np.int64)), n, int(i), " ".join(tokens), " ".join(pattern), values
+                within = [reading] if reading else [0, *[r for r, c in also if c[i + n] == c[i]]]
+                yield int(h[i].view(np.int64)), n, int(i), within, " ".join(tokens), " ".join(pattern), values
 
 
-COLUMNS = "win long, length int, place int, tokens string, pattern string, values array<string>"
+COLUMNS = "win long, length int, place int, readings array<int>, tokens string, pattern string, values array<string>"
 
 
 def _windows(df: DataFrame, key_schema: str, lengths: tuple[int, ...], bits=None) -> DataFrame:
     """Windows of every text (the last column), beside the columns before it."""
     keys = len(df.columns) - 1
     schema = f"{key_schema}, {COLUMNS}"
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.string())]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.string(), pa.string(), pa.list_(pa.string())]
     names = df.columns[:keys] + [c.split()[0] for c in COLUMNS.split(", ")]
     words = Words()
 
@@ -182,12 +186,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     """Per document text and item found in it: id, hash, item_id, n_windows, first_token, last_token, reparameterised."""
     spark = docs.sparkSession
     small_batches(spark)
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), text_of(item_text).alias("text"))
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.xxhash64(text_of(item_text)).alias("item_hash"), text_of(item_text).alias("text"))
     short = tuple(range(LEAST, WINDOW))  # whole items of fewer tokens than a window
-    own = _windows(items, "item_id long", (*short, WINDOW))
-    size = own.groupBy("item_id").agg(F.max(F.col("place") + F.col("length")).alias("n"))
-    own = own.join(size.withColumnRenamed("item_id", "item2"), F.col("item_id").eqNullSafe(F.col("item2"))).where((F.col("length") == WINDOW) | ((F.col("length") == F.col("n")) & (F.col("place") == 0)))
-    own = stored(own.select("item_id", *[c.split()[0] for c in COLUMNS.split(", ")]).distinct(), "item_windows")
+    own = _windows(items, "item_id long, item_hash long", (*short, WINDOW))
+    size = own.groupBy("item_id", "item_hash").agg(F.max(F.col("place") + F.col("length")).alias("n")).withColumnsRenamed({"item_id": "item2", "item_hash": "hash2"})
+    own = own.join(size, F.col("item_id").eqNullSafe(F.col("item2")) & (F.col("item_hash") == F.col("hash2"))).where((F.col("length") == WINDOW) | ((F.col("length") == F.col("n")) & (F.col("place") == 0)))
+    own = stored(own.select("item_id", "item_hash", *[c.split()[0] for c in COLUMNS.split(", ")]).drop("readings").distinct(), "item_windows")
     lengths = tuple(sorted(r[0] for r in own.select("length").distinct().collect()))  # at most WINDOW values
     slot = F.shiftrightunsigned("win", 64 - FILTER_BITS)
     marks = own.groupBy(F.shiftright(slot, 3).alias("byte")).agg(F.bit_or(F.expr(f"shiftleft(1, cast(shiftrightunsigned(win, {64 - FILTER_BITS}) & 7 as int))")).alias("bits"))
@@ -197,17 +201,26 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_of(text_col)).alias("hash"), text_of(text_col).alias("text"))
     found = stored(_windows(rows, "id long, hash long", lengths, spark.sparkContext.broadcast(bits)) if lengths else spark.createDataFrame([], f"id long, hash long, {COLUMNS}"), "windows")
     keys = ["win", "length", "tokens", "pattern"]
-    pairs = found.join(own.select("item_id", *keys, F.col("place").alias("item_place"), F.col("values").alias("item_values")), keys)
-    slots = F.arrays_zip("item_values", "values")
-    group = ["id", "hash", "item_id", (F.col("place") - F.col("item_place")).alias("offset")]
-    # at most as many windows, and WINDOW times as many slots, as the item has
-    aligned = pairs.groupBy(*group).agg(F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots"))
-    sides = [F.size(F.array_distinct(F.col("slots")[c])) for c in ("item_values", "values")]
-    whole = aligned.where((sides[0] == F.size("slots")) & (sides[1] == F.size("slots")))
-    other = F.exists("slots", lambda s: s["item_values"] != s["values"])
+    pairs = found.join(own.select("item_id", "item_hash", *keys, F.col("place").alias("item_place"), F.col("values").alias("item_values")), keys)
+    group = ["id", "hash", "item_id", "item_hash", "offset", "reading"]
+    each = pairs.select("id", "hash", "item_id", "item_hash", (F.col("place") - F.col("item_place")).alias("offset"), F.explode("readings").alias("reading"),
+                        "place", "values", "item_values").distinct()
+    # a group has at most as many windows, and WINDOW times as many slots, as the item has
+    line = Window.partitionBy(*group).orderBy("place")
+    gap = F.coalesce((F.col("place") - F.lag("place").over(line) > 1).cast("int"), F.lit(0))
+    runs = each.withColumn("gap", gap).withColumn("run", F.sum("gap").over(line))
+    slots = runs.select(*group, "run", "place", (F.col("values") == F.col("item_values")).alias("same"), F.explode_outer(F.arrays_zip("item_values", "values")).alias("slot"))
+    slots = slots.select("*", "slot.item_values", "slot.values").drop("slot")
+
+    def several(of: str, by: str):
+        of_one = Window.partitionBy(*group, "run", by)
+        return F.coalesce(F.min(of).over(of_one) != F.max(of).over(of_one), F.lit(False))
+
+    torn = slots.withColumn("torn", several("values", "item_values")).withColumn("torn", F.col("torn") | several("item_values", "values"))
+    whole = torn.groupBy(*group, "place").agg(F.max("same").alias("same"), F.max("torn").alias("torn")).where("same or not torn")
     return whole.groupBy("id", "hash", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n_windows"), F.min(F.array_min("places")).alias("first_token"),
-        F.max(F.array_max("places")).alias("last_token"), F.max(other).alias("reparameterised"))
+        F.size(F.collect_set("place")).alias("n_windows"), F.min("place").alias("first_token"), F.max("place").alias("last_token"),
+        F.max(~F.col("same")).alias("reparameterised"))
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

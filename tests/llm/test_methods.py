@@ -154,6 +154,16 @@ def test_reparameterised_questions(spark):
     assert 3 not in by or by[3].n_windows < by[1].n_windows
 
 
+def test_conflicting_slots_lose_their_windows_only(spark):
+    body = "the old river runs past seven quiet villages and under many stone bridges before it meets the wide northern sea"
+    item = f"Re old walls stand by the water while people walk home from work. The {body[4:]}. Then, when the evening comes and lamps are lit along every quay, the ferry leaves with 30 people and comes back with 30 people again each night."
+    docs = [(1, item), (2, item.replace("Re old", "The old")), (3, item.replace("with 30 people again", "with 45 people again")),
+            (4, "When 7 cats meet 7 dogs by the old river bank they run"), (5, item.replace("30", "45"))]
+    by = {r.id: r for r in decontam.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(0, item)], "item_id long, text string")).collect()}
+    assert set(by) == {1, 2, 3, 5} and not by[1].reparameterised and by[5].reparameterised
+    assert 30 < by[2].n_windows < by[1].n_windows and 30 < by[3].n_windows < by[1].n_windows
+
+
 def test_graph_recall():
     rng = np.random.default_rng(0)
     v = rng.normal(size=(3000, 24)).astype(np.float32)
