@@ -4,8 +4,11 @@ Words become canonical tokens: numbers, names and units turn into typed
 placeholders (their values are the slots), all else is lower-cased and
 stripped of punctuation.  A name is a capitalised word; at the start of a
 sentence it may be an ordinary word, and a copy may have lost its capitals, so
-texts are read with either and with no names.  Windows of
-WINDOW canonical tokens (an item with fewer: all its tokens) are joined by
+texts are read with either and with no names.  A last reading has the words
+themselves, numbers and units too, with the signs that stand alone between
+them: it finds exact copies whatever they are made of.  In scripts without
+spaces each character is a word.  Windows of WINDOW canonical tokens (DENSE of
+an item that is mostly such characters; an item with fewer: all its tokens) are joined by
 hash with those of the benchmark; a pair of windows must have the same tokens
 and the same pattern of equal slots.  Windows with the item's own slot values
 count as they are.  For the others, over each run of windows in one reading of
@@ -18,9 +21,10 @@ A bitmap of the benchmark's window hashes (2**FILTER_BITS bits at any size of
 the benchmark) spares the join nearly all windows of clean texts; it has no
 false negatives, and what passes is joined by shuffle.
 
-Defined results: null and empty texts have no window and match nothing; items
-of fewer than LEAST tokens, and windows with fewer than LITERALS of 10 literal
-tokens, match nothing; repeated documents match alike, repeated items count
+Defined results: null and empty texts, and those of signs only, have no window
+and match nothing; items of fewer than LEAST tokens, and windows with fewer
+than LITERALS of 10 literal tokens, match exact copies only (an item of one
+word every text with that word); repeated documents match alike, repeated items count
 once per item id; null ids are reported as null; empty tables give no rows;
 columns besides id and text are ignored.
 """
@@ -39,7 +43,7 @@ from pyspark.sql import functions as F
 
 from runledger.llm.common import small_batches, stored, text_of
 
-WINDOW, LEAST, LITERALS, FILTER_BITS = 10, 5, 6, 24
+WINDOW, DENSE, LEAST, LITERALS, FILTER_BITS = 10, 20, 5, 6, 24
 CACHE_WORDS = 600_000
 PLAIN, NUMBER, TITLE, UNIT, NOTHING = range(5)
 
@@ -52,6 +56,20 @@ NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine te
 eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion""".split())
 NUMERIC = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?")
 EDGE = re.compile(r"^[^\w$€£+-]+|[^\w%$€£]+$")
+#: Scripts written without spaces (Thai to Myanmar, Khmer, Tai, Balinese, kana, bopomofo, Chinese characters, Javanese).
+SPACELESS = re.compile("[\u0e00-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u1b00-\u1b7f\u3005-\u3007\u3021-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf"
+                       "\u4e00-\u9fff\ua980-\ua9df\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff]")
+PARTS = re.compile(f"{SPACELESS.pattern}|[^{SPACELESS.pattern[1:-1]}]+")
+
+
+def _spaceless(text: str) -> bool:
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+        return False
+    except UnicodeEncodeError:
+        return SPACELESS.search(text) is not None
 
 
 class Words:
@@ -66,8 +84,8 @@ class Words:
 
     def _add(self, w: str) -> None:
         letters = w.isalpha()
-        core = w if letters else EDGE.sub("", w)
-        low = core.lower()
+        core = w if letters or SPACELESS.match(w) else EDGE.sub("", w)
+        low = core.lower() if core else w  # signs count in the last reading
         data = low.encode("utf-8", "replace")
         i = self.place[w] = len(self.core)
         self.core.append(low)
@@ -78,16 +96,20 @@ class Words:
                         else TITLE if core[0].isupper() and core[1:].islower() else PLAIN)
         self.ends[i] = not letters and w.rstrip("\"')]»”").endswith((".", "!", "?", ":"))
 
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
         if len(self.core) > CACHE_WORDS:
             self.__init__()
         words, place = text.split(), self.place
+        dense = None
+        if _spaceless(text):
+            words = [x for w in words for x in PARTS.findall(w)]
+            dense = np.fromiter((SPACELESS.match(w) is not None for w in words), bool, len(words))
         at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
         for i in np.flatnonzero(at < 0).tolist():
             if words[i] not in place:
                 self._add(words[i])
             at[i] = place[words[i]]
-        return at, self.code[at], self.kind[at], self.ends[at]
+        return at, self.code[at], self.kind[at], self.ends[at], dense
 
 
 def _mixed(x: int) -> int:
@@ -100,47 +122,65 @@ def _mixed(x: int) -> int:
 
 HOLDERS = np.array([0, *[_mixed(k) for k in (11, 12, 13)], 0], np.uint64)  # by class
 MARKS = {NUMBER: "<num>", TITLE: "<name>", UNIT: "<unit>"}
-POWERS = np.array([_mixed(101 + k) | 1 for k in range(WINDOW)], np.uint64)
+POWERS = np.array([_mixed(101 + k) | 1 for k in range(DENSE)], np.uint64)
+EXACT = 3  # the last reading
 
 
-def windows(text: str, words: Words, lengths: tuple[int, ...], bits: np.ndarray | None) -> Iterator[tuple]:
-    """(hash, length, position, readings, tokens, pattern, values) of the windows that pass ``bits``."""
-    at, code, kind, ends = words.of(text)
-    if len(at) < LEAST:
-        return
-    begins = np.concatenate([[True], ends[:-1]])
+def _signs(code: np.ndarray, real: np.ndarray) -> np.ndarray:
+    """Per real token a hash of the signs that stand between it and the one before, 0 without any."""
+    out = np.zeros(int(real.sum()) + 1, np.uint64)
+    if not real.all():
+        here = np.arange(len(real))
+        rank = here - np.maximum.accumulate(np.where(real, here, -1))
+        np.add.at(out, np.cumsum(real)[~real], code[~real] * (2 * rank[~real] + 1).astype(np.uint64))
+    return out[:-1]
+
+
+def windows(text: str, words: Words, lengths: tuple[int, ...] | None, bits: np.ndarray | None) -> Iterator[tuple]:
+    """(hash, length, position, readings, tokens, pattern, values) of the windows that pass ``bits``; without ``lengths``, those of an item."""
+    every, code, kind, ends, dense = words.of(text)
     real = kind != NOTHING
-    at, code, kind, begins = at[real], code[real], kind[real].copy(), begins[real]
-    if len(at) < LEAST:
+    if not real.any():
         return
+    begins = np.concatenate([[True], ends[:-1]])
+    signs, origin = _signs(code, real), np.flatnonzero(real)
+    at, code, kind, begins = every[real], code[real], kind[real].copy(), begins[real]
+    item = lengths is None
+    if item:
+        lengths = (min(len(at), DENSE if dense is not None and 2 * dense[real].sum() >= len(at) else WINDOW),)
     after = np.concatenate([[False], kind[:-1] == NUMBER])
     kind[(kind == UNIT) & ~after] = PLAIN
     first = (kind == TITLE) & begins
     inner = (kind == TITLE) & ~first
-    readings = [(np.where(first, PLAIN, kind), None), (kind, first), (np.where(kind == TITLE, PLAIN, kind), inner)]
+    valued = (kind == NUMBER) | (kind == UNIT)  # elsewhere the readings without names have the words themselves
+    readings = [(np.where(first, PLAIN, kind), None), (kind, first), (np.where(kind == TITLE, PLAIN, kind), inner), (np.full(len(kind), PLAIN, kind.dtype), None if item else valued)]
     # a window without names that a reading sees otherwise is the same window in that reading
-    also = [(r, np.concatenate([[0], np.cumsum(need)])) for r, (_, need) in enumerate(readings) if need is not None and need.any()]
+    also = [(r, np.concatenate([[0], np.cumsum(need)])) for r, (_, need) in enumerate(readings[:EXACT]) if need is not None and need.any()]
     for reading, (now, need) in enumerate(readings):
-        if need is not None and not need.any():
-            continue  # nothing that the first reading doesn't have
+        if need is not None and not need.any() and (reading != EXACT or min(lengths) >= LEAST):
+            continue  # nothing that the other readings don't have
         token = np.where(now == PLAIN, code, HOLDERS[now])
+        tail = token + signs * POWERS[0] if reading == EXACT else token
         literal = np.concatenate([[0], np.cumsum(now == PLAIN)])
         differs = None if need is None else np.concatenate([[0], np.cumsum(need)])
         for n in lengths:
-            if len(token) < n:
+            if len(token) < n or (n > WINDOW and dense is None) or (n < LEAST and reading != EXACT):
                 continue
             size = len(token) - n + 1
             h = np.full(size, n, np.uint64)
             for j in range(n):
-                h += token[j:j + size] * POWERS[j]
+                h += (tail if j else token)[j:j + size] * POWERS[j]
             h ^= h >> np.uint64(32)
             good = (literal[n:] - literal[:-n]) * 10 >= LITERALS * n
-            if differs is not None:
+            if differs is not None and n >= LEAST:
                 good &= differs[n:] > differs[:-n]
             if bits is not None:
                 slot = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                 good &= (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
             for i in np.flatnonzero(good):
+                if reading == EXACT:
+                    yield int(h[i].view(np.int64)), n, int(i), [EXACT], " ".join(words.core[k] for k in every[origin[i]:origin[i + n - 1] + 1]), "=", []
+                    continue
                 tokens, pattern, values, seen = [], [], [], {}
                 for k in range(i, i + n):
                     core = words.core[at[k]]
@@ -157,7 +197,7 @@ def windows(text: str, words: Words, lengths: tuple[int, ...], bits: np.ndarray
 COLUMNS = "win long, length int, place int, readings array<int>, tokens string, pattern string, values array<string>"
 
 
-def _windows(df: DataFrame, key_schema: str, lengths: tuple[int, ...], bits=None) -> DataFrame:
+def _windows(df: DataFrame, key_schema: str, lengths: tuple[int, ...] | None, bits=None) -> DataFrame:
     """Windows of every text (the last column), beside the columns before it."""
     keys = len(df.columns) - 1
     schema = f"{key_schema}, {COLUMNS}"
@@ -187,12 +227,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     spark = docs.sparkSession
     small_batches(spark)
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.xxhash64(text_of(item_text)).alias("item_hash"), text_of(item_text).alias("text"))
-    short = tuple(range(LEAST, WINDOW))  # whole items of fewer tokens than a window
-    own = _windows(items, "item_id long, item_hash long", (*short, WINDOW))
-    size = own.groupBy("item_id", "item_hash").agg(F.max(F.col("place") + F.col("length")).alias("n")).withColumnsRenamed({"item_id": "item2", "item_hash": "hash2"})
-    own = own.join(size, F.col("item_id").eqNullSafe(F.col("item2")) & (F.col("item_hash") == F.col("hash2"))).where((F.col("length") == WINDOW) | ((F.col("length") == F.col("n")) & (F.col("place") == 0)))
-    own = stored(own.select("item_id", "item_hash", *[c.split()[0] for c in COLUMNS.split(", ")]).drop("readings").distinct(), "item_windows")
-    lengths = tuple(sorted(r[0] for r in own.select("length").distinct().collect()))  # at most WINDOW values
+    own = _windows(items, "item_id long, item_hash long", None)
+    own = stored(own.drop("readings").distinct(), "item_windows")
+    lengths = tuple(sorted(r[0] for r in own.select("length").distinct().collect()))  # at most DENSE values
     slot = F.shiftrightunsigned("win", 64 - FILTER_BITS)
     marks = own.groupBy(F.shiftright(slot, 3).alias("byte")).agg(F.bit_or(F.expr(f"shiftleft(1, cast(shiftrightunsigned(win, {64 - FILTER_BITS}) & 7 as int))")).alias("bits"))
     bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
@@ -205,7 +242,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     group = ["id", "hash", "item_id", "item_hash", "offset", "reading"]
     each = pairs.select("id", "hash", "item_id", "item_hash", (F.col("place") - F.col("item_place")).alias("offset"), F.explode("readings").alias("reading"),
                         "place", "values", "item_values").distinct()
-    # a group has at most as many windows, and WINDOW times as many slots, as the item has
+    # a group has at most as many windows, and DENSE times as many slots, as the item has
     line = Window.partitionBy(*group).orderBy("place")
     gap = F.coalesce((F.col("place") - F.lag("place").over(line) > 1).cast("int"), F.lit(0))
     runs = each.withColumn("gap", gap).withColumn("run", F.sum("gap").over(line))

@@ -164,6 +164,15 @@ def test_conflicting_slots_lose_their_windows_only(spark):
     assert 30 < by[2].n_windows < by[1].n_windows and 30 < by[3].n_windows < by[1].n_windows
 
 
+def test_exact_copies_of_dense_short_and_spaceless_items(spark):
+    items = [(0, "What is 384 * 219 + 17?"), (1, "7 12 19 31 50 81 131 212 343 555 898 1453"), (2, "Name Zanzibar's capital."), (3, "小明有12个苹果，他又买了30个，请问他现在一共有多少个苹果？"), (4, "水的沸点是多少"),
+             (5, "ภาษาไทยเขียนโดยไม่มีช่องว่างระหว่างคำ"), (6, "3 + 4")]
+    docs = [(10 + i, f"before it {t} after it") for i, t in items] + [(20, "what is 384 - 219 + 17?"), (21, "What is 385 * 219 + 17?"), (22, "7 12 19 31 50 81 131 212 343"), (23, "about Zanzibar's capital."), (24, "3 4 and 3 - 4")]
+    docs += [(30, "我们读到：小明有12个苹果，他又买了30个，请问他现在一共有多少个苹果？然后回答。"), (31, "老师问水的沸点是多少，学生回答。"), (32, "小明有一只猫，水的颜色是什么"), (33, "เขาบอกว่าภาษาไทยเขียนโดยไม่มีช่องว่างระหว่างคำครับ")]
+    found = decontam.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.id, r.item_id) for r in found} == {*[(10 + i, i) for i, _ in items], (30, 3), (31, 4), (33, 5)} and not any(r.reparameterised for r in found)
+
+
 def test_graph_recall():
     rng = np.random.default_rng(0)
     v = rng.normal(size=(3000, 24)).astype(np.float32)
