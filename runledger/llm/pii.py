@@ -9,7 +9,8 @@ a bootstrapped extraction:
 * patterns and instances make a graph, pre-aggregated over the corpus; a
   pattern's reliability is the mean reliability of its instances, with one
   unreliable instance added; an instance's is the mean of its patterns'; seeds
-  stay at 1.  ROUNDS rounds;
+  stay at 1.  What a pattern passes to itself is solved for, and the rest is
+  repeated until no reliability changes by TOLERANCE;
 * patterns of reliability CONFIDENCE or more with SUPPORT different seeds
   discover the other instances they stand before, as spans of kind ``id``.
 
@@ -33,7 +34,7 @@ from runledger.llm.spans import NO_SPANS, by_kind, only_if, spans
 #: The base kinds, in their order; the method adds kind ``id``.
 BASE = ["email", "ip", "card", "phone"]
 KINDS = [*BASE, "id"]
-ROUNDS, SUPPORT, CONFIDENCE = 3, 5, 0.8
+SUPPORT, CONFIDENCE, TOLERANCE = 5, 0.8, 1e-6
 LEAST_DIGITS, LEAST_LENGTH, MOST_LENGTH = 4, 6, 64
 
 # A lookbehind makes a match start where its run of characters does (or where the match before ended), and possessive
@@ -83,14 +84,25 @@ def pattern(span: Column) -> Column:
 
 def reliable_patterns(edges: DataFrame) -> DataFrame:
     """(pattern) of the graph ``edges`` (pattern, value, seed) that pass CONFIDENCE and SUPPORT."""
-    scored = edges.withColumn("r", F.col("seed").cast("double"))
-    for left in reversed(range(ROUNDS)):
-        patterns = scored.groupBy("pattern").agg((F.sum("r") / (F.count(F.lit(1)) + 1)).alias("p"), F.sum("seed").alias("seeds"))
-        patterns = stored(patterns, "patterns")
-        if left:
-            value = edges.join(patterns, "pattern").groupBy("value").agg(F.avg("p").alias("mean"))
-            scored = stored(edges.join(value, "value").select("pattern", "value", "seed", F.greatest(F.col("seed").cast("double"), "mean").alias("r")), "instances")
-    return patterns.where((F.col("p") >= CONFIDENCE) & (F.col("seeds") >= SUPPORT)).select("pattern")
+    degree = edges.groupBy("value").agg(F.count(F.lit(1)).alias("degree"), F.min("seed").alias("least"))
+    known = stored(edges.join(degree, "value"), "degrees")
+    # p * (n + 1) = seeds + the means of the others; a mean holds p itself by 1 / degree, which goes to the left side
+    own = F.sum(F.when(F.col("seed") == 0, 1 / F.col("degree")).otherwise(0.0))
+    patterns = known.groupBy("pattern").agg(F.sum("seed").alias("seeds"), (F.count(F.lit(1)) + 1 - own).alias("weight"))
+    patterns = stored(patterns.withColumn("p", F.col("seeds") / F.col("weight")), "patterns")
+    shared = stored(known.where("degree > 1 and least = 0").drop("least"), "shared")
+    linked = shared.select("pattern").distinct()
+    live, change = stored(patterns.join(linked, "pattern"), "live"), 1.0
+    while change >= TOLERANCE:
+        scored = shared.join(live.select("pattern", "p"), "pattern")
+        total = scored.groupBy("value").agg(F.sum("p").alias("total"))
+        passed = scored.where("seed = 0").join(total, "value").groupBy("pattern").agg(F.sum((F.col("total") - F.col("p")) / F.col("degree")).alias("passed"))
+        fresh = live.withColumnRenamed("p", "old").join(passed, "pattern", "left")
+        fresh = stored(fresh.select("pattern", "seeds", "weight", "old", ((F.col("seeds") + F.coalesce("passed", F.lit(0.0))) / F.col("weight")).alias("p")), "live")
+        change = fresh.agg(F.max(F.abs(F.col("p") - F.col("old")))).first()[0] or 0.0
+        live = fresh.drop("old")
+    every = patterns.join(linked, "pattern", "left_anti").unionByName(live)
+    return every.where((F.col("p") >= CONFIDENCE) & (F.col("seeds") >= SUPPORT)).select("pattern")
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -81,6 +81,20 @@ def test_bootstrapping_finds_unseen(spark):
     assert got[50] == [("id", "Q-77812345")] and got[51] == [] and got[0] == [("email", "ax0@mail.example.org")]
 
 
+def test_bootstrapping_converges(spark):
+    """Values not reached yet don't count against a pattern, those in poor contexts do."""
+    docs = [(i, f"hello there contact me by {chr(97 + i)}x{i}@mail.example.org today") for i in range(12)] + [(50 + i, f"now contact me by Q-{77812345 + i} please") for i in range(200)]
+    assert pii.find_pii(spark.createDataFrame(docs, "doc_id long, text string")).where("id >= 50 and size(all) = 1").count() == 200
+    edges = [("good", i, 1) for i in range(12)] + [("good", 100 + i, 0) for i in range(9)] + [(f"poor{j}", 100 + i, 0) for i in range(9) for j in range(9)] + [("even", i, 1) for i in range(9)] + [("even", 200, 0), ("good2", 200, 0)] + [("good2", i, 1) for i in range(9)]
+    p = {k: 0.0 for k, _, _ in edges}
+    for _ in range(2000):
+        mean = {v: np.mean([p[k] for k, w, _ in edges if w == v]) for _, v, _ in edges}
+        p = {k: sum(1 if s else mean[v] for q, v, s in edges if q == k) / (1 + sum(q == k for q, _, _ in edges)) for k in p}
+    want = {k for k, x in p.items() if x >= pii.CONFIDENCE and sum(s for q, _, s in edges if q == k) >= pii.SUPPORT}
+    got = {r.pattern for r in pii.reliable_patterns(spark.createDataFrame(edges, "pattern string, value long, seed int")).collect()}
+    assert got == want == {"even", "good2"}
+
+
 def test_trigram_queries_hold():
     """Every match of a rule has all trigrams of one of its alternatives."""
     examples = {"assign": ["API_KEY:abcdef", "password = 'x'", "passwd=1", "Token:zz"], "access": ["AKIA0"], "pem": ["-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----"],
