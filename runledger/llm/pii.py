@@ -5,7 +5,8 @@ a bootstrapped extraction:
 
 * an instance is a value with several digits or an @ sign (as written, lower
   case); instances that base forms found are seeds;
-* a lexical pattern is the two words before an instance (digits as 0);
+* a lexical pattern is the two words before an instance (digits as 0), in the
+  whole text, whose start counts as words too;
 * patterns and instances make a graph, pre-aggregated over the corpus; a
   pattern's reliability is the mean reliability of its instances, with one
   unreliable instance added; an instance's is the mean of its patterns'; seeds
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runledger.llm.common import stored, text_of
-from runledger.llm.spans import NO_SPANS, by_kind, only_if, spans
+from runledger.llm.spans import BEFORE, NO_SPANS, by_kind, only_if, spans
 
 #: The base kinds, in their order; the method adds kind ``id``.
 BASE = ["email", "ip", "card", "phone"]
@@ -44,6 +45,8 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Marks a separator inside a card, once single separators between digits have been replaced by it.
 INSIDE, OTHER = "\x01", "\x02"
+#: The word that stands before the first of a text.
+START = "\x03"
 CARD = f"[0-9{INSIDE}]{{16,}}+"
 TOKEN = r"(?<![A-Za-z0-9@._+#/-])[A-Za-z@._+#/-]*+[0-9][A-Za-z0-9@._+#/-]*+"
 
@@ -76,10 +79,13 @@ def instances(text: Column) -> Column:
     return only_if(text.rlike("[0-9]"), spans(text, TOKEN, "id", lambda h: (F.length(_digits(h)) >= LEAST_DIGITS) & F.length(h).between(LEAST_LENGTH, MOST_LENGTH)))
 
 
-def pattern(span: Column) -> Column:
-    """The two words before a span, in lower case, digits as 0; null where fewer than two are known."""
-    words = F.split(F.trim(F.regexp_replace(F.regexp_replace(F.lower(span["before"]), "[0-9]+", "0"), r"\s+", " ")), " ")
-    return F.when(F.size(words) >= 3, F.concat_ws(" ", F.slice(words, -2, 2)))  # the first word may be cut off
+def pattern(text: Column, start: Column) -> Column:
+    """The two words of the text before a place, in lower case, digits as 0; START stands for words before the first."""
+    words = lambda c: F.split(F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), "[0-9]+", "0"), r"\s+", " ")), " ")
+    near = words(F.substring(text, start - BEFORE + 1, F.lit(BEFORE)))
+    whole = words(F.concat(F.lit(f"{START} {START} "), F.substring(text, F.lit(1), start)))
+    known = F.when((start > BEFORE) & (F.size(near) >= 3), near).otherwise(whole)  # the first of the near words may be cut off
+    return F.concat_ws(" ", F.slice(known, -2, 2))
 
 
 def reliable_patterns(edges: DataFrame) -> DataFrame:
@@ -109,16 +115,18 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Per row of ``docs``: id, hash, base (spans) and all (spans), by kind as listed and then start."""
     text = text_of(text_col)
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
-    rows = keyed.select("id", "hash", base_spans(F.col("text")).alias("base"), instances(F.col("text")).alias("values"))
+    rows = keyed.select("id", "hash", "text", base_spans(F.col("text")).alias("base"), instances(F.col("text")).alias("values"))
     meets = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
     free = F.when(F.size("base") == 0, F.col("values")).otherwise(F.filter("values", lambda v: ~F.exists("base", lambda s: meets(s, v))))
-    rows = stored(rows.select("id", "hash", "base", free.alias("values")), "spans")
+    placed = lambda c: F.transform(c, lambda s: s.withField("before", pattern(F.col("text"), s["start"])))
+    rows = rows.select("id", "hash", "text", "base", free.alias("values")).select("id", "hash", placed(F.col("base")).alias("base"), placed(F.col("values")).alias("values"))
+    rows = stored(rows, "spans")
     every = rows.select(F.explode(F.concat(F.transform("base", lambda s: F.struct(s.alias("s"), F.lit(1).alias("seed"))),
                                            F.transform("values", lambda s: F.struct(s.alias("s"), F.lit(0).alias("seed"))))).alias("x"))
-    edges = every.select(pattern(F.col("x.s")).alias("pattern"), F.xxhash64(F.lower("x.s.value")).alias("value"), "x.seed").where("pattern is not null")
+    edges = every.select(F.col("x.s.before").alias("pattern"), F.xxhash64(F.lower("x.s.value")).alias("value"), "x.seed")
     edges = stored(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "graph")
     good = reliable_patterns(edges)
-    found = rows.where(F.size("values") > 0).select("id", "hash", F.explode("values").alias("v")).withColumn("pattern", pattern(F.col("v")))
+    found = rows.where(F.size("values") > 0).select("id", "hash", F.explode("values").alias("v")).withColumn("pattern", F.col("v.before"))
     new = found.join(good, "pattern").groupBy(F.col("id").alias("id2"), F.col("hash").alias("hash2")).agg(F.collect_set("v").alias("new"))
     both = rows.join(new, F.col("id").eqNullSafe(F.col("id2")) & (F.col("hash") == F.col("hash2")), "left")
     added = F.coalesce("new", F.expr(NO_SPANS))

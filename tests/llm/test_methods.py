@@ -95,6 +95,16 @@ def test_bootstrapping_converges(spark):
     assert got == want == {"even", "good2"}
 
 
+def test_contexts_come_from_the_whole_text(spark):
+    """At a text's start, after a word with digits, in a list, and after a long word."""
+    mail, long = "{c}x@mail.example.org", "w" * 90
+    heads = {"Passport number ": "X1234567", "in 2024 account no ": "77812345", "hello there see list 55512345 ": "66612345", f"say {long} ": "88812345"}
+    docs = [(100 * k + i, head + mail.format(c=chr(97 + i))) for k, head in enumerate(heads) for i in range(9)]
+    docs += [(100 * k + 50, head + value) for k, (head, value) in enumerate(heads.items())]
+    got = {r.id: [s.value for s in r["all"]] for r in pii.find_pii(spark.createDataFrame(docs, "doc_id long, text string")).where("id % 100 = 50").collect()}
+    assert all(value in got[100 * k + 50] for k, value in enumerate(heads.values()))
+
+
 def test_trigram_queries_hold():
     """Every match of a rule has all trigrams of one of its alternatives."""
     examples = {"assign": ["API_KEY:abcdef", "password = 'x'", "passwd=1", "Token:zz"], "access": ["AKIA0"], "pem": ["-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----"],
