@@ -3,8 +3,8 @@
 Base spans come from four forms (e-mail, IP address, card, phone).  They seed
 a bootstrapped extraction:
 
-* an instance is a value with several digits or an @ sign (as written, lower
-  case); instances that base forms found are seeds;
+* an instance is a value with several digits or an @ sign before a letter or
+  digit, of any length (as written, lower case); instances that base forms found are seeds;
 * a lexical pattern is the two words before an instance (digits as 0), in the
   whole text, whose start counts as words too;
 * patterns and instances make a graph, pre-aggregated over the corpus; a
@@ -36,7 +36,7 @@ from runledger.llm.spans import BEFORE, NO_SPANS, by_kind, only_if, spans
 BASE = ["email", "ip", "card", "phone"]
 KINDS = [*BASE, "id"]
 SUPPORT, CONFIDENCE, TOLERANCE = 5, 0.8, 1e-6
-LEAST_DIGITS, LEAST_LENGTH, MOST_LENGTH = 4, 6, 64
+LEAST_DIGITS, LEAST_LENGTH = 4, 6
 
 # A lookbehind makes a match start where its run of characters does (or where the match before ended), and possessive
 # repeats never give back: the matches are those of the plain forms, in linear time.
@@ -48,7 +48,8 @@ INSIDE, OTHER = "\x01", "\x02"
 #: The word that stands before the first of a text.
 START = "\x03"
 CARD = f"[0-9{INSIDE}]{{16,}}+"
-TOKEN = r"(?<![A-Za-z0-9@._+#/-])[A-Za-z@._+#/-]*+[0-9][A-Za-z0-9@._+#/-]*+"
+TOKEN = r"(?<![A-Za-z0-9@._+#/-])[A-Za-z._+#/-]*+[0-9@][A-Za-z0-9@._+#/-]*+"
+HANDLE = "@[A-Za-z0-9_]"
 
 
 def _digits(c: Column) -> Column:
@@ -76,7 +77,8 @@ def base_spans(text: Column) -> Column:
 
 def instances(text: Column) -> Column:
     """Spans of values that may be identifiers, of kind ``id``."""
-    return only_if(text.rlike("[0-9]"), spans(text, TOKEN, "id", lambda h: (F.length(_digits(h)) >= LEAST_DIGITS) & F.length(h).between(LEAST_LENGTH, MOST_LENGTH)))
+    numbered = lambda h: (F.length(_digits(h)) >= LEAST_DIGITS) & (F.length(h) >= LEAST_LENGTH)
+    return only_if(text.rlike("[0-9@]"), spans(text, TOKEN, "id", lambda h: numbered(h) | h.rlike(HANDLE)))
 
 
 def pattern(text: Column, start: Column) -> Column:

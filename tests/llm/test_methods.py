@@ -105,6 +105,14 @@ def test_contexts_come_from_the_whole_text(spark):
     assert all(value in got[100 * k + 50] for k, value in enumerate(heads.values()))
 
 
+def test_handles_and_long_identifiers(spark):
+    values = {50: "@jane.doe", 51: "@jo", 52: "7f" * 60, 53: "jane@home"}
+    docs = [(i, f"hello there contact me by {chr(97 + i)}x{i}@mail.example.org today") for i in range(12)] + [(k, f"now contact me by {v} please") for k, v in values.items()]
+    docs += [(60, "now contact me by @ please"), (61, "the year was about @jane.roe then")]
+    got = {r.id: [(s.kind, s.value) for s in r["all"]] for r in pii.find_pii(spark.createDataFrame(docs, "doc_id long, text string")).where("id >= 50").collect()}
+    assert got == {60: [], 61: []} | {k: [("id", v)] for k, v in values.items()}
+
+
 def test_trigram_queries_hold():
     """Every match of a rule has all trigrams of one of its alternatives."""
     examples = {"assign": ["API_KEY:abcdef", "password = 'x'", "passwd=1", "Token:zz"], "access": ["AKIA0"], "pem": ["-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----"],
