@@ -1,9 +1,12 @@
-"""Inline-row builders for micro-fixtures."""
+"""Test table folders and inline-row builders for micro-fixtures."""
 
 import datetime as dt
 
 from pyspark.sql import types as T
 
+SF_SMALL = "/root/testdata/sf0.001"
+SF_MID = "/root/testdata/sf0.01"
+
 RUNS_SCHEMA = T.StructType([
     T.StructField("run_id", T.LongType()),
     T.StructField("browser_name", T.StringType()),

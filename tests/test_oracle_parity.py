@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from oracle_compare import compare, duck
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from runledger.operators import dedup as D
 from runledger.operators import revisions as REV
 from runledger.operators import rules as R

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from helpers import SF_MID
 from runledger.functions import predicates as P
 from runledger.operators import cells as C
 from runledger.operators import dedup as D

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from helpers import run, runs_df
 from runledger.operators import cells as C
 from runledger.operators import reports as RP
