@@ -264,7 +264,13 @@ def consolidate(shards: DataFrame, runs: DataFrame, revisions: DataFrame,
     shards of the runs being handled are read and grouped.  A run without any
     shard is left for a later pass: no report is written for it."""
     todo = REV.resolve(runs.where(P.is_missing_str("raw_results_url")), revisions)
-    todo = report_locations(todo)
+    return consolidate_resolved(shards, todo, url_base, bucket, shard_buckets)
+
+
+def consolidate_resolved(shards: DataFrame, resolved_runs: DataFrame, url_base: str = DEFAULT_URL_BASE, bucket: str = DEFAULT_BUCKET,
+                         shard_buckets: int | None = None) -> DataFrame:
+    """The second half of ``consolidate``, for runs that carry their ``resolved_hash``."""
+    todo = report_locations(resolved_runs, url_base=url_base, bucket=bucket)
     mine = shards_for(shards, todo, buckets=shard_buckets)
     info = run_info(trim_experimental=True, hash_col="resolved_hash")
     placed = ("report_path", "report_url", "resolved_hash")

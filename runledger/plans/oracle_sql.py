@@ -468,3 +468,79 @@ LOADER = RRC + "," + _SUB_ROWS + "," + _LOADER
 
 ORACLE["report_dictionary"] = LOADER + "SELECT id, test, subtest FROM rtests"
 ORACLE["report_matrix"] = LOADER + "SELECT run_idx, test_id, status, sub_status FROM rcells WHERE rn = 1"
+
+
+# ---- whole files, keyed state, postings (plans/queries_files.py) -----------------------
+
+_BUCKET = "'https://storage.example/results/'"
+
+_HOLDERS = """
+holders AS (SELECT raw_results_url, min(run_id) AS holder FROM runs WHERE coalesce(raw_results_url, '') <> '' GROUP BY 1),
+sizes AS (SELECT run_id, CAST(count(*) AS BIGINT) AS n_results FROM results GROUP BY 1)"""
+
+ORACLE["reports_at_locations"] = RRC + "," + _HOLDERS + f"""
+SELECT run_id, outcome, CASE WHEN outcome = 'read' THEN n_results ELSE 0 END AS n_results FROM (
+  SELECT r.run_id, s.n_results, CASE WHEN NOT starts_with(r.raw_results_url, {_BUCKET}) THEN 'elsewhere' WHEN h.holder % 7 = 0 OR s.n_results IS NULL THEN 'missing'
+    WHEN h.holder % 5 = 1 THEN 'malformed' WHEN h.holder % 9 = 2 THEN 'empty' ELSE 'read' END AS outcome
+  FROM runs r JOIN holders h ON r.raw_results_url = h.raw_results_url LEFT JOIN sizes s ON s.run_id = h.holder) t"""
+
+ORACLE["located_objects"] = RRC + "," + _HOLDERS + f"""
+SELECT substr(raw_results_url, 33) AS path FROM holders JOIN sizes ON run_id = holder
+WHERE starts_with(raw_results_url, {_BUCKET}) AND holder % 7 <> 0"""
+
+ORACLE["consolidate_shard_files"] = ORACLE["consolidate_reports"]
+ORACLE["run_map_files"] = ORACLE["pivot_by_run"]
+ORACLE["test_map_files"] = ORACLE["pivot_by_run"]
+ORACLE["snapshot_files"] = ORACLE["snapshot_roundtrip"]
+ORACLE["stream_pending"] = ORACLE["consolidate_reports"]
+ORACLE["path_search_postings"] = ORACLE["path_search"]
+ORACLE["name_search_postings"] = ORACLE["name_search"]
+
+ORACLE["path_search_capped"] = RUNS_CELLS_TESTS + """
+SELECT id, test, subtest FROM (
+  SELECT *, string_split(concat_ws(':', test, subtest), '/')[2:] AS seg FROM tests) t
+WHERE len(seg) >= 2 AND contains(seg[1], 'standard') AND contains(seg[2], 'b') ORDER BY id LIMIT 40"""
+
+ORACLE["mainline_runs"] = RUNS_REVS + """
+SELECT run_id, revision FROM runs WHERE revision IN (SELECT sha FROM revisions UNION SELECT substr(sha, 1, 10) FROM revisions)"""
+
+ORACLE["refreshed_runs"] = RUNS + "SELECT run_id, browser_name FROM runs"
+
+# ---- deltas, Z-order, counts, a growing dictionary, footers ----------------------------
+
+ORACLE["wide_deltas"] = RRC + "," + _SUB_ROWS + "," + _WIDE_ROWS + f"""
+SELECT row_key, qualifier, value FROM (
+  SELECT {_ROW_KEY} AS row_key, w.qualifier, CASE w.load WHEN 1 THEN w.value WHEN 2 THEN 'again ' || w.value ELSE 'more ' || w.value END AS value,
+         row_number() OVER (PARTITION BY {_ROW_KEY}, w.qualifier
+                            ORDER BY w.load DESC, r.created_at DESC, r.run_id DESC, w.result_pos DESC, w.sub_pos DESC) AS rn
+  FROM (SELECT *, 1 AS load FROM wide_rows UNION ALL SELECT *, 2 FROM wide_rows WHERE run_id % 3 = 0
+        UNION ALL SELECT *, 3 FROM wide_rows WHERE run_id % 5 = 0) w
+  JOIN runs r ON w.run_id = r.run_id) t WHERE rn = 1"""
+
+
+def _scan(where: str) -> str:
+    return WIDE_SQL + f""",
+hits AS (SELECT * FROM wide WHERE family = 'tests' AND {where}),
+first_rows AS (SELECT DISTINCT row_key FROM hits ORDER BY row_key LIMIT 100)
+SELECT row_key, qualifier, value FROM hits WHERE row_key IN (SELECT row_key FROM first_rows)"""
+
+
+ORACLE["qualifier_scan"] = _scan("qualifier >= '/economy/anodized' AND qualifier < '/economy/b'")
+ORACLE["value_scan"] = _scan("value >= 'TIMEOUT#P' AND value < 'U'")
+
+_COUNTED = """
+c0 AS (SELECT *, labels AS old_labels, coalesce({exp}, false) AS s0 FROM runs),
+c1 AS (SELECT * EXCLUDE (labels), CASE WHEN s0 THEN {exp_new} ELSE labels END AS labels FROM c0),
+c2 AS (SELECT *, coalesce({ch}, false) AS s1 FROM c1),
+c3 AS (SELECT s0 OR s1 AS selected, old_labels, CASE WHEN s1 THEN {ch_new} ELSE labels END AS labels FROM c2)""".format(exp=_EXP_SEL, exp_new=_EXP_NEW, ch=_CH_SEL, ch_new=_CH_NEW)
+
+ORACLE["rewrite_counts"] = RUNS + "," + _COUNTED + """
+SELECT CAST(count(*) AS BIGINT) AS n_written, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) FILTER (selected) AS BIGINT) AS n_selected,
+       CAST(count(*) FILTER (old_labels IS DISTINCT FROM labels) AS BIGINT) AS n_changed FROM c3"""
+
+ORACLE["dictionary_two_loads"] = RUNS_CELLS + """,
+seen AS (SELECT c.test, c.subtest, r.created_at, c.run_id, c.pos, c.run_id % 2 AS load FROM cells c JOIN runs r ON c.run_id = r.run_id),
+firsts AS (SELECT * FROM seen QUALIFY row_number() OVER (PARTITION BY test, subtest ORDER BY load, created_at, run_id, pos) = 1)
+SELECT CAST(row_number() OVER (ORDER BY load, created_at, run_id, pos) - 1 AS BIGINT) AS id, test, subtest FROM firsts"""
+
+ORACLE["count_from_footers"] = ORACLE["count_runs_tests"]

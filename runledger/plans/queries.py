@@ -672,3 +672,6 @@ def stream_late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
         late[arrived] = F.lit(True)
         c.retry_pending()
     return c.updated_runs(X.runs(spark, sf_dir)).select("run_id", "raw_results_url", "full_revision_hash")
+
+# registers its queries
+from runledger.plans import queries_files  # noqa: E402,F401

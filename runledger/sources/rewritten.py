@@ -1,4 +1,4 @@
-"""Rewritten tables: whole new tables at paths the caller names.
+"""Rewritten tables: whole new tables at paths the caller names.
 
 ``write_table`` writes a rewritten table to a path that must not exist yet: a
 table being read is never overwritten, and of two writers that name the same
@@ -9,7 +9,8 @@ to a table format, which this isn't.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from runledger.sources.materialize import source_id
 
@@ -20,6 +21,16 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     return df.sparkSession.read.format(fmt).load(path)
 
 
+def write_rewrite(rewritten: DataFrame, path: str, fmt: str = "parquet") -> tuple[DataFrame, dict[str, int]]:
+    """K1 + K10: write what ``rules.rewrite`` made, without its flags, and count
+    on the way: a reader over the new table, and how many rows there were, how
+    many a rule selected and how many changed.  The table is computed once."""
+    seen = Observation("rewrite")
+    counted = rewritten.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.count_if("selected").alias("n_selected"), F.count_if("changed").alias("n_changed"))
+    back = write_table(counted.drop("selected", "changed"), path, fmt)
+    return back, {k: int(v) for k, v in seen.get.items()}
+
+
 class Refreshing:
     """A handle on a table that reads it again when its files have changed."""
 
