@@ -525,9 +525,12 @@ first_rows AS (SELECT DISTINCT row_key FROM hits ORDER BY row_key LIMIT 100)
 SELECT row_key, qualifier, value FROM hits WHERE row_key IN (SELECT row_key FROM first_rows)"""
 
 
-ORACLE["qualifier_scan"] = _scan("qualifier >= '/economy/anodized' AND qualifier < '/economy/b'")
+ORACLE["qualifier_scan"] = _scan("qualifier >= '/economy/b' AND qualifier < '/economy/c'")
 ORACLE["value_scan"] = _scan("value >= 'TIMEOUT#P' AND value < 'U'")
 
+ORACLE["qualifier_cells"] = WIDE_SQL + """
+SELECT row_key, qualifier, value FROM wide WHERE family = 'tests' AND qualifier = (SELECT min(qualifier) FROM wide)"""
+
 _COUNTED = """
 c0 AS (SELECT *, labels AS old_labels, coalesce({exp}, false) AS s0 FROM runs),
 c1 AS (SELECT * EXCLUDE (labels), CASE WHEN s0 THEN {exp_new} ELSE labels END AS labels FROM c0),

@@ -223,7 +223,7 @@ def zordered_path(spark: SparkSession, sf_dir: str) -> str:
 @Q.query("qualifier_scan")
 def qualifier_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P13 without a row-key prefix."""
-    return W.range_scan(spark, zordered_path(spark, sf_dir), C.DEFAULT_FAMILY, q_range=("/economy/anodized", "/economy/b")).select("row_key", "qualifier", "value")
+    return W.range_scan(spark, zordered_path(spark, sf_dir), C.DEFAULT_FAMILY, q_range=("/economy/b", "/economy/c")).select("row_key", "qualifier", "value")
 
 
 @Q.query("value_scan")
@@ -232,6 +232,14 @@ def value_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.range_scan(spark, zordered_path(spark, sf_dir), C.DEFAULT_FAMILY, v_range=("TIMEOUT#P", "U")).select("row_key", "qualifier", "value")
 
 
+@Q.query("qualifier_cells")
+def qualifier_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P13 for a single qualifier: the first one of the table, through zones and bloom filters."""
+    path = zordered_path(spark, sf_dir)
+    first = spark.read.parquet(f"{path}/zones").agg(F.min("min_qualifier")).first()[0]  # one value
+    return W.qualifier_lookup(spark, path, C.DEFAULT_FAMILY, first or "").select("row_key", "qualifier", "value")
+
+
 # ---- K10: counts in the rewrite's own pass; A3 over two loads; A1 from footers -------
 
 @Q.query("rewrite_counts")
