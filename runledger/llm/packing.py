@@ -29,6 +29,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,47 +42,91 @@ from pyspark.sql import functions as F
 from runledger.llm.blocks import batch_rows
 from runledger.llm.common import stored, text_of
 
-#: Entries of a worker's cache of encoded words, and the longest word it keeps.
-CACHE_WORDS, CACHE_CHARS = 500_000, 48
+#: Entries of a worker's cache of encoded words (about 200 bytes each), and the longest word it keeps.
+CACHE_WORDS, CACHE_CHARS = 800_000, 48
 #: White space as the splitters of byte-level tokenizers have it.
 _SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _WORDS = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+#: What may end a word: ASCII signs but < > | of added tokens, and the apostrophe of contractions.
+_TAIL = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+#: A word that is one piece of the splitter: a space or none, and Latin letters.
+_LETTERS = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, part int, nth long"
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level letters by byte: printable bytes stand for themselves, the others for the characters from 256 on, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
     """Encodes whole texts word by word, each distinct word once while it is cached.
 
     A byte-level splitter never lets a token cross from a character into white
     space after it, so a word with the white space before it encodes on its
-    own.  Where the tokenizer's settings differ, texts are encoded whole.
+    own; nor from a letter or digit into a sign, so signs at a word's end do
+    too.  Words of Latin letters go to the model directly.  Where the
+    tokenizer's settings or a probe differ, texts are encoded whole.
     """
 
     def __init__(self, path: str):
         import json
 
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.older = Tokenizer.from_file(path), {}, {}
         conf = json.loads(self.tokenizer.to_str())
         split, added = conf.get("pre_tokenizer") or {}, conf.get("added_tokens") or []
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.letters = _byte_letters()
         self.by_word = (split.get("type"), split.get("add_prefix_space"), split.get("use_regex", True)) == ("ByteLevel", False, True) and not conf.get("normalizer") \
-            and not conf.get("truncation") and not conf.get("padding") and not any(a["lstrip"] or a["rstrip"] or a["single_word"] or re.search(f"[{_SPACE}]", a["content"]) for a in added)
+            and not conf.get("truncation") and not conf.get("padding") and not any(a["lstrip"] or a["rstrip"] or a["single_word"] or re.search(f"[{_SPACE}]|[A-Za-z0-9]$", a["content"]) for a in added)
+        probe = " The ends, na\u00efve \u0141\u00f3d\u017a... and\ta(b)  it's [x]!?"
+        self.by_word = self.by_word and self.encode([probe]) == self._encode([probe])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, words: set[str]) -> None:
+        """Put words into the cache: from the older half, put together from core and tail, by the model, or by the whole tokenizer."""
+        known, older, tokenize, letters = self.known, self.older, self.tokenizer.model.tokenize, self.letters
+        code, whole, joined = "H" if self.dtype.itemsize == 2 else "I", {}, []
+        todo = list(words)
+        for w in todo:  # grows by the parts of words
+            if w in known:
+                continue
+            if w in older:
+                known[w] = older[w]
+            elif _LETTERS.fullmatch(w):
+                mapped = "\u0120" + w[1:] if w[0] == " " else w
+                if not w.isascii():
+                    mapped = w.encode("utf-8").decode("latin-1").translate(letters)
+                known[w] = array(code, [t.id for t in tokenize(mapped)]).tobytes()
+            else:
+                core = w.rstrip(_TAIL)
+                if core != w and core[-1:].isalnum():
+                    joined.append((w, core, w[len(core):]))
+                    todo += joined[-1][1:]
+                else:
+                    whole[w] = None
+        whole = list(whole)
+        for i in range(0, len(whole), 4096):
+            known.update(zip(whole[i:i + 4096], self._encode(whole[i:i + 4096])))
+        for w, core, tail in joined:
+            known[w] = known[core] + known[tail]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of ``dtype``."""
         if not self.by_word:
             return self._encode(texts)
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        known, split = self.known, [_WORDS.findall(t) for t in texts]
-        new = list({w for words in split for w in words}.difference(known))
-        for i in range(0, len(new), 4096):
-            known.update(zip(new[i:i + 4096], self._encode(new[i:i + 4096])))
+        if len(self.known) > CACHE_WORDS // 2:
+            self.known, self.older = {}, self.known
+        split = [_WORDS.findall(t) for t in texts]
+        new = {w for words in split for w in words}.difference(self.known)
+        self._learn(new)
+        known = self.known
         out = [b"".join(map(known.__getitem__, words)) for words in split]
         for w in new:
             if len(w) > CACHE_CHARS:
