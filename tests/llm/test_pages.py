@@ -85,7 +85,7 @@ def brute_template(pages):
                 own[0].add(k)
                 own[1] += len(t)
                 own[2] += links
-    size = Counter(tuple(v) for v in vectors.values())
+    size = Counter([*(tuple(v) for v in vectors.values()), (1,) * len(pages)])  # the page is a token too
     on = lambda v: sum(n > 0 for n in v)
     valid = {key: on(v) for key, v in vectors.items() if size[tuple(v)] >= templates.CLASS_SIZE and on(v) >= templates.CLASS_PAGES}
     nested = {path for (path, parent), n in valid.items() if parent == 0 or all(n <= m for (p, _), m in valid.items() if p == parent) or any(n <= m for (p, _), m in valid.items() if p == parent)}
