@@ -11,7 +11,9 @@
    dynamic programming, each length as often as it is left); the largest sum
    within the capacity is the fullest bin.  Each bin starts from the largest
    piece left, as that is the hardest to place later, and prefers large pieces
-   among combinations of equal sum.  The combination is removed as many times
+   among combinations of equal sum.  So that small pieces aren't used up early,
+   a bin takes no more pieces than pieces of the average length that is left would
+   fill it; the packing without that bound is kept if it needs fewer bins.  The combination is removed as many times
    as the pieces last, since it stays the fullest while it is feasible; so the
    number of programs depends on the number of lengths, not on the pieces.
 4. ``pack`` numbers the pieces of each length across tasks (counts per task and
@@ -176,33 +178,47 @@ class Pattern:
     bins: int
 
 
-def fullest(left: dict[int, int], room: int) -> dict[int, int]:
-    """The lengths (with counts) of a largest sum within ``room``, by a bitset over sums; larger lengths are preferred."""
-    within, reached, steps = (1 << room + 1) - 1, 1, []
+def fullest(left: dict[int, int], room: int, most: int | None = None) -> dict[int, int]:
+    """The lengths (with counts) of a largest sum within ``room`` of at most ``most`` pieces; larger lengths are preferred.
+
+    Dynamic programming over bitsets of sums: one bitset per number of pieces, or a single one without ``most``.
+    """
+    within, levels, steps = (1 << room + 1) - 1, most or 0, []
+    reached = [1] + [0] * levels
     for length in sorted(left):  # walked back from the largest
-        copies = min(left[length], room // length)
+        copies = min(left[length], room // length, most or room)
         times = 1
         while copies > 0:  # 1, 2, 4, ... copies at once, and the rest
             now = min(times, copies)
-            steps.append((length, now, reached))
-            reached |= reached << length * now & within
+            steps.append((length, now, list(reached)))
+            if most is None:
+                reached[0] |= reached[0] << length * now & within
+            else:
+                for j in range(levels, now - 1, -1):
+                    reached[j] |= reached[j - now] << length * now & within
             copies, times = copies - now, times * 2
-    total, out = reached.bit_length() - 1, {}
+    total = max(r.bit_length() for r in reached) - 1
+    used = next(j for j, r in enumerate(reached) if r >> total & 1)
+    out: dict[int, int] = {}
     for length, now, before in reversed(steps):
-        if total >= length * now and before >> total - length * now & 1:
+        j = used if most is None else used - now
+        if total >= length * now and j >= 0 and before[j] >> total - length * now & 1:
             out[length] = out.get(length, 0) + now
-            total -= length * now
+            total, used = total - length * now, j
     return out
 
 
-def fill_patterns(histogram: dict[int, int], capacity: int) -> list[Pattern]:
-    """Bins for all pieces of a histogram (length -> pieces), by minimum bin slack."""
+#: Where a bin would hold more pieces of the average length, their number isn't bounded.
+BOUNDED = 24
+
+
+def _fill(histogram: dict[int, int], capacity: int, controlled: bool) -> list[Pattern]:
     left, out = {n: c for n, c in histogram.items() if c > 0}, []
     while left:
         largest = max(left)
-        one = dict(left)
-        one[largest] -= 1
-        own = fullest({n: c for n, c in one.items() if c and n <= capacity - largest}, capacity - largest) if capacity > largest else {}
+        rest = {n: c - (n == largest) for n, c in left.items() if n <= capacity - largest and c > (n == largest)}
+        most = capacity * sum(left.values()) // sum(n * c for n, c in left.items()) - 1 if controlled else BOUNDED + 1
+        own = fullest(rest, capacity - largest, max(1, most) if most <= BOUNDED else None) if rest else {}
         own[largest] = own.get(largest, 0) + 1
         bins = min(left[n] // c for n, c in own.items())
         out.append(Pattern(dict(sorted(own.items(), reverse=True)), bins))
@@ -213,6 +229,11 @@ def fill_patterns(histogram: dict[int, int], capacity: int) -> list[Pattern]:
     return out
 
 
+def fill_patterns(histogram: dict[int, int], capacity: int) -> list[Pattern]:
+    """Bins for all pieces of a histogram (length -> pieces), by minimum bin slack with and without a bound on a bin's pieces."""
+    return min((_fill(histogram, capacity, c) for c in (True, False)), key=lambda patterns: sum(p.bins for p in patterns))
+
+
 def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     """The pieces with sequence_id and offset, from (length, part, nth and any other columns)."""
     spark = pieces.sparkSession

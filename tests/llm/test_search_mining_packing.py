@@ -224,6 +224,11 @@ def test_fullest_is_the_best_there_is():
             sums = {s + n * k for s in sums for k in range(c + 1) if s + n * k <= room}
         got = packing.fullest(left, room)
         assert sum(n * c for n, c in got.items()) == max(sums) and all(c <= left[n] for n, c in got.items())
+        most, sums = rng.randint(1, 5), {(0, 0)}
+        for n, c in left.items():
+            sums = {(s + n * k, m + k) for s, m in sums for k in range(c + 1) if s + n * k <= room and m + k <= most}
+        got = packing.fullest(left, room, most)
+        assert sum(n * c for n, c in got.items()) == max(s for s, _ in sums) and sum(got.values()) <= most and all(c <= left[n] for n, c in got.items())
 
 
 def test_patterns_use_every_piece_once():
@@ -237,5 +242,18 @@ def test_patterns_use_every_piece_once():
             for n, c in p.lengths.items():
                 used[n] += c * p.bins
         assert used == Counter(histogram) and len(patterns) <= 12 * len(histogram)
+    # no more bins than best-fit decreasing makes of random lengths, over all
+    total = [0, 0]
+    for _ in range(30):
+        items = sorted((rng.choice([rng.randint(1, 100), rng.randint(20, 60), rng.randint(35, 50)]) for _ in range(300)), reverse=True)
+        rooms, bins = [], sum(p.bins for p in packing.fill_patterns(Counter(items), 100))
+        for x in items:
+            fits = [r for r in rooms if r >= x]
+            if fits:
+                rooms.remove(min(fits))
+            rooms.append((min(fits) if fits else 100) - x)
+        assert bins >= -(-sum(items) // 100)
+        total = [total[0] + bins, total[1] + len(rooms)]
+    assert total[0] <= total[1]
     # 400 pairs fill 400 bins, whichever order would pair badly
     assert sum(p.bins for p in packing.fill_patterns({600: 200, 424: 200, 1000: 200, 24: 200}, 1024)) == 400
