@@ -7,12 +7,15 @@
 2. Points are dealt by hash into shards of about SHARD_ROWS; each shard gets a
    hierarchical navigable small-world graph over unit vectors, kept as flat
    arrays: per level the points and a matrix of neighbours (-1: none).
-3. Queries go in blocks to every shard of their dimension; a search descends
-   greedily and widens to EF on the lowest level.
+3. Every shard's graph is loaded once, by one task, and the queries of its
+   dimension stream past it in blocks; a search descends greedily and widens to
+   EF on the lowest level.
 4. What the shards return is scored anew, by cosine in double precision on the
    original vectors, and merged: per query the K best, ties to the smaller id.
 
-Defined results: repeated ids are rows of their own, a query leaves out the
+Defined results: repeated ids are rows of their own: candidates of one id
+appear once per row, and queries that share an id with different vectors are
+merged into one result of K; a query leaves out the
 rows of its own id and is asked once if its row repeats; vectors of different lengths never meet; fewer candidates
 than K give fewer rows; an empty table gives none; other columns are ignored.
 """
@@ -27,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from runledger.llm.blocks import batch_rows, stream_past
 from runledger.llm.common import stored
 
 SHARD_ROWS, BLOCK_ROWS = 8192, 512
@@ -180,6 +184,8 @@ def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFr
         return pa.Table.from_pylist([{"shard": key[1].as_py(), "dim": key[0].as_py(), "entry": graph.entry, "n": len(ids), "vectors": original[order].tobytes(),
                                       "ids": [ids[i] for i in order], "levels": graph.flat()}], schema=index_schema)
 
+    # a number of partitions of its own, so that graphs aren't put into one task at run time
+    dealt = dealt.repartition(2 * sum(dims.values()), "dim", "shard")
     return stored(dealt.groupBy("dim", "shard").applyInArrow(build, INDEX), "graphs")
 
 
@@ -195,36 +201,34 @@ FOUND = "query_id long, vec_id long, score double"
 def search(queries: DataFrame, index: DataFrame, k: int, ef: int = EF, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found in all shards, from (id, vector) queries."""
     queries = queries.select("id", "vector").distinct()
-    n = queries.count()
-    blocks = max(1, -(-n // block_rows))
-    packed = queries.groupBy(F.size("vector").alias("dim"), F.pmod(F.xxhash64("id", "vector"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "vector")).alias("queries"))
-    every = packed.join(index, "dim").repartition("shard", "block").select("queries", "vectors", "ids", "levels", "entry", "dim")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in range(b.num_rows):
-                r = b.slice(row, 1).to_pylist()[0]
-                original = np.frombuffer(r["vectors"], np.float64).reshape(-1, r["dim"])
-                graph = Graph.from_flat(_unit(original), r["levels"], r["entry"])
-                out: list[tuple] = []
-                for q in r["queries"]:
-                    v = np.array(q["vector"], np.float64)
-                    scale = np.abs(v).max()
-                    hits = [p for _, p in graph.search(_unit(v[None])[0], max(ef, 2 * k))]
-                    at = original[hits]
-                    score = (at @ v) / (np.linalg.norm(at, axis=1) * np.linalg.norm(v)) if 1e-100 < scale < 1e100 else _exact(at, v)
-                    best = sorted((-s, i) for s, p in zip(score.tolist(), hits) for i in r["ids"][p] if i is not None and i != q["id"])[:k]
-                    out += [(q["id"], i, -s) for s, i in best]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
-
-    spark, setting = queries.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "4")  # a row holds a graph and a block of queries
-    try:
-        found = stored(every.mapInArrow(run, FOUND), "neighbours")
-    finally:
-        spark.conf.set(setting, before)
+    blocks = max(1, -(-queries.count() // block_rows))
+    number = F.pmod(F.xxhash64("id", "vector"), F.lit(blocks))
+    packed = queries.groupBy(F.size("vector").alias("dim"), number.alias("block")).agg(F.collect_list(F.struct("id", "vector")).alias("queries"))
+    place = F.struct("dim", "shard")
+    asked = index.select("dim", place.alias("shard")).join(packed, "dim").select("shard", "queries")
+    graphs = index.select(place.alias("shard"), F.col("dim"), "entry", "vectors", "ids", "levels")
+
+    def load(rows: list[dict]) -> tuple:
+        (r,) = rows
+        original = np.frombuffer(r["vectors"], np.float64).reshape(-1, r["dim"])
+        return original, Graph.from_flat(_unit(original), r["levels"], r["entry"]), r["ids"]
+
+    def ask(shard: tuple, row: dict) -> Iterator[pa.RecordBatch]:
+        original, graph, ids = shard
+        out: list[tuple] = []
+        for q in row["queries"]:
+            v = np.array(q["vector"], np.float64)
+            scale = np.abs(v).max()
+            hits = [p for _, p in graph.search(_unit(v[None])[0], max(ef, 2 * k))]
+            at = original[hits]
+            score = (at @ v) / (np.linalg.norm(at, axis=1) * np.linalg.norm(v)) if 1e-100 < scale < 1e100 else _exact(at, v)
+            best = sorted((-s, i) for s, p in zip(score.tolist(), hits) for i in ids[p] if i is not None and i != q["id"])[:k]
+            out += [(q["id"], i, -s) for s, i in best]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
+
+    with batch_rows(queries.sparkSession, 4):  # a row holds a graph or a block of queries
+        found = stored(stream_past(graphs, asked, 2 * max(1, index.count()), load, ask, FOUND), "neighbours")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
