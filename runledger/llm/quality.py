@@ -204,7 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, label_col: str = "quali
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([r.tobytes() for r in x], pa.binary())], ["id", "label", "features"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    got = rows.mapInArrow(features, f"id {kind}, label double, features binary").collect()
+    # one row an id, of those that repeat in ``docs`` the least by its features, so that what is collected is bounded by the sample
+    got = rows.mapInArrow(features, f"id {kind}, label double, features binary").groupBy("id").agg(F.min("label").alias("label"), F.min("features").alias("features")).collect()
     got.sort(key=lambda r: (r[0], r[2]))
     x = np.array([np.frombuffer(r[2], np.float32) for r in got], np.float64).reshape(len(got), FEATURES)
     y = np.array([r[1] for r in got])
