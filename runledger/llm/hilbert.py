@@ -2,9 +2,8 @@
 
 1. Each dimension is quantised into ``2**bits`` buckets of about equal depth, in
    the order of its values; the bucket edges are ``2**bits - 1`` values per
-   dimension: approximate percentiles of numbers, and of strings the weighted
-   percentiles of at most about SAMPLE distinct values, chosen by hash, as they
-   are (a sample changes which rows share a bucket, and no law).
+   dimension: approximate percentiles of numbers, and of strings the exact
+   percentiles of all rows.
 2. The buckets' Hilbert index comes from a state table: per bit, one lookup of
    the digit and one of the next state.
 3. Rows are ordered by (index, id, text checksum), numbered without a
@@ -26,13 +25,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runledger.operators.numbering import dense_ids
+from runledger.session import ensure_checkpoint_dir
 
-ACCURACY, SAMPLE = 10_000, 20_000
+ACCURACY = 10_000
 
 
 def state_table(dims: int) -> tuple[list[int], list[int]]:
@@ -68,28 +68,34 @@ def curve_index(buckets: Sequence[Column], bits: int) -> Column:
     return index
 
 
-def _string_edges(df: DataFrame, c: str, parts: int, sample: int) -> list[str]:
-    """Values that cut a string column's rows into about equal parts."""
+def _string_edges(df: DataFrame, c: str, parts: int) -> list[str]:
+    """Values that cut a string column's rows into about equal parts, from the
+    counts of all its values: those are sorted and added up by ranges, and only
+    the values that a cut falls on, less than ``parts``, reach the driver."""
+    ensure_checkpoint_dir(df.sparkSession)
     counts = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))  # combined before the shuffle
-    distinct, whole = df.agg(F.approx_count_distinct(c)).first()[0], 1 << 20
-    least = int(whole * min(1.0, sample / max(distinct, 1)))
-    kept = sorted((r["value"].encode("utf-8"), r["value"], r["n"]) for r in counts.where(F.pmod(F.xxhash64("value"), F.lit(whole)) < least).collect())  # about ``sample`` rows
-    total, seen, out = sum(n for *_, n in kept), 0, []
-    for _, value, n in kept:
-        before, seen = seen, seen + n
-        # the value at each k-th part of the rows
-        out += [value] * sum(before * parts < k * total <= seen * parts for k in range(1, parts))
-    return out
-
-
-def quantised(df: DataFrame, dims: Sequence[str], bits: int, sample: int = SAMPLE) -> list[Column]:
-    """Bucket columns (int) of ``dims``; small aggregates find the edges."""
+    ordered = counts.orderBy("value").checkpoint().withColumn("range", F.spark_partition_id())
+    sizes = ordered.groupBy("range").agg(F.sum("n").alias("rows"))
+    total = sizes.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    if not total:
+        return []
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = sizes.select("range", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"))
+    upto = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = ordered.withColumn("seen", F.sum("n").over(upto)).join(F.broadcast(offsets), "range").withColumn("seen", F.col("seen") + F.col("offset"))
+    at = seen.where(F.expr(f"seen * {parts}L div {total}L > (seen - n) * {parts}L div {total}L")).select("value", "n", "seen").collect()
+    # the value at each k-th part of the rows
+    return [r.value for r in sorted(at, key=lambda r: r.seen) for k in range(1, parts) if (r.seen - r.n) * parts < k * total <= r.seen * parts]
+
+
+def quantised(df: DataFrame, dims: Sequence[str], bits: int, sample: int | None = None) -> list[Column]:
+    """Bucket columns (int) of ``dims``; aggregates over all rows find the edges.  ``sample`` has no effect: edges of strings came from a sample once."""
     parts = 1 << bits
     at = [k / parts for k in range(1, parts)]
     text = [c for c in dims if isinstance(df.schema[c].dataType, T.StringType)]
     numbers = [c for c in dims if c not in text]
     found = df.agg(F.lit(0), *[F.percentile_approx(F.col(c).cast("double"), at, ACCURACY) for c in numbers]).first()[1:]
-    edges = {c: [float(e) for e in edge or []] for c, edge in zip(numbers, found)} | {c: _string_edges(df, c, parts, sample) for c in text}
+    edges = {c: [float(e) for e in edge or []] for c, edge in zip(numbers, found)} | {c: _string_edges(df, c, parts) for c in text}
     value = {c: F.col(c) if c in text else F.col(c).cast("double") for c in dims}
     return [F.coalesce(sum(((value[c] > F.lit(e)).cast("int") for e in edges[c]), F.lit(0)), F.lit(0)) for c in dims]
 
