@@ -49,10 +49,11 @@ CACHE_WORDS, CACHE_CHARS = 800_000, 48
 #: White space as the splitters of byte-level tokenizers have it.
 _SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _WORDS = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_ENDS = re.compile(f"[{_SPACE}]\\Z")
 #: What may end a word: ASCII signs but < > | of added tokens, and the apostrophe of contractions.
 _TAIL = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
-#: A word that is one piece of the splitter: a space or none, and Latin letters.
-_LETTERS = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+#: A piece of the splitter, a space or none and Latin letters, and what ends its word.
+_LETTERS = re.compile(f"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([{re.escape(_TAIL)}]*)")
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, part int, nth long"
 
@@ -70,8 +71,11 @@ class Encoder:
     A byte-level splitter never lets a token cross from a character into white
     space after it, so a word with the white space before it encodes on its
     own; nor from a letter or digit into a sign, so signs at a word's end do
-    too.  Words of Latin letters go to the model directly.  Where the
-    tokenizer's settings or a probe differ, texts are encoded whole.
+    too.  Words of Latin letters go to the model directly.  Texts are cut
+    before every space and line end; pieces that hold other white space are put
+    together from their words, and a text with white space before a cut is cut
+    into words as a whole.  Where the tokenizer's settings or a probe differ, texts
+    are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -91,9 +95,11 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
-        """Put words into the cache: from the older half, put together from core and tail, by the model, or by the whole tokenizer."""
-        known, older, tokenize, letters = self.known, self.older, self.tokenizer.model.tokenize, self.letters
+    def _learn(self, words: set[str]) -> list[str]:
+        """Put words into the cache: from the older half, put together from words or core and tail, by the model, or by the whole tokenizer.
+
+        A piece that ends in white space has no ids of its own.  Returns what was looked at."""
+        known, older, tokenize, letters, fits = self.known, self.older, self.tokenizer.model.tokenize, self.letters, _LETTERS.fullmatch
         code, whole, joined = "H" if self.dtype.itemsize == 2 else "I", {}, []
         todo = list(words)
         for w in todo:  # grows by the parts of words
@@ -101,23 +107,50 @@ class Encoder:
                 continue
             if w in older:
                 known[w] = older[w]
-            elif _LETTERS.fullmatch(w):
-                mapped = "\u0120" + w[1:] if w[0] == " " else w
-                if not w.isascii():
-                    mapped = w.encode("utf-8").decode("latin-1").translate(letters)
-                known[w] = array(code, [t.id for t in tokenize(mapped)]).tobytes()
+            elif found := fits(w):
+                core, tail = found.groups()
+                ids = known.get(core) or older.get(core)
+                if ids is None:
+                    mapped = "\u0120" + core[1:] if core[0] == " " else core
+                    if not core.isascii():
+                        mapped = core.encode("utf-8").decode("latin-1").translate(letters)
+                    ids = array(code, [t.id for t in tokenize(mapped)]).tobytes()
+                    if len(core) <= CACHE_CHARS:
+                        known[core] = ids
+                if tail and tail not in known:
+                    known[tail] = self._encode([tail])[0]
+                known[w] = ids + known[tail] if tail else ids
+            elif _ENDS.search(w):
+                known[w] = None
             else:
-                core = w.rstrip(_TAIL)
-                if core != w and core[-1:].isalnum():
-                    joined.append((w, core, w[len(core):]))
-                    todo += joined[-1][1:]
+                core, parts = w.rstrip(_TAIL), _WORDS.findall(w)
+                if len(parts) != 1:
+                    joined.append((w, parts))
+                    todo += parts
+                elif core != w and core[-1:].isalnum():
+                    joined.append((w, (core, w[len(core):])))
+                    todo += joined[-1][1]
                 else:
                     whole[w] = None
         whole = list(whole)
         for i in range(0, len(whole), 4096):
             known.update(zip(whole[i:i + 4096], self._encode(whole[i:i + 4096])))
-        for w, core, tail in joined:
-            known[w] = known[core] + known[tail]
+        for w, parts in reversed(joined):  # parts come after what they are parts of
+            known[w] = b"".join(map(known.__getitem__, parts))
+        return todo
+
+    def _word_by_word(self, text: str) -> bytes:
+        words = _WORDS.findall(text)
+        end = self._encode([words.pop()])[0] if words and _ENDS.search(words[-1]) else b""
+        seen = self._learn(set(words).difference(self.known))
+        out = b"".join(map(self.known.__getitem__, words)) + end
+        self._forget(seen)
+        return out
+
+    def _forget(self, words: list[str]) -> None:
+        for w in words:
+            if len(w) > CACHE_CHARS:
+                self.known.pop(w, None)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of ``dtype``."""
@@ -125,15 +158,17 @@ class Encoder:
             return self._encode(texts)
         if len(self.known) > CACHE_WORDS // 2:
             self.known, self.older = {}, self.known
-        split = [_WORDS.findall(t) for t in texts]
-        new = {w for words in split for w in words}.difference(self.known)
-        self._learn(new)
-        known = self.known
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for w in new:
-            if len(w) > CACHE_CHARS:
-                del known[w]
-        return out
+        # the cut is marked by a zero character; a text that has one is cut into words
+        split = [[" "] if "\0" in t else t.replace(" ", "\0 ").replace("\n", "\0\n").split("\0") for t in texts]
+        seen = self._learn(set().union(*split).difference(self.known))
+        known, out = self.known, []
+        for pieces in split:
+            try:
+                out.append(b"".join(map(known.__getitem__, pieces)))
+            except TypeError:  # a piece without ids
+                out.append(None)
+        self._forget(seen)
+        return [self._word_by_word(t) if ids is None else ids for t, ids in zip(texts, out)]
 
 
 _ENCODERS: dict[str, Encoder] = {}

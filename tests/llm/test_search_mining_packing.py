@@ -257,3 +257,15 @@ def test_patterns_use_every_piece_once():
     assert total[0] <= total[1]
     # 400 pairs fill 400 bins, whichever order would pair badly
     assert sum(p.bins for p in packing.fill_patterns({600: 200, 424: 200, 1000: 200, 24: 200}, 1024)) == 400
+
+
+def test_encoder_cuts_texts_at_spaces_and_line_ends(monkeypatch):
+    """op13: texts without white space before a cut aren't cut word by word, and all have the tokenizer's own ids."""
+    e = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    plain = ["The ends, naïve.\nIt's (a) b!? 555-3810 x.y@z.example,\tc", "", "one", "\nx", "Ends;", " Łódź...", "<|endoftext|> a"]
+    odd = ["a  b", "a \n b", "end. \n", "\n\nc", " ", "a\0 b", "x  y", f"{'l' * 99}. {'m' * 60}\t{'n' * 70},"]
+    seen, real = [], packing.Encoder._word_by_word
+    monkeypatch.setattr(packing.Encoder, "_word_by_word", lambda self, t: seen.append(t) or real(self, t))
+    assert e.encode(plain) == e._encode(plain) and not seen
+    assert e.encode(odd + plain) == e._encode(odd + plain) and set(seen) <= set(odd)
+    assert max(map(len, e.known)) <= packing.CACHE_CHARS
