@@ -133,12 +133,12 @@ def wide_cells(reports: DataFrame, runs: DataFrame, family: str = DEFAULT_FAMILY
     """K8 input: cells keyed by (row_key, family, qualifier) with the order
     columns a last-write merge needs.  Runs sharing a row key (same product,
     hash and second) merge; later (created_at, run_id, position) wins."""
-    cells = explode_wide(reports)
     r = runs.select("run_id", row_key().alias("row_key"), "created_at")
-    j = cells.join(r, "run_id")
-    return j.select("row_key", F.lit(family).alias("family"), "qualifier", "value",
-                    (load_ts if load_ts is not None else F.current_timestamp()).alias("ts"),
-                    "created_at", "run_id", "part", F.col("entry").alias("result_pos"), "sub_pos")
+    # whole documents meet the runs, not their cells
+    cells = explode_wide(reports.join(r, "run_id").withColumn("run", F.struct("row_key", "created_at", "run_id")), "run")
+    return cells.select("run.row_key", F.lit(family).alias("family"), "qualifier", "value",
+                        (load_ts if load_ts is not None else F.current_timestamp()).alias("ts"),
+                        "run.created_at", "run.run_id", "part", F.col("entry").alias("result_pos"), "sub_pos")
 
 
 def merge_wide(cells: DataFrame) -> DataFrame:
