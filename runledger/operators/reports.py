@@ -135,15 +135,19 @@ def cleanup_paths(rewritten: DataFrame) -> DataFrame:
 
 def stamp_run_info(reports: DataFrame, runs: DataFrame, key: str = "run_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """Replace the product fields of each report's ``run_info`` with its run's,
-    and trim ``-experimental`` from the browser name."""
+    and trim ``-experimental`` from the browser name.  The fields that are
+    replaced don't go into the join; a report without ``run_info`` has none."""
     r = runs.select(key, *keep, *[F.col(c).alias(f"__run_{c}") for c in RUN_INFO_FIELDS])
-    j = reports.join(r, key)
-    info = F.col("run_info")
-    for c in RUN_INFO_FIELDS:
-        v = F.col(f"__run_{c}")
+    names = reports.schema["run_info"].dataType.names
+    own = F.struct(F.lit(True).alias("__is"), *[F.col("run_info")[c].alias(c) for c in names if c not in RUN_INFO_FIELDS])
+    j = reports.withColumn("run_info", F.when(F.col("run_info").isNotNull(), own)).join(r, key)
+    fields = []
+    for c in [*names, *[c for c in RUN_INFO_FIELDS if c not in names]]:
+        v = F.col(f"__run_{c}") if c in RUN_INFO_FIELDS else F.col("run_info")[c]
         if c == "browser_name":
             v = P.trim_suffix(v, P.EXPERIMENTAL_SUFFIX)
-        info = info.withField(c, v)
+        fields.append(v.alias(c))
+    info = F.when(F.col("run_info").isNotNull(), F.struct(*fields))
     return j.withColumn("run_info", info).drop(*[f"__run_{c}" for c in RUN_INFO_FIELDS])
 
 
