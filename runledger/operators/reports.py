@@ -168,8 +168,8 @@ def run_info(trim_experimental: bool = False, hash_col: str = "full_revision_has
 DEFAULT_PART_SIZE = 100_000
 
 
-def results_from_cells(cells: DataFrame, key: str = "run_id", part_size: int | None = None
-                       ) -> DataFrame:
+def results_from_cells(cells: DataFrame, key: str = "run_id", part_size: int | None = None,
+                       ranges: tuple[str, Column] | None = None) -> DataFrame:
     """One result per (run, test): parent status from the row with the
     highest position, subtests = non-NULL subtest rows in position order,
     ``first_pos`` = the test's lowest position.
@@ -183,22 +183,28 @@ def results_from_cells(cells: DataFrame, key: str = "run_id", part_size: int | N
     a test's cuts by windows.
 
     The cells are shuffled once, by run: that serves the cuts, the windows and
-    the assembling of reports after them.  Cells without a run or test are left out."""
+    the assembling of reports after them.  Cells without a run or test are left out.
+
+    With ``ranges``, the name and value of a column that the run determines, the
+    shuffle is by ranges of that column and the run, the order to store results
+    in folders by it; the results have the column."""
     size = int(part_size or DEFAULT_PART_SIZE)
     sub = F.when(F.col("subtest").isNotNull(),
                  F.struct(F.col("pos"), F.struct(F.col("subtest").alias("name"),
                                                  F.col("sub_status").alias("status")).alias("s")))
     last = F.when(F.col("pos").isNotNull(), F.struct("pos", "status"))
     cut = F.expr(f"pos div {size}").alias("__cut")
-    mine = cells.where(F.col(key).isNotNull() & F.col("test").isNotNull()).repartition(key)
-    g = mine.groupBy(key, "test", cut).agg(F.array_sort(F.collect_list(sub)).alias("__subs"), F.max(last).alias("__last"), F.min("pos").alias("__first"))
-    whole = Window.partitionBy(key, "test").orderBy("__cut").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = Window.partitionBy(key, "test").orderBy("__cut").rowsBetween(Window.unboundedPreceding, -1)
+    mine = cells.where(F.col(key).isNotNull() & F.col("test").isNotNull())
+    run = [key] if ranges is None else [ranges[0], key]
+    mine = mine.repartition(key) if ranges is None else mine.withColumn(*ranges).repartitionByRange(*run)
+    g = mine.groupBy(*run, "test", cut).agg(F.array_sort(F.collect_list(sub)).alias("__subs"), F.max(last).alias("__last"), F.min("pos").alias("__first"))
+    whole = Window.partitionBy(*run, "test").orderBy("__cut").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = Window.partitionBy(*run, "test").orderBy("__cut").rowsBetween(Window.unboundedPreceding, -1)
     n = F.size("__subs")
-    j = g.select(key, "test", "__cut", "__subs", F.max("__last").over(whole)["status"].alias("status"), F.min("__first").over(whole).alias("first_pos"),
+    j = g.select(*run, "test", "__cut", "__subs", F.max("__last").over(whole)["status"].alias("status"), F.min("__first").over(whole).alias("first_pos"),
                  F.max(n > 0).over(whole).alias("__has"), F.coalesce(F.sum(n).over(before), F.lit(0)).cast("bigint").alias("sub_base"))
     j = j.where(F.when(F.col("__has"), F.size("__subs") > 0).otherwise(F.col("__cut") == F.expr(f"first_pos div {size}")))
-    return j.select(key, "test", "status", "first_pos", F.transform("__subs", lambda x: x["s"]).alias("subtests"), "sub_base")
+    return j.select(key, "test", "status", "first_pos", F.transform("__subs", lambda x: x["s"]).alias("subtests"), "sub_base", *run[:-1])
 
 
 def assemble_reports(results: DataFrame, runs: DataFrame, key: str = "run_id",

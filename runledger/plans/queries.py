@@ -263,10 +263,8 @@ def shards_path(spark: SparkSession, sf_dir: str) -> str:
     """Sharded results: one JSON line per (run, test) result, in folders by
     ``run_bucket`` (a hash of the run key) so lookups for a few runs prune."""
     def build():
-        r = RP.results_from_cells(X.cells(spark, sf_dir)).withColumn(
-            "run_bucket", RP.run_bucket("run_id", SHARD_BUCKETS))
         # by ranges, so that the number of writing tasks follows the data, not the buckets
-        return r.repartitionByRange("run_bucket", "run_id")
+        return RP.results_from_cells(X.cells(spark, sf_dir), ranges=("run_bucket", RP.run_bucket("run_id", SHARD_BUCKETS)))
     return M.materialize(spark, sf_dir, "shards", build, fmt="json", options={"compression": "gzip"}, partition_by=["run_bucket"])
 
 
