@@ -307,8 +307,13 @@ def report_dictionary(matrix_cells: DataFrame, run_index: DataFrame) -> DataFram
 
 
 def _first_seen(cells: DataFrame) -> DataFrame:
-    """The dictionary of cells that carry their run's ``run_idx``."""
-    first_run = cells.groupBy("test", "subtest").agg(F.min("run_idx").alias("run_idx"))
+    """The dictionary of cells that carry their run's ``run_idx``.
+
+    The first runs, a row an entry, are stored, so that Spark knows their size
+    when it joins them: few entries are broadcast, and no cell is shuffled."""
+    spark, path = cells.sparkSession, fresh_dir(cells.sparkSession, "first_runs")
+    cells.groupBy("test", "subtest").agg(F.min("run_idx").alias("run_idx")).write.option("compression", "zstd").parquet(path)
+    first_run = spark.read.parquet(path)
     key = (cells["test"] == first_run["test"]) & cells["subtest"].eqNullSafe(first_run["subtest"]) \
         & (cells["run_idx"] == first_run["run_idx"])
     firsts = cells.join(first_run, key, "left_semi")
@@ -322,19 +327,24 @@ def load_matrix(reports: DataFrame, run_index: DataFrame, known: Sequence[str] |
     """The matrix loader: ``(tests, cells)`` where ``cells`` holds one
     ``(run_idx, test_id, status, sub_status)`` per cell written last.
 
-    The reports are parsed once and get their run's id as whole documents;
-    their cells are written to the shared folder and read from there by the
-    dictionary and the encoding, which look no run up again."""
-    path = fresh_dir(reports.sparkSession, "matrix_cells")
+    The reports are parsed once and dealt out by run as whole documents.  Where
+    they stand their cells become one row per run, test and subtest (the place of
+    the cell seen first, the statuses of the one written last) and get their
+    run's id.  These rows are written to the shared folder and read from there by
+    the dictionary and the encoding, which look no run up again; the dictionary
+    is stored too, so a small one is broadcast and no row is shuffled again."""
+    spark, path, tests_path = reports.sparkSession, fresh_dir(reports.sparkSession, "matrix_cells"), fresh_dir(reports.sparkSession, "matrix_tests")
+    cells = explode_matrix(reports.repartition("run_id")).select("run_id", "test", "subtest", "status", "sub_status", _in_report_order().alias("o"))
+    once = cells.where(F.col("test").isNotNull()).groupBy("run_id", "test", "subtest").agg(
+        F.min("o").alias("first"), F.max_by(F.struct("status", "sub_status"), "o").alias("last"))
     ri = run_index.select(F.col("id").alias("run_idx"), "run_id")
-    explode_matrix(reports.join(ri, "run_id"), "run_idx").drop("result_pos").write.option("compression", "zstd").parquet(path)
-    m = reports.sparkSession.read.parquet(path)
-    tests = _first_seen(m)
+    once.join(ri, "run_id").select("run_idx", "test", "subtest", "first.*", "last.*").write.option("compression", "zstd").parquet(path)
+    m = spark.read.parquet(path)
+    _first_seen(m).write.option("compression", "zstd").parquet(tests_path)
+    tests = spark.read.parquet(tests_path)
     t = tests.select(F.col("id").alias("test_id"), F.col("test").alias("__t"), F.col("subtest").alias("__s"))
-    enc = (m.join(t, (m["test"] == t["__t"]) & m["subtest"].eqNullSafe(t["__s"]))
-           .select("run_idx", "test_id", normalize_status("status", known).alias("status"),
-                   normalize_status("sub_status", known).alias("sub_status"), "part", "entry", "sub_pos"))
-    return tests, last_write(enc, ("run_idx", "test_id"), _in_report_order())
+    enc = m.join(t, (m["test"] == t["__t"]) & m["subtest"].eqNullSafe(t["__s"]))
+    return tests, enc.select("run_idx", "test_id", normalize_status("status", known).alias("status"), normalize_status("sub_status", known).alias("sub_status"))
 
 
 def browser_of_row() -> Column:
