@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runledger.functions import predicates as P
 from runledger.operators import revisions as REV
@@ -236,16 +237,24 @@ def assemble_reports(results: DataFrame, runs: DataFrame, key: str = "run_id",
                                           "first_pos:bigint,sub_base:bigint>>"))))
 
 
-def report_sizes(reports: DataFrame, key: str = "run_id", by: tuple[str, ...] = ()) -> DataFrame:
-    """Per run: number of tests and of subtests over all its documents (a
-    test's later entries, which go on with its subtests, don't count)."""
+def result_counts(reports: DataFrame) -> DataFrame:
+    """Documents with the numbers of their tests and subtests in place of their
+    results (a test's later entries, which go on with its subtests, don't count)."""
     n_sub = F.aggregate("results", F.lit(0).cast("bigint"),
                         lambda acc, r: acc + F.size(F.coalesce(r["subtests"], F.array())))
     cut_up = "sub_base" in reports.schema["results"].dataType.elementType.names
     tests = F.size(F.filter("results", lambda r: F.coalesce(r["sub_base"], F.lit(0)) == 0)) if cut_up else F.size("results")
+    return reports.withColumn("results", F.struct(tests.cast("bigint").alias("n_results"), n_sub.alias("n_subtests")))
+
+
+def report_sizes(reports: DataFrame, key: str = "run_id", by: tuple[str, ...] = ()) -> DataFrame:
+    """Per run: number of tests and of subtests over all its documents, which
+    may be counted already (``result_counts``)."""
+    if isinstance(reports.schema["results"].dataType, T.ArrayType):
+        reports = result_counts(reports)
     return (reports.groupBy(key, *by)
-            .agg(F.sum(tests).cast("bigint").alias("n_results"),
-                 F.sum(n_sub).cast("bigint").alias("n_subtests")))
+            .agg(F.sum("results.n_results").cast("bigint").alias("n_results"),
+                 F.sum("results.n_subtests").cast("bigint").alias("n_subtests")))
 
 
 def run_bucket(key: str = "run_id", buckets: int = 64) -> Column:

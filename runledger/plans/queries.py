@@ -411,9 +411,10 @@ def read_reports_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = X.runs(spark, sf_dir)
     first, _ = D.dedup(runs.where(~P.is_missing_str("raw_results_url")))
     located = load_reports(spark, sf_dir).join(first.select("run_id", F.col("raw_results_url").alias("location")), "run_id")
-    path = RIO.write_reports(located, fresh_dir(spark, "reports_located"))
+    path = RIO.write_reports(located, fresh_dir(spark, "reports_located"), "gzip")
     back = RIO.read_own(spark, path, T.StructType([*RIO.REPORT.fields, T.StructField("location", T.StringType())]))
-    j = RIO.join_by_location(runs, back)
+    # a report's numbers of results go into the join, not the results
+    j = RIO.join_by_location(runs, RP.result_counts(back))
     return RP.report_sizes(j, by=("raw_results_url",))
 
 

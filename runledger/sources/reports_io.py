@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runledger.session import freed_shuffles
+
 SUBTEST = T.StructType([T.StructField("name", T.StringType()), T.StructField("status", T.StringType())])
 RESULT = T.StructType([
     T.StructField("test", T.StringType()),
@@ -40,7 +42,8 @@ def write_reports(reports: DataFrame, path: str, compression: str | None = None)
     w = reports.write.mode("errorifexists")
     if compression:
         w = w.option("compression", compression)
-    w.json(path)
+    with freed_shuffles(reports.sparkSession):
+        w.json(path)
     return path
 
 
